@@ -1,0 +1,51 @@
+"""Joins on keys of which one may hold a large part of all rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+# A key is hot if it holds more than 1/HOT_SHARE of the rows, so there are fewer
+# than HOT_SHARE hot keys, whatever the table's size.
+HOT_SHARE = 1000
+SPLITS = 64
+
+
+def hot_keys(counts: DataFrame, key: str, n: str = "n") -> list:
+    """The hot keys of a table of counts per key (a written table: it is read twice)."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    hot = counts.where(
+        F.col(key).isNotNull() & (F.col(n) > total // HOT_SHARE) & (F.col(n) > HOT_SHARE)
+    )
+    return [row[0] for row in hot.select(key).collect()]
+
+
+def split_join(
+    big: DataFrame,
+    small: DataFrame,
+    key: str,
+    hot: list,
+    spread_by: list[Column],
+    how: str = "inner",
+) -> DataFrame:
+    """Join ``big`` with ``small`` (unique per key), hot keys over many tasks.
+
+    The rows of a hot key are split by a hash of ``spread_by``, which tells the
+    rows of a key apart, and the one row of ``small`` is repeated per split.
+    """
+    if not hot:
+        return big.join(small, key, how)
+    # Rows without a key match nothing, wherever they go.
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(True))
+    split = F.pmod(F.xxhash64(*spread_by), F.lit(SPLITS)).cast("int")
+    every_split = F.sequence(F.lit(0), F.lit(SPLITS - 1))
+    return (
+        big.withColumn("_split", F.when(is_hot, split).otherwise(0))
+        .join(
+            small.withColumn(
+                "_split", F.explode(F.when(is_hot, every_split).otherwise(F.array(F.lit(0))))
+            ),
+            [key, "_split"],
+            how,
+        )
+        .drop("_split")
+    )
