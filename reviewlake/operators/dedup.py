@@ -23,7 +23,8 @@ def with_fingerprint(df: DataFrame) -> DataFrame:
     )
 
 
-def _first_per(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_per(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """First row per key."""
     # row_number() <= 1 is cut per map task first, so a key that holds many
     # rows sends one row per task through the shuffle.
     w = Window.partitionBy(*key).orderBy(*order)
@@ -34,12 +35,12 @@ def dedup_by_fingerprint(
     df: DataFrame, order: Sequence[str] = ORDER_COLS, scope: Sequence[str] = ("company",)
 ) -> DataFrame:
     """First row per fingerprint within a company."""
-    return _first_per(with_fingerprint(df), [*scope, "fp"], order).drop("fp")
+    return first_per(with_fingerprint(df), [*scope, "fp"], order).drop("fp")
 
 
 def dedup_by_id(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """First row per review id, across companies."""
-    return _first_per(df, ["review_id"], order)
+    return first_per(df, ["review_id"], order)
 
 
 def dedup_last(df: DataFrame, key: str = "company_or_url", order: str = "ord") -> DataFrame:

@@ -7,7 +7,7 @@ row (arrays) until they are exploded, so the HTML is never copied per review.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,6 +15,7 @@ from ..functions import jsonld, text, urls
 from ..functions.html import outline
 from ..schema import REVIEW_COLS
 from .filters import prune_empty
+from .skew import split_join
 
 # Fixed values.
 SITE_BLOCK_ATTRS = [
@@ -480,12 +481,15 @@ def next_page_url(pages: DataFrame) -> DataFrame:
     )
 
 
-def with_fallback(primary: DataFrame, secondary: DataFrame, key: str = "company") -> DataFrame:
+def with_fallback(
+    primary: DataFrame,
+    secondary: DataFrame,
+    key: str = "company",
+    spread_by: Sequence[str] = ("source_url", "pos"),
+) -> DataFrame:
     """``primary``, and ``secondary`` for the keys ``primary`` has no row for."""
-    # The keys of `secondary` are reduced first: what joins is two sets of
-    # distinct keys. Rows then find their key among those; how the one row per
-    # key meets a key that holds much of the table is left to the skew join.
     missing = secondary.select(key).distinct().join(
         primary.select(key).distinct(), key, "left_anti"
     )
-    return primary.unionByName(secondary.join(missing, key, "left_semi"))
+    rows = split_join(secondary, missing, key, None, spread_by, "left_semi")
+    return primary.unionByName(rows)

@@ -12,7 +12,7 @@ from ..schema import LABEL_COLS, PASSTHROUGH_COLS, REVIEW_SCHEMA
 
 def to_review(df: DataFrame) -> DataFrame:
     """The eight review fields, in their fixed order and types."""
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in REVIEW_SCHEMA.fields])
+    return df.select(*[F.col(f.name).try_cast(f.dataType) for f in REVIEW_SCHEMA.fields])
 
 
 def passthrough(df: DataFrame, cols: Iterable[str] = PASSTHROUGH_COLS) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+from ..scratch import materialize
 
 # A key is hot if it holds more than 1/HOT_SHARE of the rows, so there are fewer
 # than HOT_SHARE hot keys, whatever the table's size.
@@ -23,19 +27,20 @@ def split_join(
     big: DataFrame,
     small: DataFrame,
     key: str,
-    hot: list,
-    spread_by: list[Column],
+    hot: list | None,
+    spread_by: Sequence[str],
     how: str = "inner",
 ) -> DataFrame:
-    """Join ``big`` with ``small`` (unique per key), hot keys over many tasks.
+    """Join ``big`` with ``small``, the rows of a hot key over many tasks.
 
     The rows of a hot key are split by a hash of ``spread_by``, which tells the
-    rows of a key apart, and the one row of ``small`` is repeated per split.
+    rows of a key apart, and the rows of ``small`` are repeated per split. With
+    ``hot=None`` all keys are split, for a ``small`` of few rows.
     """
-    if not hot:
+    if hot == []:
         return big.join(small, key, how)
     # Rows without a key match nothing, wherever they go.
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(True))
+    is_hot = F.lit(True) if hot is None else F.coalesce(F.col(key).isin(hot), F.lit(True))
     split = F.pmod(F.xxhash64(*spread_by), F.lit(SPLITS)).cast("int")
     every_split = F.sequence(F.lit(0), F.lit(SPLITS - 1))
     return (
@@ -49,3 +54,10 @@ def split_join(
         )
         .drop("_split")
     )
+
+
+def hot_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``split_join`` of a written table, its hot keys found by counting them."""
+    counts = materialize(big.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
+    spread_by = [c for c in big.columns if c != key]
+    return split_join(big, small, key, hot_keys(counts, key), spread_by, how)
