@@ -57,6 +57,9 @@ BLOCKS = set(
     " li main menu nav ol p pre search section summary table tbody td tfoot th thead"
     " tr ul".split()
 )
+# Parsers at large also end a heading where one of these begins.
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+HEADING_ENDS = {"p", "li", "table", "form", "fieldset"} | HEADINGS
 _CELL = {"table", "td", "th", "caption", "button", "object", "template", "html"}
 _NOT_IN_P = set("body html caption dd dt li tbody td tfoot th thead tr".split())
 ENDS = {t: [("p", _CELL)] for t in BLOCKS - _NOT_IN_P}
@@ -96,6 +99,8 @@ class _Outline(HTMLParser):
         self._flush()
         for ended, limits in ENDS.get(tag, ()):
             self._end_nearest(ended, limits)
+        if tag in HEADING_ENDS and self._open[-1][0] in HEADINGS:
+            self._pop()
         kept = {}
         for name, value in attrs:
             if name in ATTRS and name not in kept:

@@ -43,7 +43,7 @@ def page_chain(links: DataFrame, starts: DataFrame, max_pages: int) -> DataFrame
     length = 1
     while length < max_pages:
         further = (
-            hot_join(reached, hop, "url")
+            hot_join(reached, hop, "url", rows=known)
             .select("start", F.col("next_url").alias("url"), (F.col("page_seq") + length).alias("page_seq"))
             .where(F.col("page_seq") < max_pages)
         )

@@ -12,6 +12,7 @@ from ..scratch import materialize
 # than HOT_SHARE hot keys, whatever the table's size.
 HOT_SHARE = 1000
 SPLITS = 64
+ONE_TASK_ROWS = 1_000_000
 
 
 def hot_keys(counts: DataFrame, key: str, n: str = "n") -> list:
@@ -56,8 +57,15 @@ def split_join(
     )
 
 
-def hot_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """``split_join`` of a written table, its hot keys found by counting them."""
+def hot_join(
+    big: DataFrame, small: DataFrame, key: str, how: str = "inner", rows: int | None = None
+) -> DataFrame:
+    """``split_join`` of a written table, its hot keys found by counting them.
+
+    A table of a million rows or less fits one task whatever its keys are.
+    """
+    if (big.count() if rows is None else rows) <= ONE_TASK_ROWS:
+        return big.join(small, key, how)
     counts = materialize(big.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
     spread_by = [c for c in big.columns if c != key]
     return split_join(big, small, key, hot_keys(counts, key), spread_by, how)

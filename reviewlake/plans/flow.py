@@ -81,6 +81,7 @@ def run(
     test_mode: bool = False,
     max_pages: int = MAX_PAGES,
     rendered: DataFrame | None = None,
+    table_path: str | None = None,
     **labeling,
 ) -> DataFrame:
     """From pages to the loaded table; the classified rows.
@@ -96,5 +97,5 @@ def run(
     classified = classify(materialize(reviews), labeler, **labeling)
     if test_mode:
         return classified
-    load_table(classified, table)
+    load_table(classified, table, table_path)
     return classified.sparkSession.read.table(table)

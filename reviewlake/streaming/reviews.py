@@ -27,7 +27,12 @@ def stream_reviews(spark: SparkSession, path: str) -> DataFrame:
         *[text.blank_to_null(F.col(n)).alias(n) for n in FILE_SCHEMA.fieldNames()],
         text.company_from_path(F.col("_metadata.file_name")).alias("company"),
     ).withColumn("rating", text.rating_float(F.col("rating")))
-    return drop_missing_id(drop_sample(reviews))
+    return clean_stream(reviews)
+
+
+def clean_stream(df: DataFrame) -> DataFrame:
+    """The cleaning that needs one row at a time."""
+    return drop_missing_id(drop_sample(df))
 
 
 def stream_dedup(
