@@ -16,7 +16,13 @@ _WS_NO_BLANK = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u20
 _WS = rf"[ {_WS_NO_BLANK}]"
 # Runs that are not already one plain blank, so clean text costs no rewriting.
 _WS_TO_COLLAPSE = rf"[{_WS_NO_BLANK}]{_WS}*| {_WS}+"
-_EDGE_WS = rf"^{_WS}+|{_WS}+$"
+_WS_CHARS = "".join(
+    map(
+        chr,
+        [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680]
+        + [*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
+    )
+)
 
 _FLOAT = (
     r"(?i)^[+-]?(?:(?:\d+(?:_\d+)*)(?:\.(?:\d+(?:_\d+)*)?)?(?:e[+-]?\d+(?:_\d+)*)?"
@@ -26,16 +32,21 @@ _FLOAT = (
 
 def strip(c: Column) -> Column:
     """Remove white space, Unicode included, from both ends."""
-    return F.regexp_replace(c, _EDGE_WS, "")
+    return F.btrim(c, F.lit(_WS_CHARS))
 
 
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def collapse(c: Column) -> Column:
+    """One blank per white-space run, none at the ends."""
+    return F.trim(F.regexp_replace(c, _WS_TO_COLLAPSE, " "))
+
+
 def normalize_text(c: Column) -> Column:
-    """One blank per white-space run, none at the ends; nothing left -> null."""
-    return blank_to_null(F.trim(F.regexp_replace(c, _WS_TO_COLLAPSE, " ")))
+    """Collapsed text; nothing left -> null."""
+    return blank_to_null(collapse(c))
 
 
 def norm(c: Column) -> Column:
@@ -109,7 +120,7 @@ def rating_first_number(c: Column) -> Column:
 
 def author_name(author: Column, is_object: Column, name: Column) -> Column:
     """An author object counts by its name, a plain author by its text."""
-    return normalize_text(F.when(is_object, name).otherwise(author))
+    return F.when(is_object, name).otherwise(author)
 
 
 def fingerprint(review_id: Column, author: Column, body: Column) -> Column:

@@ -50,13 +50,25 @@ Rule = Callable[[Column], Column]
 # --- looking around in an outline -------------------------------------------
 
 
+def _said(c: Column) -> Column:
+    """The text, null if it is empty.
+
+    Inside a lambda the usual ``nullif`` would work out its argument twice.
+    """
+    return F.get(F.array_remove(F.array(c), ""), F.lit(0))
+
+
+def _clean(c: Column) -> Column:
+    return _said(text.collapse(c))
+
+
 def _has(node: Column, attr: str) -> Column:
     return F.map_contains_key(node["attrs"], F.lit(attr))
 
 
 def _attr(node: Column, attr: str) -> Column:
     """The attribute, null if it is missing or empty."""
-    return text.blank_to_null(node["attrs"][attr])
+    return _said(node["attrs"][attr])
 
 
 def _is(tag: str) -> Rule:
@@ -78,7 +90,7 @@ def _first(nodes: Column, rule: Rule) -> Column:
 def _text(node: Column, b: Column) -> Column:
     """Text of a node of block ``b``, null if there is none."""
     start = node["p0"] - b["block"]["p0"] + 1
-    return text.blank_to_null(
+    return _said(
         F.array_join(F.slice(b["pieces"], start, node["p1"] - node["p0"]), " ")
     )
 
@@ -123,12 +135,12 @@ def _review(r: Column, i: Column, review_id: Column) -> Column:
     is_call = text.has_call_to_action(r["title"], r["body"])
     return F.struct(
         review_id.alias("review_id"),
-        F.when(~is_call, text.normalize_text(r["title"])).alias("title"),
-        F.when(~is_call, text.normalize_text(r["body"])).alias("body"),
+        F.when(~is_call, _clean(r["title"])).alias("title"),
+        F.when(~is_call, _clean(r["body"])).alias("body"),
         r["rating"].alias("rating"),
-        text.normalize_text(r["author"]).alias("author"),
+        _clean(r["author"]).alias("author"),
         text.norm(r["date"]).alias("date_published"),
-        text.normalize_text(r["location"]).alias("location"),
+        _clean(r["location"]).alias("location"),
         i.cast("bigint").alias("pos"),
     )
 
@@ -273,7 +285,7 @@ def generic_reviews(dom: Column) -> Column:
             F.coalesce(_text(f["address"], f), _text(f["place"], f)).alias("location"),
         ),
     )
-    return F.transform(raw, lambda r, i: _review(r, i, text.normalize_text(r["id"])))
+    return F.transform(raw, lambda r, i: _review(r, i, _clean(r["id"])))
 
 
 def _generic_id(block: Column) -> Column:
@@ -308,15 +320,15 @@ def jsonld_reviews_of(nodes: Column) -> Column:
         lambda n, i: F.struct(
             text.clean_review_id(
                 F.coalesce(
-                    text.blank_to_null(text.norm(n["url"])), text.norm(n["id"])
+                    _said(text.norm(n["url"])), text.norm(n["id"])
                 )
             ).alias("review_id"),
-            text.normalize_text(n["name"]).alias("title"),
-            text.normalize_text(n["body"]).alias("body"),
+            _clean(n["name"]).alias("title"),
+            _clean(n["body"]).alias("body"),
             text.rating_float(n["rating"]).alias("rating"),
-            text.author_name(n["author"], n["author_is_object"], n["author_name"]).alias(
-                "author"
-            ),
+            _clean(
+                text.author_name(n["author"], n["author_is_object"], n["author_name"])
+            ).alias("author"),
             text.norm(n["date"]).alias("date_published"),
             F.lit(None).cast("string").alias("location"),
             i.cast("bigint").alias("pos"),
