@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reviewlake.sources.read import spread_scan
+from reviewlake.scratch import spread_scan
 
 REVIEWS = """
 select

@@ -7,13 +7,14 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import text
 from ..functions.answers import parse_answer, read_answer
 from ..schema import LABEL_COLS
-from ..scratch import materialize
+from ..scratch import materialize, spread_scan
 from .filters import drop_blank_text
 from .project import enrich
 from .report import NEGATIVE, POSITIVE
@@ -105,7 +106,10 @@ def taxonomy(spark: SparkSession) -> DataFrame:
     rows = [("general", None, label) for label in GENERAL]
     rows += [("specific", NEGATIVE, label) for label in SPECIFIC_NEGATIVE]
     rows += [("specific", POSITIVE, label) for label in SPECIFIC_POSITIVE]
-    return spark.createDataFrame(rows, "level string, polarity string, label string")
+    level, polarity, label = map(list, zip(*rows))
+    return spark.createDataFrame(
+        pa.table({"level": level, "polarity": polarity, "label": label})
+    )
 
 
 def _allowed(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
@@ -226,7 +230,9 @@ def classify(
         .withColumn("_key", F.sha2("_text", 256))
     )
     labeled = materialize(
-        texts.select("_key", "_text").mapInPandas(label_batches, LABELED_SCHEMA)
+        spread_scan(texts.select("_key", "_text"), "_key").mapInPandas(
+            label_batches, LABELED_SCHEMA
+        )
     )
     joined = split_join(
         reviews.withColumn("_key", F.sha2(stripped, 256)),

@@ -14,7 +14,7 @@ from ..schema import ORDER_COLS
 # shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
 SMALL_LIMIT = 999
 SPLITS = 32
-BLOCK_ROWS = 1 << 16
+BLOCK_BITS = 16
 
 
 def with_fingerprint(df: DataFrame) -> DataFrame:
@@ -96,9 +96,9 @@ def _first_rows(df: DataFrame, n: int, order: list[str], by: list[str]) -> DataF
     # For any n, no group goes through one task: rows are counted per block of
     # the order, the counts give each block its offset, and rows are ranked
     # within their block. The last order column is an integer that tells rows
-    # apart, so a block has at most BLOCK_ROWS rows.
+    # apart, so a block has at most 2 ** BLOCK_BITS rows. ``df`` is read twice.
     block = [*by, *order[:-1], "_block"]
-    blocks = df.withColumn("_block", F.floor(F.col(order[-1]) / BLOCK_ROWS))
+    blocks = df.withColumn("_block", F.shiftright(F.col(order[-1]).cast("bigint"), BLOCK_BITS))
     before = Window.partitionBy(*by).orderBy(*block[len(by):]).rowsBetween(
         Window.unboundedPreceding, -1
     )

@@ -10,7 +10,7 @@ from ..functions import text, urls
 from ..operators.chain import one_per_url, page_chain
 from ..operators.classify import Labeler, classify
 from ..operators.dedup import cap_per_company, dedup_by_fingerprint, dedup_by_id, head
-from ..operators.extract import page_reviews, parse_pages, with_fallback
+from ..operators.extract import page_reviews, parse_pages
 from ..operators.filters import drop_missing_id, drop_sample
 from ..operators.skew import hot_join
 from ..schema import ORDER_COLS
@@ -57,7 +57,9 @@ def harvest(
     found = _harvest(pages, specs, max_pages)
     if rendered is not None:
         found = materialize(found)
-        found = with_fallback(found, _harvest(rendered, specs, max_pages), "start")
+        # Only the companies without a row are looked up in the second snapshot.
+        lacking = specs.join(found.select("start").distinct(), "start", "left_anti")
+        found = found.unionByName(_harvest(rendered, materialize(lacking), max_pages))
     scope = ["company", "start"]
     unique = dedup_by_fingerprint(found, ORDER_COLS, scope)
     if max_reviews is not None:

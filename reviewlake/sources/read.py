@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import text
 from ..operators.dedup import union_outer
+from ..scratch import spread_scan
 
 
 def _headers(spark: SparkSession, pattern: str) -> DataFrame:
@@ -89,9 +90,3 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """
     pages = spread_scan(spark.read.parquet(path), "url")
     return require_columns(pages, ["page_id", "url", "html"])
-
-
-def spread_scan(scan: DataFrame, key: str) -> DataFrame:
-    """A file scan with at least one partition per core."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
