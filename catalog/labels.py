@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from reviewlake.functions import answers as answer_functions
@@ -189,3 +192,6 @@ QUERIES = {
           select *, {_WORDS} as words from ({REVIEWS_SQL}) r where {_REVIEW} <> '') w) s) b""",
     ),
 }
+
+# The labeler travels with the job; executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -57,6 +57,10 @@ BLOCKS = set(
     " li main menu nav ol p pre search section summary table tbody td tfoot th thead"
     " tr ul".split()
 )
+# Elements nested deeper than browsers nest them become siblings, so the time a
+# page takes grows with its length only.
+MAX_DEPTH = 512
+
 # Parsers at large also end a heading where one of these begins.
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 HEADING_ENDS = {"p", "li", "table", "form", "fieldset"} | HEADINGS
@@ -113,6 +117,8 @@ class _Outline(HTMLParser):
         if tag in VOID:
             self._add_child(None)
             return
+        if len(self._open) > MAX_DEPTH:
+            self._pop()
         self._hidden += tag in HIDDEN
         self._open.append([tag, index, 0, None])
 

@@ -196,7 +196,9 @@ def retry(
         for i in pending.index:
             results[i] = {"error": FAILED + results[i]["error"]}
         columns = [*LABEL_COLS, "error"]
-        return pd.DataFrame([results[i] for i in texts.index], index=texts.index, columns=columns)
+        rows = [[results[i].get(c) for c in columns] for i in texts.index]
+        # As objects, since a column without any text would turn into numbers.
+        return pd.DataFrame(rows, index=texts.index, columns=columns, dtype=object)
 
     return label
 
