@@ -27,6 +27,7 @@ from .inputs import (
     wide_table,
 )
 from .labels import _first_letter_labeler
+from .scalars import INCREMENT_SQL
 
 _ROWS_SQL = f"""select ord, source, review_id, {sql.normalize('title')} as title,
   case when {IS_CALL} then '{CALL}' else {sql.normalize('body')} end as body, rating, author,
@@ -211,7 +212,8 @@ QUERIES = {
           concat('Autor ', cast(page_id as string)) as author, 'Uno & dos tres' as body
         from (select page_id from pages where contains(html, '<footer>') union all select page_id from pages) p""",
     ),
-    "next_page": (next_page, None),
+    # No link of the given pages leads on, so the page number does.
+    "next_page": (next_page, INCREMENT_SQL),
     "next_page_linked": (
         next_page_linked,
         """select page_id, concat(regexp_extract(url, '^([a-z]+://[^/]*)', 1),

@@ -129,7 +129,7 @@ def resolve_url(spark, sf_dir):
     )
 
 
-_INCREMENT_SQL = r"""
+INCREMENT_SQL = r"""
   select page_id, concat(base, '?',
     case when query = '' then 'page=2'
          when regexp_matches(query, '(^|&)page=') then
@@ -189,7 +189,7 @@ QUERIES = {
         is_site_host,
         "select page_id, contains(url, '//blog.') as marked, false as in_path from pages",
     ),
-    "increment_page": (increment_page, _INCREMENT_SQL),
+    "increment_page": (increment_page, INCREMENT_SQL),
     "output_name": (
         output_name,
         f"select page_id, concat('trustpilot_reviews_', {sql.company_from_url('url')}, '.csv') as file_name from pages",

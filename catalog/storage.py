@@ -28,12 +28,7 @@ def company_csv(spark, sf_dir):
     path = scratch_dir(spark)
     rows = reviews(spark, sf_dir).withColumn("slug", text.slugify_company(F.col("company")))
     write.write_company_csv(rows, path, ["ord"])
-    back = (
-        spark.read.schema(", ".join(f"`{c}` string" for c in [*_FIELDS, "slug"]))
-        .options(header=True, multiLine=True, escape='"')
-        .csv(path)
-    )
-    return back.withColumn("rating", text.rating_float(F.col("rating")))
+    return read.read_company_csv(spark, path)
 
 
 def combined_csv(spark, sf_dir):
@@ -129,7 +124,7 @@ def stream_reviews(spark, sf_dir):
 QUERIES = {
     "company_csv": (
         company_csv,
-        f"select {_null_if_blank(_FIELDS)}, lower(company) as slug from ({REVIEWS_SQL}) r",
+        f"select {_null_if_blank(_FIELDS)}, lower(company) as slug, company from ({REVIEWS_SQL}) r",
     ),
     "combined_csv": (
         combined_csv,

@@ -67,7 +67,10 @@ def upper_company(c: Column) -> Column:
 def company_from_path(file_name: Column) -> Column:
     """Company out of a review file's (URL-encoded) name."""
     decoded = F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
-    stem = F.regexp_replace(decoded, r"\.csv$", "")
+    return company_from_slug(F.regexp_replace(decoded, r"\.csv$", ""))
+
+
+def company_from_slug(stem: Column) -> Column:
     return upper_company(F.replace(stem, F.lit(OUTPUT_PREFIX), F.lit("")))
 
 

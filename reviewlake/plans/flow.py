@@ -69,10 +69,7 @@ def harvest(
 
 def combine(harvested: DataFrame) -> DataFrame:
     """Harvested rows under the company name their review file would give them."""
-    company = text.upper_company(
-        F.replace(F.col("slug"), F.lit(text.OUTPUT_PREFIX), F.lit(""))
-    )
-    return harvested.withColumn("company", company)
+    return harvested.withColumn("company", text.company_from_slug(F.col("slug")))
 
 
 def run(

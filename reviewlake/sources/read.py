@@ -9,60 +9,71 @@ from collections.abc import Iterable
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from ..functions import text
 from ..operators.dedup import union_outer
+from ..schema import REVIEW_COLS
 from ..scratch import spread_scan
 
 
-def _headers(spark: SparkSession, pattern: str) -> DataFrame:
-    """First line of each file. Reads the files' text once, as a job of its own."""
+def _files(spark: SparkSession, pattern: str, detect: bool) -> DataFrame:
+    """Each file's first line, and if ``detect`` whether a record spans lines."""
     lines = spark.read.text(pattern).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
     )
-    return (
+    headers = (
         lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
     )
+    if not detect:
+        return headers
+    # A record goes on in the next line only after an odd number of quotes.
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
+    return headers.join(lines.groupBy("file").agg(F.max(odd).alias("spans_lines")), "file")
 
 
 def _reader_path(file: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
 
 
-def read_review_folder(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def _csv(spark: SparkSession, names: Iterable[str], multi_line: bool) -> DataFrameReader:
+    """Reader of CSV files with the given columns, all of them text."""
+    return spark.read.schema(
+        T.StructType([T.StructField(n, T.StringType()) for n in names])
+    ).options(header=True, multiLine=multi_line, quote='"', escape='"')
+
+
+def read_review_folder(
+    spark: SparkSession, path: str, multi_line: bool | None = None
+) -> DataFrame:
     """All ``*.csv`` files of a folder, with ``company`` from the file name.
 
     Files may have different columns; they are matched by name. All columns are
     text and an empty value is null. ``row`` gives the order within a file.
-    A file with quoted line breaks cannot be split and goes through one task;
-    ``multi_line=False`` splits files that have none.
+
+    A file with line breaks inside quotes cannot be split, the others can. Which
+    are which is found by a scan of the text, unless ``multi_line`` says it.
     """
     try:
-        headers = _headers(spark, f"{path.rstrip('/')}/*.csv").collect()
+        files = _files(spark, f"{path.rstrip('/')}/*.csv", multi_line is None).collect()
     except AnalysisException as ex:
         raise FileNotFoundError(f"no CSV files in {path}") from ex
-    if not headers:
+    if not files:
         raise FileNotFoundError(f"no CSV files in {path}")
-    files = defaultdict(list)
-    for file, header in sorted(headers):
-        files[header.lstrip("﻿")].append(_reader_path(file))
+    alike = defaultdict(list)
+    for file, header, *spans_lines in sorted(files):
+        whole = multi_line if multi_line is not None else spans_lines[0]
+        alike[header.lstrip("\ufeff"), whole].append(_reader_path(file))
     parts = []
-    for header, paths in files.items():
+    for (header, whole), paths in alike.items():
         names = next(csv.reader([header]))
-        part = (
-            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-            .option("header", True)
-            .option("multiLine", multi_line)
-            .option("quote", '"')
-            .option("escape", '"')
-            .csv(paths)
-        )
         parts.append(
-            part.select(
+            _csv(spark, names, whole)
+            .csv(paths)
+            .select(
                 *[text.blank_to_null(F.col(f"`{n}`")).alias(n) for n in names if n != "company"],
                 text.company_from_path(F.col("_metadata.file_name")).alias("company"),
             )
@@ -70,6 +81,17 @@ def read_review_folder(spark: SparkSession, path: str, multi_line: bool = True)
     return union_outer(parts).withColumn("row", F.monotonically_increasing_id())
 
 
+def read_company_csv(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_company_csv`` wrote: the review fields, ``slug``, ``company``.
+
+    Filters on ``slug`` read that company's folder only.
+    """
+    rows = _csv(spark, [*REVIEW_COLS, "slug"], True).csv(path)
+    fields = {c: text.blank_to_null(F.col(c)) for c in REVIEW_COLS}
+    fields["rating"] = text.rating_float(F.col("rating"))
+    return rows.withColumns(fields).withColumn("company", text.company_from_slug(F.col("slug")))
+
+
 def require_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """The table itself; KeyError if a column is missing."""
     missing = sorted(set(cols) - set(df.columns))

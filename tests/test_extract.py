@@ -134,6 +134,13 @@ def test_deep_payload(spark):
     assert X.jsonld_reviews(pages(spark, script(data))).count() == 1
 
 
+def test_long_payloads_with_mixed_characters(spark):
+    data = {**REVIEW, "reviewBody": "a😀" * 300_000}
+    html = script(json.dumps(data, ensure_ascii=False), 'type="application/ld+json" data-x="' + "y>" * 50_000 + '"')
+    rows = X.jsonld_reviews(pages(spark, html)).select(F.length("body").alias("n")).collect()
+    assert [r.n for r in rows] == [600_000]
+
+
 def test_objects_in_order(spark):
     html = script({"a": {"name": "2"}, "name": "1", "b": [{"name": "3"}]}) + script("x") + script({"name": "4"})
     objects = X.json_objects(X.jsonld_payloads(pages(spark, html)))

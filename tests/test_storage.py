@@ -44,6 +44,14 @@ def test_review_folder(spark, folder):
     assert rows["1"].company == "SAMPLE"
 
 
+@pytest.mark.parametrize("multi_line", [None, True])
+def test_only_files_with_inner_line_breaks_stay_whole(spark, folder, multi_line):
+    df = read.read_review_folder(spark, folder, multi_line)
+    assert {r.review_id for r in df.collect()} == {"7", "007", "NA", "1"}
+    files = read._files(spark, f"{folder}/*.csv", True).collect()
+    assert [r.file.rsplit("_", 1)[1] for r in files if r.spans_lines] == ["dhl%20españa.csv"]
+
+
 def test_folder_without_files(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read.read_review_folder(spark, str(tmp_path))
@@ -81,6 +89,10 @@ def test_company_csv(spark, tmp_path):
     lines = part.read_text().splitlines()
     assert lines[0] == HEADER.strip()
     assert lines[1:3] == ['1,"a,b","di ""x""', ' y ",4.0,,,,u']
+    back = read.read_company_csv(spark, str(tmp_path / "out"))
+    assert {(r.body, r.rating, r.date_published, r.company) for r in back.collect()} == {
+        ('di "x"\n y ', 4.0, None, "S")
+    }
 
 
 def test_table_lifecycle(spark):
