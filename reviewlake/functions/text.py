@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 # Fixed values.
@@ -11,8 +14,12 @@ DEFAULT_SLUG = "empresa"
 OUTPUT_PREFIX = "trustpilot_reviews_"
 
 # Unicode white space, control separators included. Spark's own \s and trim()
-# know only ASCII, and (?U)\s misses U+001C..U+001F.
-_WS_NO_BLANK = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# know only ASCII, and (?U)\s misses U+001C..U+001F. Single low characters and one
+# range around the high ones keep the test of an ordinary character short.
+_WS_HIGH = r"  -     　"
+_WS_NO_BLANK = (
+    rf"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0[ -　&&[{_WS_HIGH}]]"
+)
 _WS = rf"[ {_WS_NO_BLANK}]"
 # Runs that are not already one plain blank, so clean text costs no rewriting.
 _WS_TO_COLLAPSE = rf"[{_WS_NO_BLANK}]{_WS}*| {_WS}+"
@@ -96,11 +103,12 @@ def output_name(company: Column) -> Column:
 
 def has_call_to_action(*parts: Column) -> Column:
     """True if the joined, lower-cased text invites the reader to write a review."""
-    text = F.lower(F.concat_ws(" ", *parts))
-    hit = F.lit(False)
-    for phrase in SKIP_PHRASES:
-        hit = hit | F.contains(text, F.lit(phrase))
-    return hit
+    lowered = F.array(F.lower(F.concat_ws(" ", *parts)))
+    # The one-element array gives the text a name, so it is lower-cased once.
+    return F.exists(
+        lowered,
+        lambda t: reduce(or_, [F.contains(t, F.lit(phrase)) for phrase in SKIP_PHRASES]),
+    )
 
 
 def rating_float(c: Column) -> Column:

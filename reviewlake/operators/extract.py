@@ -130,18 +130,23 @@ def _with(b: Column, **found: Column) -> Column:
     return F.struct(*kept, *[c.alias(name) for name, c in found.items()])
 
 
-def _review(r: Column, i: Column, review_id: Column) -> Column:
-    """A markup review; a call to action loses its title and body."""
-    is_call = text.has_call_to_action(r["title"], r["body"])
-    return F.struct(
-        review_id.alias("review_id"),
-        F.when(~is_call, _clean(r["title"])).alias("title"),
-        F.when(~is_call, _clean(r["body"])).alias("body"),
-        r["rating"].alias("rating"),
-        _clean(r["author"]).alias("author"),
-        text.norm(r["date"]).alias("date_published"),
-        _clean(r["location"]).alias("location"),
-        i.cast("bigint").alias("pos"),
+def _reviews(raw: Column, review_id: Rule) -> Column:
+    """Markup reviews; a call to action loses its title and body."""
+    asked = F.transform(
+        raw, lambda r: r.withField("call", text.has_call_to_action(r["title"], r["body"]))
+    )
+    return F.transform(
+        asked,
+        lambda r, i: F.struct(
+            review_id(r["id"]).alias("review_id"),
+            F.when(~r["call"], _clean(r["title"])).alias("title"),
+            F.when(~r["call"], _clean(r["body"])).alias("body"),
+            r["rating"].alias("rating"),
+            _clean(r["author"]).alias("author"),
+            text.norm(r["date"]).alias("date_published"),
+            _clean(r["location"]).alias("location"),
+            i.cast("bigint").alias("pos"),
+        ),
     )
 
 
@@ -197,7 +202,7 @@ def site_reviews(dom: Column) -> Column:
             _attr(f["flag"], "title").alias("location"),
         ),
     )
-    return F.transform(raw, lambda r, i: _review(r, i, text.clean_review_id(r["id"])))
+    return _reviews(raw, text.clean_review_id)
 
 
 # --- common review markup of other sites ------------------------------------
@@ -285,7 +290,7 @@ def generic_reviews(dom: Column) -> Column:
             F.coalesce(_text(f["address"], f), _text(f["place"], f)).alias("location"),
         ),
     )
-    return F.transform(raw, lambda r, i: _review(r, i, _clean(r["id"])))
+    return _reviews(raw, _clean)
 
 
 def _generic_id(block: Column) -> Column:
@@ -346,7 +351,9 @@ def _page_cols(pages: DataFrame) -> list[str]:
 
 def _explode_reviews(parsed: DataFrame, reviews: Column) -> DataFrame:
     """One row per review, empty ones left out, in the fixed column order."""
-    rows = parsed.select("*", F.explode(reviews).alias("_r"))
+    # Not explode(): that one has the array worked out once more, to filter on its
+    # size. Pages without reviews give an empty row here, which goes with the others.
+    rows = parsed.select("*", F.explode_outer(reviews).alias("_r"))
     extra = [c for c in parsed.columns if c not in {"url", *REVIEW_COLS, *_PARSED}]
     return prune_empty(
         rows.select(
