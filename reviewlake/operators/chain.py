@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..scratch import materialize
+from ..scratch import materialize_counted
 from .dedup import first_per
 from .skew import hot_join
 
@@ -26,37 +26,46 @@ def page_chain(links: DataFrame, starts: DataFrame, max_pages: int) -> DataFrame
     so a chain that meets a visited page only repeats itself from there on: the
     lowest place per page is the place it was visited at.
     """
-    links = materialize(links.select("url", "next_url"))
+    links, n_links = materialize_counted(links.select("url", "next_url"))
     pages = links.select("url")
-    reached = materialize(
+    reached, known = materialize_counted(
         starts.select("start", F.col("start").alias("url"))
         .distinct()
         .join(pages, "url", "left_semi")
         .where(F.lit(max_pages > 0))
         .select("start", "url", F.lit(0).alias("page_seq"))
     )
-    known = reached.count()
-    hop = materialize(
-        hot_join(links, pages.select(F.col("url").alias("next_url")), "next_url", "left_semi")
-        .select("url", "next_url")
+    targets = pages.withColumnRenamed("url", "next_url")
+    hop, n_hops = materialize_counted(
+        hot_join(links, n_links, targets, "next_url", "left_semi").select("url", "next_url")
     )
     length = 1
     while length < max_pages:
         further = (
-            hot_join(reached, hop, "url", rows=known)
-            .select("start", F.col("next_url").alias("url"), (F.col("page_seq") + length).alias("page_seq"))
+            hot_join(reached, known, hop, "url")
+            .select(
+                "start",
+                F.col("next_url").alias("url"),
+                (F.col("page_seq") + length).alias("page_seq"),
+            )
             .where(F.col("page_seq") < max_pages)
         )
-        reached = materialize(
-            reached.unionByName(further).groupBy("start", "url").agg(F.min("page_seq").alias("page_seq"))
+        before = known
+        reached, known = materialize_counted(
+            reached.unionByName(further)
+            .groupBy("start", "url")
+            .agg(F.min("page_seq").alias("page_seq"))
         )
-        before, known = known, reached.count()
         length *= 2
         if known == before:
             break
         if length < max_pages:
-            onward = hop.select(F.col("url").alias("next_url"), F.col("next_url").alias("then"))
-            hop = materialize(
-                hot_join(hop, onward, "next_url").select("url", F.col("then").alias("next_url"))
+            onward = hop.select(
+                F.col("url").alias("next_url"), F.col("next_url").alias("then")
+            )
+            hop, n_hops = materialize_counted(
+                hot_join(hop, n_hops, onward, "next_url").select(
+                    "url", F.col("then").alias("next_url")
+                )
             )
     return reached

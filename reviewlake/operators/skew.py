@@ -58,13 +58,13 @@ def split_join(
 
 
 def hot_join(
-    big: DataFrame, small: DataFrame, key: str, how: str = "inner", rows: int | None = None
+    big: DataFrame, rows: int, small: DataFrame, key: str, how: str = "inner"
 ) -> DataFrame:
-    """``split_join`` of a written table, its hot keys found by counting them.
+    """``split_join`` of a written table of ``rows`` rows, its hot keys found by counting.
 
     A table of a million rows or less fits one task whatever its keys are.
     """
-    if (big.count() if rows is None else rows) <= ONE_TASK_ROWS:
+    if rows <= ONE_TASK_ROWS:
         return big.join(small, key, how)
     counts = materialize(big.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
     spread_by = [c for c in big.columns if c != key]

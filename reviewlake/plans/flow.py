@@ -14,7 +14,7 @@ from ..operators.extract import page_reviews, parse_pages
 from ..operators.filters import drop_missing_id, drop_sample
 from ..operators.skew import hot_join
 from ..schema import ORDER_COLS
-from ..scratch import materialize
+from ..scratch import materialize, materialize_counted
 from ..sources.companies import with_start
 from ..sources.write import load_table
 
@@ -35,8 +35,9 @@ def _harvest(pages: DataFrame, specs: DataFrame, max_pages: int) -> DataFrame:
     parsed = materialize(one_per_url(parse_pages(pages.select("page_id", "url", "html"))))
     chain = page_chain(parsed, specs.select("start"), max_pages)
     # A chain has at most max_pages rows, so this join has no large key.
-    places = materialize(chain.join(specs, "start"))
-    seen = hot_join(places, parsed.select("url", "jsonld", "site", "generic"), "url")
+    places, n_places = materialize_counted(chain.join(specs, "start"))
+    found = parsed.select("url", "jsonld", "site", "generic")
+    seen = hot_join(places, n_places, found, "url")
     # The rules are chosen by the start of the chain, once for all its pages.
     return page_reviews(seen, on_site=urls.is_site_host(F.col("start")))
 

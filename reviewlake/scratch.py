@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -25,9 +25,15 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back as a plain table scan."""
+    return materialize_counted(df)[0]
+
+
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``materialize``, and the number of rows, counted as they are written."""
     path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows"]
 
 
 def spread_scan(scan: DataFrame, key: str) -> DataFrame:

@@ -138,7 +138,7 @@ def test_hot_join_is_a_join(spark, rows, how, monkeypatch):
     expected = sorted(map(str, df.join(ids, "review_id", how).collect()))
     monkeypatch.setattr(skew, "ONE_TASK_ROWS", 0)
     monkeypatch.setattr(skew, "HOT_SHARE", 100)
-    assert sorted(map(str, skew.hot_join(df, ids, "review_id", how).collect())) == expected
+    assert sorted(map(str, skew.hot_join(df, len(rows), ids, "review_id", how).collect())) == expected
     every = skew.split_join(df, ids, "review_id", None, ["ord"], how)
     assert sorted(map(str, every.collect())) == expected
 
