@@ -58,7 +58,7 @@ def _found(rows, *more):
 
 def structured_payloads(spark, sf_dir):
     payloads = X.jsonld_payloads(site_pages(spark, sf_dir))
-    return payloads.select("page_id", "script", F.size("nodes").alias("n_objects"))
+    return payloads.select("page_id", "script", F.size("nodes").cast("bigint").alias("n_objects"))
 
 
 def structured_objects(spark, sf_dir):

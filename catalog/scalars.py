@@ -98,7 +98,11 @@ def increment_page(spark, sf_dir):
 
 def output_name(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
-        "page_id", text.output_name(urls.company_from_url(F.col("url"))).alias("file_name")
+        "page_id",
+        urls.output_name(F.col("url")).alias("by_url"),
+        urls.output_name(
+            F.col("url"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("n "), "page_id"))
+        ).alias("by_name"),
     )
 
 
@@ -192,7 +196,9 @@ QUERIES = {
     "increment_page": (increment_page, INCREMENT_SQL),
     "output_name": (
         output_name,
-        f"select page_id, concat('trustpilot_reviews_', {sql.company_from_url('url')}, '.csv') as file_name from pages",
+        f"""select page_id, concat('trustpilot_reviews_', {sql.company_from_url('url')}, '.csv') as by_url,
+          concat('trustpilot_reviews_', case when page_id % 2 = 0 then concat('n_', page_id)
+            else {sql.company_from_url('url')} end, '.csv') as by_name from pages""",
     ),
     "rating_out_of": (
         _reviews(_STARS, "rating", text.rating_out_of),

@@ -74,7 +74,7 @@ def rows_written(spark, sf_dir):
     counted, rows = write.with_count(reviews(spark, sf_dir).select(*_FIELDS))
     write.write_combined(counted, path, "parquet")
     return spark.read.parquet(path).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.lit(rows.get["rows"]).alias("n_reported")
+        F.count(F.lit(1)).alias("n_rows"), F.lit(rows.get["rows"]).cast("bigint").alias("n_reported")
     )
 
 

@@ -96,11 +96,6 @@ def slugify_company(c: Column) -> Column:
     return F.coalesce(blank_to_null(F.lower(_strip_marks(kept))), F.lit(DEFAULT_SLUG))
 
 
-def output_name(company: Column) -> Column:
-    """Name of a company's review file."""
-    return F.concat(F.lit(OUTPUT_PREFIX), company, F.lit(".csv"))
-
-
 def has_call_to_action(*parts: Column) -> Column:
     """True if the joined, lower-cased text invites the reader to write a review."""
     lowered = F.array(F.lower(F.concat_ws(" ", *parts)))

@@ -53,6 +53,15 @@ def review_url(company_or_url: Column) -> Column:
     )
 
 
+def output_name(start_url: Column, company: Column | None = None) -> Column:
+    """Name of a company's review file, after the company or else its URL."""
+    by_url = company_from_url(start_url)
+    if company is not None:
+        given = F.when(company != "", text.safe_filename_component(company))
+        by_url = F.coalesce(given, by_url)
+    return F.concat(F.lit(text.OUTPUT_PREFIX), by_url, F.lit(".csv"))
+
+
 def _decode(c: Column) -> Column:
     # A "%" that starts no escape stands for itself.
     return F.url_decode(F.regexp_replace(c, r"%(?![0-9A-Fa-f]{2})", "%25"))

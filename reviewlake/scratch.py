@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below the cluster's shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         # Only a session without the setting (a test on one machine) gets here.
-        base = tempfile.mkdtemp(prefix="reviewlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="reviewlake-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/reviewlake-{uuid.uuid4().hex}"
 
 

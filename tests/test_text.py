@@ -89,7 +89,10 @@ def test_rating_float_nan(spark):
 
 
 def test_output_name(spark):
-    assert apply(spark, text.output_name, ["dhl"]) == ["trustpilot_reviews_dhl.csv"]
+    df = spark.createDataFrame([("a b",), ("",), (None,)], "c string")
+    url = F.lit("https://es.trustpilot.com/review/x.es")
+    names = [r.n for r in df.select(urls.output_name(url, F.col("c")).alias("n")).collect()]
+    assert names == [f"trustpilot_reviews_{n}.csv" for n in ("a_b", "x.es", "x.es")]
 
 
 def test_author_name(spark):
