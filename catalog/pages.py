@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reviewlake.operators import extract as X
 from reviewlake.operators.chain import page_chain
 from reviewlake.plans.flow import clean_reviews, combine, harvest, run
-from reviewlake.scratch import scratch_dir
+from reviewlake.scratch import materialize, scratch_dir
 from reviewlake.sources.companies import company_specs
 from reviewlake.sources.read import read_pages
 
@@ -127,8 +127,9 @@ def page_chains(spark, sf_dir):
 
 def fallback_source(spark, sf_dir):
     """Companies without structured data get their markup reviews."""
-    structured = X.jsonld_reviews(site_pages(spark, sf_dir)).withColumn("company", _company())
-    markup = X.site_markup_reviews(site_pages(spark, sf_dir)).withColumn("company", _company())
+    pages = materialize(site_pages(spark, sf_dir))
+    structured = X.jsonld_reviews(pages).withColumn("company", _company())
+    markup = X.site_markup_reviews(pages).withColumn("company", _company())
     primary = structured.where("cast(substring(company, 4) as int) % 4 <> 0")
     return _found(X.with_fallback(primary, markup), "company")
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import jsonld, text, urls
 from ..functions.html import outline
 from ..schema import REVIEW_COLS
+from ..scratch import materialize
 from .filters import prune_empty
 from .skew import split_join
 
@@ -506,7 +507,11 @@ def with_fallback(
     key: str = "company",
     spread_by: Sequence[str] = ("source_url", "pos"),
 ) -> DataFrame:
-    """``primary``, and ``secondary`` for the keys ``primary`` has no row for."""
+    """``primary``, and ``secondary`` for the keys ``primary`` has no row for.
+
+    Both are written down first, since each is read twice.
+    """
+    primary, secondary = materialize(primary), materialize(secondary)
     missing = secondary.select(key).distinct().join(
         primary.select(key).distinct(), key, "left_anti"
     )

@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import text, urls
 from ..operators.chain import one_per_url, page_chain
 from ..operators.classify import Labeler, classify
-from ..operators.dedup import cap_per_company, dedup_by_fingerprint, dedup_by_id, head
+from ..operators.dedup import (
+    SMALL_LIMIT,
+    cap_per_company,
+    dedup_by_fingerprint,
+    dedup_by_id,
+    head,
+)
 from ..operators.extract import page_reviews, parse_pages
 from ..operators.filters import drop_missing_id, drop_sample
 from ..operators.skew import hot_join
@@ -64,6 +70,8 @@ def harvest(
     scope = ["company", "start"]
     unique = dedup_by_fingerprint(found, ORDER_COLS, scope)
     if max_reviews is not None:
+        if max_reviews > SMALL_LIMIT:
+            unique = materialize(unique)  # such a limit reads its input twice
         unique = cap_per_company(unique, max_reviews, ORDER_COLS, scope)
     return unique
 

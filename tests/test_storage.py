@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from catalog.inputs import harvest_list, site_pages
+from reviewlake.operators import filters
 from reviewlake.plans.flow import harvest, run
 from reviewlake.schema import CLASSIFIED_COLS, warehouse_schema
 from reviewlake.scratch import materialize, scratch_dir
@@ -95,6 +96,22 @@ def test_company_csv(spark, tmp_path):
     }
 
 
+def test_filters_reach_the_files(spark, tmp_path):
+    rows = [("1", "A", "Positiva", "s"), ("2", "B", "Negativa", "t")]
+    df = spark.createDataFrame(rows, "review_id string, company string, sentiment_label string, slug string")
+    write.write_classified(df, str(tmp_path / "p"), "parquet")
+    seen = filters.explore(spark.read.parquet(str(tmp_path / "p")), company="A", sentiment="Positiva")
+    plan = seen.select("review_id")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(company,A)" in plan and "EqualTo(sentiment_label,Posi" in plan
+    assert "ReadSchema: struct<review_id:string,company:string,sentiment_label:string>" in plan
+    for c in ["title", "body", "author", "date_published", "location", "source_url"]:
+        df = df.withColumn(c, F.lit("x"))
+    write.write_company_csv(df.withColumn("rating", F.lit(1.0)), str(tmp_path / "c"))
+    one = read.read_company_csv(spark, str(tmp_path / "c")).where("slug = 's'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(slug" in plan and one.count() == 1
+
+
 def test_table_lifecycle(spark):
     name = "t_" + os.path.basename(scratch_dir(spark)).replace("-", "_")
     path = scratch_dir(spark)
