@@ -16,6 +16,11 @@ ANSWER_TYPE = ", ".join(f"{name}: string" for name in [*LABEL_COLS, "error"])
 ANSWER_TYPE = f"struct<{ANSWER_TYPE}>"
 _ANSWER_ARROW = pa.struct([pa.field(n, pa.string()) for n in [*LABEL_COLS, "error"]])
 
+# Fixed values.
+NOT_JSON = "No se pudo parsear a JSON: "
+QUOTED_CHARS = 300
+MISSING = "Faltan campos obligatorios: "
+
 _REQUIRED = list(LABEL_COLS)
 _OUTER_BRACES = re.compile(r"\{.*\}", re.DOTALL)
 
@@ -29,7 +34,7 @@ def coerce_json(answer: str):
             return json.loads(candidate)
         except (ValueError, RecursionError):
             pass
-    raise ValueError(f"No se pudo parsear a JSON: {answer[:300]}...")
+    raise ValueError(f"{NOT_JSON}{answer[:QUOTED_CHARS]}...")
 
 
 def read_answer(answer: str | None) -> dict:
@@ -40,7 +45,7 @@ def read_answer(answer: str | None) -> dict:
             raise ValueError(f"No es un objeto JSON: {type(data).__name__}")
         missing = sorted(set(_REQUIRED) - set(data))
         if missing:
-            raise ValueError(f"Faltan campos obligatorios: {missing}")
+            raise ValueError(f"{MISSING}{missing}")
     except ValueError as ex:
         return {"error": str(ex).encode("utf-8", "replace").decode()}
     return {name: _label(data[name]) for name in _REQUIRED}
@@ -82,7 +87,7 @@ def missing_fields_error(payload: Column) -> Column:
     return F.when(
         F.size(missing) > 0,
         F.concat(
-            F.lit("Faltan campos obligatorios: ['"), F.array_join(missing, "', '"), F.lit("']")
+            F.lit(MISSING + "['"), F.array_join(missing, "', '"), F.lit("']")
         ),
     )
 

@@ -12,6 +12,15 @@ SKIP_PHRASES = ["write your review", "escribe tu reseña", "escribe tu review"]
 DEFAULT_FILE_COMPONENT = "reviews"
 DEFAULT_SLUG = "empresa"
 OUTPUT_PREFIX = "trustpilot_reviews_"
+REVIEW_ID_IN_URL = r"/Review/[^/]+/([A-Za-z0-9]+)$"
+UNSAFE_IN_FILE_NAME = r"[^A-Za-z0-9._-]+"
+STRIPPED_FROM_FILE_NAME = "._-"
+NUMBER_OUT_OF = r"(?i)([0-9]+(?:\.[0-9]+)?)(?U:\s*)(?:out of|/)(?U:\s*)([0-9]+)"
+FIRST_NUMBER = r"([0-9]+(?:\.[0-9]+)?)"
+ID_FINGERPRINT = "id::"
+TEXT_FINGERPRINT = "ab::"
+FINGERPRINT_SEPARATOR = "|"
+FINGERPRINT_CHARS = 200
 
 # Unicode white space, control separators included. Spark's own \s and trim()
 # know only ASCII, and (?U)\s misses U+001C..U+001F. Single low characters and one
@@ -63,7 +72,7 @@ def norm(c: Column) -> Column:
 
 def clean_review_id(c: Column) -> Column:
     """The bare id out of ``.../Review/<site>/<id>``; anything else unchanged."""
-    found = F.regexp_extract(c, r"/Review/[^/]+/([A-Za-z0-9]+)$", 1)
+    found = F.regexp_extract(c, REVIEW_ID_IN_URL, 1)
     return F.coalesce(blank_to_null(found), blank_to_null(c))
 
 
@@ -82,17 +91,17 @@ def company_from_slug(stem: Column) -> Column:
 
 
 def _strip_marks(c: Column) -> Column:
-    return F.btrim(c, F.lit("._-"))
+    return F.btrim(c, F.lit(STRIPPED_FROM_FILE_NAME))
 
 
 def safe_filename_component(c: Column) -> Column:
-    kept = F.regexp_replace(norm(c), r"[^A-Za-z0-9._-]+", "_")
+    kept = F.regexp_replace(norm(c), UNSAFE_IN_FILE_NAME, "_")
     return F.coalesce(blank_to_null(_strip_marks(kept)), F.lit(DEFAULT_FILE_COMPONENT))
 
 
 def slugify_company(c: Column) -> Column:
     words = F.regexp_replace(norm(c), rf"{_WS}+", "_")
-    kept = F.regexp_replace(words, r"[^A-Za-z0-9._-]+", "_")
+    kept = F.regexp_replace(words, UNSAFE_IN_FILE_NAME, "_")
     return F.coalesce(blank_to_null(F.lower(_strip_marks(kept))), F.lit(DEFAULT_SLUG))
 
 
@@ -115,13 +124,12 @@ def rating_float(c: Column) -> Column:
 
 def rating_out_of(c: Column) -> Column:
     """The rating in ``4 out of 5`` or ``3.5/5``."""
-    pattern = r"(?i)([0-9]+(?:\.[0-9]+)?)(?U:\s*)(?:out of|/)(?U:\s*)[0-9]+"
-    return F.regexp_extract(c, pattern, 1).try_cast("double")
+    return F.regexp_extract(c, NUMBER_OUT_OF, 1).try_cast("double")
 
 
 def rating_first_number(c: Column) -> Column:
     """The first number in the text."""
-    return F.regexp_extract(c, r"([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
+    return F.regexp_extract(c, FIRST_NUMBER, 1).try_cast("double")
 
 
 def author_name(author: Column, is_object: Column, name: Column) -> Column:
@@ -132,9 +140,8 @@ def author_name(author: Column, is_object: Column, name: Column) -> Column:
 def fingerprint(review_id: Column, author: Column, body: Column) -> Column:
     """``id::<id>``, or a digest of author and opening text for rows without id."""
     person = F.lower(F.coalesce(author, F.lit("")))
-    opening = F.substring(F.lower(F.coalesce(body, F.lit(""))), 1, 200)
-    return F.when(
-        blank_to_null(review_id).isNotNull(), F.concat(F.lit("id::"), review_id)
-    ).otherwise(
-        F.concat(F.lit("ab::"), F.sha1(F.concat(person, F.lit("|"), opening)))
+    opening = F.substring(F.lower(F.coalesce(body, F.lit(""))), 1, FINGERPRINT_CHARS)
+    said = F.sha1(F.concat(person, F.lit(FINGERPRINT_SEPARATOR), opening))
+    return F.when(review_id != "", F.concat(F.lit(ID_FINGERPRINT), review_id)).otherwise(
+        F.concat(F.lit(TEXT_FINGERPRINT), said)
     )

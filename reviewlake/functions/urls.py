@@ -15,6 +15,7 @@ from . import text
 DEFAULT_START_URL = "https://es.trustpilot.com/review/sending.es"
 REVIEW_BASE_URL = "https://es.trustpilot.com/review/"
 SITE_HOST_MARK = "trustpilot."
+COMPANY_IN_PATH = r"(?i)/review/([^/?#]+)"
 
 # scheme, authority, path, ?query, query, #fragment. Expression instead of
 # parse_url(): that one gives up on a blank or user info inside the URL.
@@ -36,7 +37,7 @@ def is_site_host(url: Column) -> Column:
 
 def company_from_url(url: Column) -> Column:
     """``/review/<company>`` from the path, else the host."""
-    named = F.regexp_extract(_part(url, 3), r"(?i)/review/([^/?#]+)", 1)
+    named = F.regexp_extract(_part(url, 3), COMPANY_IN_PATH, 1)
     company = F.coalesce(text.blank_to_null(named), authority(url))
     return text.safe_filename_component(F.replace(company, F.lit("www."), F.lit("")))
 
