@@ -57,7 +57,7 @@ def page_chain(links: DataFrame, starts: DataFrame, max_pages: int) -> DataFrame
             .agg(F.min("page_seq").alias("page_seq"))
         )
         length *= 2
-        if known == before:
+        if known == before or n_hops == 0:
             break
         if length < max_pages:
             onward = hop.select(

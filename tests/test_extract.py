@@ -2,9 +2,11 @@
 
 import json
 
+import pyarrow as pa
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from reviewlake.functions import jsonld
+from reviewlake.functions import html as html_functions, jsonld
 from reviewlake.functions.html import outline
 from reviewlake.operators import extract as X
 from reviewlake.schema import REVIEW_COLS
@@ -58,9 +60,51 @@ def test_outline(spark):
 
 
 def test_deeply_nested_page(spark):
-    deep = "<div>" * 20000 + "<p>x"
-    rows = X.parse_pages(pages(spark, deep, None, "<p>")).select("page_id", "error").collect()
-    assert [r.error for r in rows] == [None] * 3
+    deep = "<p>" + "<button>" + "<div>" * 200_000 + "<p>x"
+    dom = pages(spark, deep, None).select(outline(F.col("html")).alias("d")).collect()
+    assert dom[0].d.pieces == ["x"] and dom[0].d.error is None
+    assert dom[1].d.nodes == []
+
+
+def test_unreadable_page_stops_no_other(monkeypatch):
+    read = html_functions._Outline.feed
+
+    def feed(self, page):
+        if page == "bad":
+            raise AssertionError("no")
+        read(self, page)
+
+    monkeypatch.setattr(html_functions._Outline, "feed", feed)
+    got = html_functions._outlines(pa.array(["<p>a", "bad", "<p>b"])).to_pylist()
+    assert [g["error"] for g in got] == [None, "AssertionError: no", None]
+    assert [g["pieces"] for g in got] == [["a"], [], ["b"]]
+
+
+MARKUP = st.lists(
+    st.sampled_from(
+        ["<p>", "</p>", "<div id=a>", "</div>", "<b>", "</b>", "<td>", "</table>", "<li>", "<a href=x>"]
+        + ["</a>", "<br>", "<!--", "-->", "<script>", "</script>", "<", ">", "&", "&amp;", " ", "é", "'", '"', "<h3>"]
+    ),
+    max_size=40,
+).map("".join)
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.lists(MARKUP, max_size=4))
+def test_outlines_hold_together(htmls):
+    for dom in html_functions._outlines(pa.array(htmls, pa.string())).to_pylist():
+        assert dom["error"] is None
+        ends = []
+        for i, node in enumerate(dom["nodes"]):
+            assert 0 <= node["p0"] <= node["p1"] <= len(dom["pieces"])
+            last = i + node["size"]
+            assert last < len(dom["nodes"])
+            while ends and ends[-1][0] < i:
+                ends.pop()
+            if ends:  # a node lies inside the nodes that are open around it
+                assert last <= ends[-1][0] and node["p1"] <= ends[-1][1]
+            ends.append((last, node["p1"]))
+        assert all(piece == piece.strip() != "" for piece in dom["pieces"])
 
 
 # --- structured data ------------------------------------------------------------
