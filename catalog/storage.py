@@ -32,15 +32,22 @@ def company_csv(spark, sf_dir):
 
 
 def combined_csv(spark, sf_dir):
-    """Combined reviews as a folder of CSV files, read back as a review folder."""
+    """Combined reviews, written as CSV and read back."""
     path = scratch_dir(spark)
-    write.write_combined(reviews(spark, sf_dir).select(*_FIELDS, "ord"), path)
+    write.write_combined(reviews(spark, sf_dir).select(*_FIELDS, "company"), path)
+    back = read.read_combined(spark, path)
+    return back.drop("row").withColumn("rating", text.rating_float(F.col("rating")))
+
+
+def review_folder(spark, sf_dir):
+    """A folder of files with different columns."""
+    path = scratch_dir(spark)
+    rows = reviews(spark, sf_dir).select(*_FIELDS, "ord")
+    write.write_combined(rows.where("ord % 2 = 0"), path)
+    without = rows.where("ord % 2 = 1").select("location", "ord", "body", "review_id")
+    write.write_combined(without, path, mode="append")
     back = read.read_review_folder(spark, path)
-    return back.select(
-        *[c for c in _FIELDS if c != "rating"],
-        text.rating_float(F.col("rating")).alias("rating"),
-        F.col("ord").cast("bigint").alias("ord"),
-    )
+    return back.select("review_id", "title", "body", "location", F.col("ord").cast("bigint"))
 
 
 def classified_parquet(spark, sf_dir):
@@ -128,7 +135,12 @@ QUERIES = {
     ),
     "combined_csv": (
         combined_csv,
-        f"select {_null_if_blank(_FIELDS)}, ord from ({REVIEWS_SQL}) r",
+        f"select {_null_if_blank(_FIELDS)}, company from ({REVIEWS_SQL}) r",
+    ),
+    "review_folder": (
+        review_folder,
+        f"""select review_id, case when ord % 2 = 0 then title end as title,
+          nullif(body, '') as body, location, ord from ({REVIEWS_SQL}) r""",
     ),
     "classified_parquet": (
         classified_parquet,

@@ -12,7 +12,10 @@ from ..schema import LABEL_COLS, PASSTHROUGH_COLS, REVIEW_SCHEMA
 
 def to_review(df: DataFrame) -> DataFrame:
     """The eight review fields, in their fixed order and types."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType) for f in REVIEW_SCHEMA.fields])
+    columns = {f.name: F.col(f.name).cast(f.dataType) for f in REVIEW_SCHEMA.fields}
+    if isinstance(df.schema["rating"].dataType, T.StringType):
+        columns["rating"] = text.rating_float(F.col("rating"))
+    return df.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def passthrough(df: DataFrame, cols: Iterable[str] = PASSTHROUGH_COLS) -> DataFrame:

@@ -9,7 +9,14 @@ from collections.abc import Iterable
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+from pyspark.sql import (
+    Column,
+    DataFrame,
+    DataFrameReader,
+    SparkSession,
+    functions as F,
+    types as T,
+)
 
 from ..functions import text
 from ..operators.dedup import union_outer
@@ -46,17 +53,10 @@ def _csv(spark: SparkSession, names: Iterable[str], multi_line: bool) -> DataFra
     ).options(header=True, multiLine=multi_line, quote='"', escape='"')
 
 
-def read_review_folder(
-    spark: SparkSession, path: str, multi_line: bool | None = None
+def _csv_files(
+    spark: SparkSession, path: str, multi_line: bool | None, company: Column | None = None
 ) -> DataFrame:
-    """All ``*.csv`` files of a folder, with ``company`` from the file name.
-
-    Files may have different columns; they are matched by name. All columns are
-    text and an empty value is null. ``row`` gives the order within a file.
-
-    A file with line breaks inside quotes cannot be split, the others can. Which
-    are which is found by a scan of the text, unless ``multi_line`` says it.
-    """
+    """The CSV files of a folder, columns matched by name, empty values null."""
     try:
         files = _files(spark, f"{path.rstrip('/')}/*.csv", multi_line is None).collect()
     except AnalysisException as ex:
@@ -70,17 +70,41 @@ def read_review_folder(
     parts = []
     for (header, whole), paths in alike.items():
         names = next(csv.reader([header]))
-        parts.append(
-            _csv(spark, names, whole)
-            .csv(paths)
-            .select(
-                *[text.blank_to_null(F.col(f"`{n}`")).alias(n) for n in names if n != "company"],
-                text.company_from_path(F.col("_metadata.file_name")).alias("company"),
-            )
-        )
+        columns = {n: text.blank_to_null(F.col(f"`{n}`")) for n in names}
+        if company is not None:
+            columns["company"] = company
+        part = _csv(spark, names, whole).csv(paths)
+        parts.append(part.select(*[c.alias(n) for n, c in columns.items()]))
     return union_outer(parts).withColumn("row", F.monotonically_increasing_id())
 
 
+def read_review_folder(
+    spark: SparkSession, path: str, multi_line: bool | None = None
+) -> DataFrame:
+    """All ``*.csv`` files of a folder, with ``company`` from the file name.
+
+    Files may have different columns; they are matched by name. All columns are
+    text and an empty value is null. ``row`` gives the order within a file.
+
+    A file with line breaks inside quotes cannot be split, the others can. Which
+    are which is found by a scan of the text, unless ``multi_line`` says it.
+    """
+    company = text.company_from_path(F.col("_metadata.file_name"))
+    return _csv_files(spark, path, multi_line, company)
+
+
+def read_combined(
+    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool | None = None
+) -> DataFrame:
+    """What ``write_combined`` wrote; CSV columns are text, as in a review folder."""
+    if fmt == "csv":
+        return _csv_files(spark, path, multi_line)
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as ex:
+        raise FileNotFoundError(path) from ex
+
+
 def read_company_csv(spark: SparkSession, path: str) -> DataFrame:
     """What ``write_company_csv`` wrote: the review fields, ``slug``, ``company``.
 

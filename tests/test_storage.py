@@ -58,6 +58,20 @@ def test_folder_without_files(spark, tmp_path):
         read.read_review_folder(spark, str(tmp_path))
 
 
+def test_combined(spark, tmp_path):
+    rows = [("1", 'a "b"\nc', 4.5, "DHL"), ("2", None, None, "X")]
+    df = spark.createDataFrame(rows, "review_id string, body string, rating double, company string")
+    for fmt in ("csv", "parquet"):
+        write.write_combined(df, str(tmp_path / fmt), fmt)
+        back = read.read_combined(spark, str(tmp_path / fmt), fmt)
+        assert sorted((r.review_id, r.body, r.company) for r in back.collect()) == [
+            ("1", 'a "b"\nc', "DHL"),
+            ("2", None, "X"),
+        ]
+        with pytest.raises(FileNotFoundError):
+            read.read_combined(spark, str(tmp_path / "none"), fmt)
+
+
 def specs(spark, header, rows, **kwargs):
     df = spark.createDataFrame(rows, ", ".join(f"`{h}` string" for h in header)).coalesce(1)
     return [tuple(r)[:2] for r in companies.company_specs(df, **kwargs).collect()]
