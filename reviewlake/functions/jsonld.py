@@ -43,7 +43,7 @@ _NODE_FIELDS = [
 def scripts(html: Column) -> Column:
     """Bodies of the JSON-LD scripts, in page order."""
     # Most pages have none; they are spared the element scan.
-    page = F.when(F.rlike(html, F.lit(rf"application/ld{_PLUS}json")), html)
+    page = F.when(F.contains(html, F.lit("application/ld")), html)
     raw = F.regexp_extract_all(page, F.lit(_RAW), F.lit(0))
     structured = F.filter(
         raw, lambda e: F.rlike(F.regexp_extract(e, _HEAD, 1), F.lit(_TYPE))
