@@ -47,7 +47,7 @@ _SITE_SQL = f"""select ord, source, review_id, case when not {IS_CALL} then titl
 # without a time the text of its element is the date.
 _GENERIC_SQL = f"""select ord, source, review_id, coalesce(title, author) as title, body, rating,
   author, case when date_published = '' then '-' else date_published end as date_published,
-  location, {OTHER_URL_SQL} as source_url, {PAGE_ID} as page_id
+  location, {OTHER_URL_SQL} as source_url, {PAGE_ID} as page_id, {POS} as place
   from ({_ROWS_SQL}) s where not {IS_CALL}"""
 _BOTH_SQL = f"select * from ({_STRUCTURED_SQL}) a union all select * from ({_SITE_SQL}) b"
 
@@ -151,11 +151,45 @@ def harvest_capped(spark, sf_dir):
     return _found(_harvest(spark, sf_dir, max_reviews=3), "company")
 
 
+def harvest_other_site(spark, sf_dir):
+    """Companies given by the URL of their page on another site."""
+    listed = (
+        table(spark, sf_dir, "documents")
+        .groupBy("source")
+        .agg(F.min("doc_id").alias("doc_id"))
+        .selectExpr(
+            "source as company",
+            "concat('https://reviews.example.com/review/', source, '.example?page=1') as url",
+            "doc_id",
+        )
+    )
+    specs = company_specs(listed, order_col="doc_id")
+    return _found(harvest(other_pages(spark, sf_dir), specs), "company")
+
+
+def harvest_rendered(spark, sf_dir):
+    """A second snapshot, of markup only, for companies the first one lacks."""
+    pages = materialize(site_pages(spark, sf_dir))
+    first = pages.where("page_id % 20 % 4 <> 0")
+    second = pages.withColumn("html", F.regexp_replace("html", "application/ld", "text/x"))
+    specs = company_specs(harvest_list(spark, sf_dir), order_col="doc_id")
+    return _found(harvest(first, specs, rendered=second), "company")
+
+
 def harvest_cleaned(spark, sf_dir):
     order = ["company", "page_seq", "source_rank", "pos"]
     return _found(clean_reviews(combine(_harvest(spark, sf_dir)), order), "company")
 
 
+def test_run(spark, sf_dir):
+    """The flow's test mode: three reviews per company, three rows labeled, no load."""
+    specs = company_specs(harvest_list(spark, sf_dir), order_col="doc_id")
+    labeled = run(
+        site_pages(spark, sf_dir), specs, _first_letter_labeler, "none", test_mode=True, first_pause=0.0
+    )
+    return labeled.select("review_id", "review", "company")
+
+
 def full_run(spark, sf_dir):
     """Pages to the loaded table of classified reviews."""
     path = scratch_dir(spark)
@@ -169,14 +203,26 @@ def full_run(spark, sf_dir):
     )
 
 
-_HARVEST_SQL = f"""select *, cast(floor(ord / 200) as int) as page_seq from (
-  select *, row_number() over (partition by source, {sql.fingerprint('review_id', 'author', 'body')}
-    order by floor(ord / 200), source_rank, place) as rn from ({_BOTH_SQL}) b where {_NOT_EMPTY}) k
-  where rn = 1"""
-_CLEANED_SQL = f"""select * from (select *, upper(concat(source, '.example')) as company,
-    row_number() over (partition by review_id
-      order by upper(concat(source, '.example')), page_seq, source_rank, place) as rk
-  from ({_HARVEST_SQL}) h where review_id is not null) c where rk = 1"""
+def _harvest_sql(rows: str, rank: str = "source_rank") -> str:
+    return f"""select *, cast(floor(ord / 200) as int) as page_seq from (
+      select *, row_number() over (partition by source, {sql.fingerprint('review_id', 'author', 'body')}
+        order by floor(ord / 200), {rank}, place) as rn from ({rows}) b where {_NOT_EMPTY}) k
+      where rn = 1"""
+
+
+def _cleaned_sql(rows: str) -> str:
+    return f"""select * from (select *, upper(concat(source, '.example')) as company,
+        row_number() over (partition by review_id
+          order by upper(concat(source, '.example')), page_seq, source_rank, place) as rk
+      from ({rows}) h where review_id is not null) c where rk = 1"""
+
+
+_HARVEST_SQL = _harvest_sql(_BOTH_SQL)
+_CLEANED_SQL = _cleaned_sql(_HARVEST_SQL)
+_CAPPED_SQL = f"""select * from (
+  select *, row_number() over (partition by source order by page_seq, source_rank, place) as nth
+  from ({_HARVEST_SQL}) h) c where nth <= 3"""
+_LACKING = "cast(substring(source, 4) as int) % 4 = 0"
 
 QUERIES = {
     "structured_payloads": (
@@ -244,9 +290,25 @@ QUERIES = {
     ),
     "harvest_capped": (
         harvest_capped,
-        f"""select {_FIELDS}, concat(source, '.example') as company from (
-          select *, row_number() over (partition by source order by page_seq, source_rank, place) as nth
-          from ({_HARVEST_SQL}) h) c where nth <= 3""",
+        f"select {_FIELDS}, concat(source, '.example') as company from ({_CAPPED_SQL}) c",
+    ),
+    "harvest_other_site": (
+        harvest_other_site,
+        f"select {_FIELDS}, source as company from ({_harvest_sql(_GENERIC_SQL, '0')}) h",
+    ),
+    "harvest_rendered": (
+        harvest_rendered,
+        f"""select {_FIELDS}, concat(source, '.example') as company from ({_HARVEST_SQL}) a
+        where not {_LACKING}
+        union all select {_FIELDS}, concat(source, '.example') from ({_harvest_sql(_SITE_SQL)}) b
+        where {_LACKING}""",
+    ),
+    "test_run": (
+        test_run,
+        f"""select review_id, body as review, company from (
+          select * from ({_cleaned_sql(_CAPPED_SQL)}) c
+          order by company, page_seq, source_rank, place limit 3) t
+        where coalesce(body, '') <> ''""",
     ),
     "harvest_cleaned": (
         harvest_cleaned,
