@@ -139,7 +139,7 @@ def _join(base: str | None, href: str | None) -> str | None:
     try:
         return urljoin(base, href)
     except ValueError:
-        return None
+        return ""
 
 
 def _resolve(base: pa.Array, href: pa.Array) -> pa.Array:
@@ -149,8 +149,18 @@ def _resolve(base: pa.Array, href: pa.Array) -> pa.Array:
 
 
 def resolve_url(base: Column, href: Column) -> Column:
-    """A link of a page as an absolute URL."""
-    return F.arrow_udf(_resolve, "string")(base, href)
+    """A link of a page as an absolute URL; null if it cannot be one."""
+    return text.blank_to_null(F.arrow_udf(_resolve, "string")(base, href))
+
+
+def follow(base: Column, href: Column) -> Column:
+    """The link, or without one the URL with its page raised."""
+    # Asks whether there is a link of the resolved one, so that `href`, which
+    # may be costly to find, is not worked out again.
+    resolved = F.arrow_udf(_resolve, "string")(base, href)
+    return F.when(resolved.isNull(), increment_page(base)).otherwise(
+        text.blank_to_null(resolved)
+    )
 
 
 # The helpers travel with the job; executors need no copy of this package.

@@ -416,7 +416,7 @@ def parse_pages(pages: DataFrame, links: bool = True) -> DataFrame:
     )
     if not links:
         return parsed
-    return parsed.withColumn("next_url", _follow(F.col("url"), F.col("_href"))).drop("_href")
+    return parsed.withColumn("next_url", urls.follow(F.col("url"), F.col("_href"))).drop("_href")
 
 
 def page_reviews(parsed: DataFrame, on_site: Column | None = None) -> DataFrame:
@@ -486,18 +486,12 @@ def _says(word: str) -> Rule:
     return lambda a: _mentions(a["only"], word)
 
 
-def _follow(url: Column, href: Column) -> Column:
-    return F.when(href.isNotNull(), urls.resolve_url(url, href)).otherwise(
-        urls.increment_page(url)
-    )
-
-
 def next_page_url(pages: DataFrame) -> DataFrame:
     """Page columns with ``next_url``: a link, else the URL with its page raised."""
     read = pages.select(*_page_cols(pages), outline(F.col("html")).alias("_dom"))
     linked = read.select(*_page_cols(pages), _link(F.col("_dom")).alias("_href"))
     return linked.select(
-        *_page_cols(pages), _follow(F.col("url"), F.col("_href")).alias("next_url")
+        *_page_cols(pages), urls.follow(F.col("url"), F.col("_href")).alias("next_url")
     )
 
 

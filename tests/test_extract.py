@@ -319,6 +319,7 @@ NEXT = [
     ("<a href='//o/x'>»</a>", "https://h/", "https://o/x"),
     ("", "http://h/p?q=1&page=3#x", "http://h/p?q=1&page=4#x"),
     ("", "http://h/p?page=x", None),
+    ("<a rel=next href='http://[x'>x</a>", "http://h/p", None),
     (None, "http://h/p", "http://h/p?page=2"),
 ]
 
