@@ -207,7 +207,7 @@ def classify(
     df: DataFrame,
     labeler: Labeler,
     text_col: str = "body",
-    spread_by: Sequence[str] = ("review_id",),
+    spread_by: Sequence[str] | None = None,
     tries: int = TRIES,
     first_pause: float = FIRST_PAUSE,
     longest_pause: float = LONGEST_PAUSE,
@@ -216,8 +216,10 @@ def classify(
 
     ``labeler`` answers a batch of texts. Equal texts are asked for once; their
     answers are written down, so that nothing later asks again. ``df`` is read
-    twice. ``spread_by`` tells rows of equal text apart.
+    twice. ``spread_by`` tells rows of equal text apart, by default with all
+    other columns; a table with exact copies needs a row number for it.
     """
+    spread_by = spread_by or [c for c in df.columns if c != text_col] or [text_col]
     label = retry(labeler, tries, first_pause, longest_pause)
 
     def label_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

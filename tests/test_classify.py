@@ -171,6 +171,17 @@ def test_classify_without_ids(spark):
     df = spark.createDataFrame([("hola", "c")], "body string, company string")
     row = C.classify(df, shout, spread_by=["company"], first_pause=0.0).first()
     assert (row.review_id, row.review) == (None, "hola")
+    row = C.classify(df.select("body"), shout, first_pause=0.0).first()
+    assert (row.review_id, row.sentiment_label) == (None, "HOLA")
+
+
+def test_half_of_all_reviews_say_the_same(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_SHARE", 4)
+    rows = [(str(i), "ok" if i % 2 else f"texto {i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "review_id string, body string")
+    got = C.classify(df, shout, first_pause=0.0).collect()
+    assert sorted((r.review_id, r.review) for r in got) == sorted(rows)
+    assert all(r.sentiment_label == r.review.upper() for r in got)
 
 
 def test_lexicon(spark):
