@@ -7,20 +7,24 @@ pruning for its readers and gives the optimizer a real size to plan with.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder."""
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """A new folder below the cluster's shared checkpoint folder.
+
+    A session without that setting uses its warehouse folder, which is shared too.
+    If that is on a local disk, only a session on one machine may use it.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        # Only a session without the setting (a test on one machine) gets here.
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="reviewlake-"))
-        base = context.getCheckpointDir()
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        master = spark.sparkContext.master
+        if urlsplit(base).scheme in ("", "file") and not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/reviewlake-{uuid.uuid4().hex}"
 
 
