@@ -1,7 +1,7 @@
 """Operators of a training-data pipeline; ``QUERIES`` has their registered queries."""
 
-from . import line_dedup, mixing, warc
+from . import bpe, language, line_dedup, mixing, warc
 
 QUERIES = {}
-for _module in (mixing, line_dedup, warc):
+for _module in (mixing, bpe, line_dedup, language, warc):
     QUERIES.update(_module.QUERIES)
