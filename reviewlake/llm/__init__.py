@@ -1,7 +1,7 @@
 """Operators of a training-data pipeline; ``QUERIES`` has their registered queries."""
 
-from . import bpe, language, line_dedup, mixing, outliers, quality, warc
+from . import bpe, language, line_dedup, mixing, outliers, quality, substrings, warc
 
 QUERIES = {}
-for _module in (mixing, outliers, quality, bpe, line_dedup, language, warc):
+for _module in (mixing, outliers, quality, bpe, substrings, line_dedup, language, warc):
     QUERIES.update(_module.QUERIES)
