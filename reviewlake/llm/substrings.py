@@ -8,7 +8,7 @@ windows of 35 words around it are hashed in full and counted.
 
 * The first pass sends a number per anchor, counted per slice of text and in each task
   before the shuffle. The anchors that occur twice are turned into a bitmap of at most
-  ``BITMAP`` bits (32 MB), which is broadcast; a false bit only makes a window a candidate.
+  ``BITMAP`` bits (8 MB), which is broadcast; a false bit only makes a window a candidate.
 * The second pass sends the candidate windows. Consecutive windows that have their least
   15-word hash in common travel as one row, dealt by that hash, so equal windows meet.
 * A window found twice in one slice is decided there, and one row speaks for all: a passage
@@ -42,7 +42,7 @@ from .tokens import hashed_words, mixed, rolled, slices, starts_of, texts_of, wi
 WINDOW = 35
 #: Fixed value: a perfect difference set. Each remainder is a difference of two of them.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
-BITMAP = 1 << 28
+BITMAP = 1 << 26
 SLICE = 8_000_000
 SEEDS = (11, 12, 13)
 
@@ -110,20 +110,20 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
 
 def bitmap(hashes: DataFrame, n: int) -> np.ndarray:
     """A bit per hash ``h``, by its first bits. Between 2**16 and ``BITMAP`` bits."""
-    bits = min(BITMAP.bit_length() - 1, max(16, (32 * n).bit_length()))
+    bits = min(BITMAP.bit_length() - 1, max(16, (16 * n).bit_length()))
     place = F.shiftrightunsigned("h", 64 - bits)
     rows = hashes.withColumn("place", place).select(
-        F.shiftright("place", 5).alias("word"), F.expr("shiftleft(1L, cast(place & 31 as int))").alias("bit")
+        F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit")
     )
-    found = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(1 << (bits - 5), dtype=np.uint32)
-    out[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64).astype(np.uint32)
-    return out
+    found = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out.view(np.uint64)
 
 
 def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes >> np.uint64(64 - (len(bits).bit_length() - 1 + 5))
-    return (bits[(place >> np.uint64(5)).astype(np.int64)] >> (place & np.uint64(31)).astype(np.uint32)) & 1 > 0
+    place = hashes >> np.uint64(64 - (len(bits).bit_length() - 1 + 6))
+    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
 
 
 def runs(breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
