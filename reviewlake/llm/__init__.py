@@ -1,7 +1,7 @@
 """Operators of a training-data pipeline; ``QUERIES`` has their registered queries."""
 
-from . import bpe, language, line_dedup, mixing, near_dups, outliers, quality, substrings, warc
+from . import bpe, language, line_dedup, mixing, near_dups, neighbours, outliers, quality, substrings, warc
 
 QUERIES = {}
-for _module in (mixing, outliers, quality, bpe, substrings, near_dups, line_dedup, language, warc):
+for _module in (mixing, neighbours, outliers, quality, bpe, substrings, near_dups, line_dedup, language, warc):
     QUERIES.update(_module.QUERIES)

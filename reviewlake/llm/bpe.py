@@ -261,6 +261,11 @@ def decode_all(coder: Codec, ids: list[np.ndarray]) -> Iterator[bytes]:
             yield from coder.decode(ids[s])
 
 
+def id_lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int32), *ids]), pa.int32()))
+
+
 def with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     names = [n for n in batch.schema.names if n.lower() != name.lower()]
     return pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], values], [*names, name])
@@ -278,9 +283,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, column: str = "text", t
         for batch in batches:
             coder = codec(file.value, pattern)
             ids = list(encode_all(coder, batch.column(column).to_pylist()))
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.concatenate([np.empty(0, np.int32), *ids])
-            yield with_column(batch, to, pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32())))
+            yield with_column(batch, to, id_lists(ids))
 
     return df.mapInArrow(run, schema_with(df, to, ArrayType(IntegerType())))
 
@@ -298,12 +301,14 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, column: str = "ids", to
     return df.mapInArrow(run, schema_with(df, to, BinaryType()))
 
 
-def digests(df: DataFrame, ranks_path: str, pattern: str, column: str = "text") -> DataFrame:
-    """Every other column of ``df``, and ``n_tokens, ids_sha256, decoded_sha256``.
+def digests(
+    df: DataFrame, ranks_path: str, pattern: str, column: str = "text", ids_too: bool = False
+) -> DataFrame:
+    """Every other column of ``df``, ``n_tokens, ids_sha256, decoded_sha256``, and ``ids`` if wanted.
 
-    Encodes, and decodes the ids, in one pass, so neither leaves the worker.
+    Encodes, and decodes the ids, in one pass, so that one worker does both.
     """
-    new = ("n_tokens", "ids_sha256", "decoded_sha256")
+    new = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids_too]
     file = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     kept = [c for c in df.columns if c.lower() not in new and c != column]
 
@@ -311,19 +316,21 @@ def digests(df: DataFrame, ranks_path: str, pattern: str, column: str = "text")
         for batch in batches:
             coder = codec(file.value, pattern)
             texts = batch.column(column)
-            counts, of_ids, of_bytes = [], [], []
+            counts, of_ids, of_bytes, flat = [], [], [], []
             for s in in_slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), PIECE):
                 ids = list(encode_all(coder, texts[s].to_pylist()))
                 counts += map(len, ids)
                 of_ids += [sha256(" ".join(coder.decimal[x].tolist()).encode()) for x in ids]
                 of_bytes += map(sha256, decode_all(coder, ids))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in kept], pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
-                [*kept, *new],
-            )
+                flat += ids if ids_too else []
+            found = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
+            if ids_too:
+                found.append(id_lists(flat))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *found], [*kept, *new])
 
     out = StructType([df.schema[c] for c in kept])
-    return df.mapInArrow(run, out.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string"))
+    out = out.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    return df.mapInArrow(run, out.add("ids", ArrayType(IntegerType())) if ids_too else out)
 
 
 def sha256(x: bytes) -> str:

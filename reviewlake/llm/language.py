@@ -205,17 +205,13 @@ def identify(docs: DataFrame, model: ContextTrees, keep: Sequence[str] | None =
     names = ("lang_pred", "score")
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     trees = docs.sparkSession.sparkContext.broadcast(model)
-    # No user's column has this name.
-    judged = "_text_with_a_letter"
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = trees.value
-            texts = batch.column(judged).to_pylist()
-            rows = [i for i, x in enumerate(texts) if x is not None] if t.languages else []
-            pred, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            rows = [i for i, letter in enumerate(batch.column("_letter").to_pylist()) if letter and t.languages]
+            pred, score = [UNDETERMINED] * len(batch), np.zeros(len(batch))
             if rows:
-                bits = t.code_lengths([texts[i] for i in rows])
+                bits = t.code_lengths(batch.column("_text").cast(pa.binary()).take(rows).to_pylist())
                 best = bits.argmin(axis=1)
                 share = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
                 for i, b, p in zip(rows, best, share, strict=True):
@@ -225,10 +221,8 @@ def identify(docs: DataFrame, model: ContextTrees, keep: Sequence[str] | None =
                 [*kept, *names],
             )
 
-    given = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.when(F.col("text").rlike(r"\p{L}"), F.col("text").cast("binary")).alias(judged),
-    )
+    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    given = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").alias("_text"), letter.alias("_letter"))
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("lang_pred", "string").add("score", "double")
     return given.mapInArrow(run, schema)
 

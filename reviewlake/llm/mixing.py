@@ -92,7 +92,8 @@ def targets(sizes: DataFrame, schedules: Sequence[Schedule], share: float, max_r
         ((F.row_number().over(by_name) - 1) % len(schedules) + 1).cast("int"),
     )
     # Sources reach their limits in the order of limit / weight. The level is the one
-    # at which the first source that stays below its limit, and all after it, stand.
+    # at which the first source that stays below its limit, and all after it, stand: the
+    # highest of those that such a source would give.
     order = Window.orderBy("_full_at", "_source")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -106,7 +107,7 @@ def targets(sizes: DataFrame, schedules: Sequence[Schedule], share: float, max_r
         .withColumn("_limit", F.col("source_size") * F.lit(max_repeats))
         .withColumn("_full_at", F.col("_limit") / F.col("_weight"))
         .withColumn("_level", level)
-        .withColumn("_level", F.min(F.when(F.col("_level") <= F.col("_full_at"), F.col("_level"))).over(whole))
+        .withColumn("_level", F.max(F.when(F.col("_level") <= F.col("_full_at"), F.col("_level"))).over(whole))
         .withColumn("target", F.coalesce(F.least("_limit", F.col("_weight") * F.col("_level")), F.col("_limit")))
         .select("_source", "_class", "source_size", "target")
     )
@@ -225,7 +226,7 @@ levels as (
   from ranked),
 targets as (
   select src, class, source_size,
-    coalesce(least(lim, weight * min(case when lev <= lim / weight then lev end) over ()), lim) as target
+    coalesce(least(lim, weight * max(case when lev <= lim / weight then lev end) over ()), lim) as target
   from levels),
 laid as (
   select p.*, t.class, t.source_size, t.target, floor(t.target + 0.5::double) as goal,

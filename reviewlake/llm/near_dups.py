@@ -43,10 +43,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..scratch import materialize, materialize_counted
-from .common import table
+from .common import WORD, table
 from .components import components
 from .tokens import hashed_words, mixed, rolled, slices, starts_of, texts_of
 
@@ -374,7 +374,10 @@ def linked_classes(docs: DataFrame, classes: DataFrame, width: int, similarity:
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, n_shingles, id, component_id`` of each document; ``id`` tells its set."""
+    """``doc_id, n_shingles, text_key, id, label, component_id`` of each document.
+
+    ``text_key`` is the digest of its text, ``id`` tells its set, ``label`` its component.
+    """
     rows = materialize(sketches(docs, width))
     classes = materialize(
         rows.where("id is not null")
@@ -390,14 +393,32 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = S
     labels = linked_classes(docs, classes, width, similarity)
     named = classes.select("id", "doc_id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    groups = materialize(named.join(least, "label").select("id", "component_id"))
+    groups = materialize(named.join(least, "label").select("id", "label", "component_id"))
     return (
-        rows.select("doc_id", "n_shingles", "id")
+        rows.select("doc_id", "n_shingles", "text_key", "id")
         .join(groups, "id", "left")
         .withColumn("component_id", F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     )
 
 
+def row_key(text_key: Column) -> Column:
+    return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.lit("/"), F.hex(text_key))
+
+
+def one_of_each(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one row of each component, the one of the least id.
+
+    Documents without words stay. The texts are moved once, to meet the chosen rows.
+    """
+    found = near_duplicates(docs, width, similarity).where("id is not null")
+    least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))).alias("_one")
+    chosen = materialize(found.groupBy("label").agg(least).select("_one.*").select(row_key(F.col("text_key")).alias("_row")))
+    keyed = docs.withColumn("_row", row_key(F.unhex(F.md5(F.col("text").cast("binary")))))
+    has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    kept = keyed.where(has_words).join(chosen, "_row", "left_semi").dropDuplicates(["_row"])
+    return kept.drop("_row").unionByName(docs.where(~has_words))
+
+
 def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = near_duplicates(docs, width=4)
