@@ -8,14 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reviewlake.scratch import spread_scan
-
 REVIEWS = """
 select
   case when d.doc_id % 37 = 0 then null
        when d.doc_id % 10 = 3 then cast(d.doc_id - 1 as string)
        else cast(d.doc_id as string) end                                   as review_id,
-  case when d.doc_id % 7 = 0 then null else substring(d.text, 1, 40) end   as title,
+  case when d.doc_id % 7 = 0 then null else regexp_extract(d.text, '^[^.\n]*', 0) end as title,
   case when d.doc_id % 41 = 0 then '' else d.text end                      as body,
   case when d.doc_id % 11 = 0 then null
        else cast(d.doc_id % 6 as double) end                               as rating,
@@ -88,13 +86,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def wide_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """The table on all cores, for work that costs more than moving the rows."""
-    return spread_scan(table(spark, sf_dir, name), key)
+    return table(spark, sf_dir, name).repartition(cores(spark), key)
+
+
+def cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
 
 
 def reviews(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     if spread:
-        documents = spread_scan(documents, "doc_id")
+        documents = documents.repartition(cores(spark), "doc_id")
     return spark.sql(REVIEWS, documents=documents, labels=table(spark, sf_dir, "labels"))
 
 

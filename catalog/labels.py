@@ -45,10 +45,20 @@ def parse_answers(spark, sf_dir):
     return parsed.select("ord", *ANSWER_LABELS, F.col("error").isNotNull().alias("failed"))
 
 
+# Turns as they are, turns as a label inside an answer, and turns around an answer.
+_TURN = """case conv_id % 3 when 0 then text
+  when 1 then concat('{"sentiment_label": "', regexp_replace(text, '[^A-Za-z ]', ''),
+    '", "general_category": null, "specific_category": [1]}')
+  else concat(regexp_replace(text, '[{}]', ''), '{"specific_category": "c", "general_category": "g", "sentiment_label": "',
+    role, '"}') end"""
+
+
 def parse_conversations(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").withColumnRenamed("text", "answer")
-    parsed = C.parse_answers(turns.select("conv_id", "turn", "answer"))
-    return parsed.select("conv_id", "turn", "sentiment_label", F.col("error").isNotNull().alias("failed"))
+    turns = table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", f"{_TURN} as answer")
+    parsed = C.parse_answers(turns)
+    return parsed.select(
+        "conv_id", "turn", *ANSWER_LABELS, F.col("error").isNotNull().alias("failed")
+    )
 
 
 def label_errors(spark, sf_dir):
@@ -65,7 +75,7 @@ def required_fields(spark, sf_dir):
         "ord",
         answer_functions.has_required_fields(answer).alias("complete"),
         answer_functions.missing_fields_error(answer).alias("missing"),
-    ).where("ord % 19 <> 0 and ord % 13 <> 0 and ord % 11 <> 0")
+    )
 
 
 def validate_labels(spark, sf_dir):
@@ -102,7 +112,6 @@ def classify_reviews(spark, sf_dir):
     labeled = C.classify(
         reviews(spark, sf_dir, spread=True),
         _first_letter_labeler,
-        spread_by=["ord"],
         first_pause=0.0,
     )
     return labeled.select(
@@ -146,7 +155,11 @@ QUERIES = {
     "parse_answers": (parse_answers, _PARSED_SQL),
     "parse_conversations": (
         parse_conversations,
-        "select conv_id, turn, cast(null as varchar) as sentiment_label, true as failed from conversations",
+        """select conv_id, turn, case conv_id % 3 when 1 then regexp_replace(text, '[^A-Za-z ]', '', 'g')
+            when 2 then role end as sentiment_label,
+          case conv_id % 3 when 2 then 'g' end as general_category,
+          case conv_id % 3 when 1 then '[1]' when 2 then 'c' end as specific_category,
+          conv_id % 3 = 0 as failed from conversations""",
     ),
     "label_errors": (
         label_errors,
@@ -155,9 +168,8 @@ QUERIES = {
     ),
     "required_fields": (
         required_fields,
-        f"""select ord, ord % 17 <> 0 as complete,
-          case when ord % 17 = 0 then 'Faltan campos obligatorios: [''specific_category'']' end as missing
-        from ({ANSWERS_SQL}) a where ord % 19 <> 0 and ord % 13 <> 0 and ord % 11 <> 0""",
+        f"""select ord, not {ANSWER_FAILS} as complete, case when ord % 19 <> 0 and ord % 17 = 0
+          then 'Faltan campos obligatorios: [''specific_category'']' end as missing from ({ANSWERS_SQL}) a""",
     ),
     "validate_labels": (
         validate_labels,

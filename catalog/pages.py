@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.operators import extract as X
 from reviewlake.operators.chain import page_chain
+from reviewlake.plans import flow
 from reviewlake.plans.flow import clean_reviews, combine, harvest, run
 from reviewlake.scratch import materialize, scratch_dir
 from reviewlake.sources.companies import company_specs
@@ -20,6 +21,7 @@ from .inputs import (
     POS,
     REVIEWS_SQL,
     SITE_URL_SQL,
+    cores,
     harvest_list,
     other_pages,
     site_pages,
@@ -92,14 +94,14 @@ def reviews_in_raw_pages(spark, sf_dir):
         F.concat(F.lit("Autor "), F.col("page_id")),
         F.lit("<p>Uno &amp; <i>dos</i><b>tres</section>"),
     )
-    pages = read_pages(spark, f"{sf_dir}/pages.parquet").withColumn(
+    pages = read_pages(spark, f"{sf_dir}/pages.parquet", cores(spark)).withColumn(
         "html", F.concat(F.replace("html", F.lit("<footer>"), F.concat(block, F.lit("<footer>"))), block)
     )
     return X.site_markup_reviews(pages).select("page_id", "review_id", "author", "body")
 
 
 def next_page(spark, sf_dir):
-    return X.next_page_url(read_pages(spark, f"{sf_dir}/pages.parquet")).select("page_id", "next_url")
+    return X.next_page_url(read_pages(spark, f"{sf_dir}/pages.parquet", cores(spark))).select("page_id", "next_url")
 
 
 def next_page_linked(spark, sf_dir):
@@ -108,7 +110,7 @@ def next_page_linked(spark, sf_dir):
         when page_id % 3 = 1 then concat('<a href="/q/', page_id, '"><b>Siguiente &raquo;</b></a>')
         else concat('<a href="/r/', page_id, '">a</a><a href="/s/', page_id, '">Older</a>') end"""
     )
-    pages = read_pages(spark, f"{sf_dir}/pages.parquet").withColumn("html", F.concat("html", link))
+    pages = read_pages(spark, f"{sf_dir}/pages.parquet", cores(spark)).withColumn("html", F.concat("html", link))
     return X.next_page_url(pages).select("page_id", "next_url")
 
 
@@ -126,12 +128,15 @@ def page_chains(spark, sf_dir):
 
 
 def fallback_source(spark, sf_dir):
-    """Companies without structured data get their markup reviews."""
-    pages = materialize(site_pages(spark, sf_dir))
+    """Companies whose pages lack structured data get their markup reviews."""
+    pages = site_pages(spark, sf_dir)
+    without = F.regexp_replace("html", "application/ld", "text/x")
+    pages = materialize(
+        pages.withColumn("html", F.when(F.expr("page_id % 20 % 4 = 0"), without).otherwise(F.col("html")))
+    )
     structured = X.jsonld_reviews(pages).withColumn("company", _company())
     markup = X.site_markup_reviews(pages).withColumn("company", _company())
-    primary = structured.where("cast(substring(company, 4) as int) % 4 <> 0")
-    return _found(X.with_fallback(primary, markup), "company")
+    return _found(X.with_fallback(structured, markup), "company")
 
 
 def _company():
@@ -176,6 +181,31 @@ def harvest_rendered(spark, sf_dir):
     return _found(harvest(first, specs, rendered=second), "company")
 
 
+def harvest_failures(spark, sf_dir):
+    """Companies without a page, and pages without HTML."""
+    specs = company_specs(harvest_list(spark, sf_dir), order_col="doc_id")
+    pages = site_pages(spark, sf_dir).withColumn("html", F.expr("case when page_id % 7 <> 0 then html end"))
+    return flow.harvest_failures(pages, specs)
+
+
+def deep_reviews(spark, sf_dir):
+    """Reviews below a thousand other elements, and inside a thousand of their own."""
+    deep = lambda tag, n: F.repeat(F.lit(tag), F.lit(n))
+    html = F.concat(
+        deep("<div>", 1000),
+        F.lit("<article data-review-id='r"),
+        F.col("page_id"),
+        F.lit("'>"),
+        deep("<section>", 1000),
+        F.concat(F.lit("<p>Cuerpo "), F.col("page_id"), F.lit("</p>")),
+        deep("</section>", 1000),
+        F.lit("<time datetime='2024'></time></article>"),
+        deep("</div>", 1000),
+    )
+    pages = table(spark, sf_dir, "pages").withColumn("html", html)
+    return X.site_markup_reviews(pages).select("page_id", "review_id", "body", "date_published")
+
+
 def harvest_cleaned(spark, sf_dir):
     order = ["company", "page_seq", "source_rank", "pos"]
     return _found(clean_reviews(combine(_harvest(spark, sf_dir)), order), "company")
@@ -303,6 +333,20 @@ QUERIES = {
         union all select {_FIELDS}, concat(source, '.example') from ({_harvest_sql(_SITE_SQL)}) b
         where {_LACKING}""",
     ),
+    "harvest_failures": (
+        harvest_failures,
+        # A page without HTML has no link, so its number leads on.
+        f"""select concat(source, '.example') as company, url, 'no HTML' as error
+        from (select distinct source, {SITE_URL_SQL} as url, {PAGE_ID} as page from ({REVIEWS_SQL}) r) p
+        where page % 7 = 0
+        union all select 'sin-paginas.example',
+          'https://es.trustpilot.com/review/sin-paginas.example', 'no page'""",
+    ),
+    "deep_reviews": (
+        deep_reviews,
+        """select page_id, concat('r', cast(page_id as string)) as review_id,
+          concat('Cuerpo ', cast(page_id as string)) as body, '2024' as date_published from pages""",
+    ),
     "test_run": (
         test_run,
         f"""select review_id, body as review, company from (

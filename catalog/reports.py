@@ -81,11 +81,15 @@ def explore_reviews(spark, sf_dir):
     return rows.select("ord", "review_id", "body", "general_category", "specific_category")
 
 
+_REVIEWED = """case when cast(substring(source, 4) as int) % 3 = 0
+  then concat(source, '-', location, '.example') else concat(source, '.example') end"""
+
+
 def harvest_coverage(spark, sf_dir):
     specs = with_start(company_specs(company_list(spark, sf_dir), order_col="doc_id"))
-    # Reviews of every third source are left out, so some companies have none.
-    found = reviews(spark, sf_dir).where("cast(substring(source, 4) as int) % 3 <> 0")
-    found = found.select(F.concat("source", F.lit(".example")).alias("slug"))
+    # The list has the sources; reviews are of sources and languages, so that some
+    # companies have all of theirs under other names, and none of their own.
+    found = reviews(spark, sf_dir).select(F.expr(_REVIEWED).alias("slug"))
     return report.harvest_coverage(specs, found).select("slug", "company_or_url", "n_reviews")
 
 
@@ -172,7 +176,7 @@ QUERIES = {
         harvest_coverage,
         f"""select s.slug, s.company_or_url, coalesce(n, 0) as n_reviews
         from (select {sql.slug('company')} as slug, company_or_url from ({SPECS_SQL}) x) s
-        left join (select concat(source, '.example') as slug, count(*) as n from documents
-          where cast(substring(source, 4) as int) % 3 <> 0 group by 1) r on s.slug = r.slug""",
+        left join (select {_REVIEWED} as slug, count(*) as n from ({REVIEWS_SQL}) d group by 1) r
+          on s.slug = r.slug""",
     ),
 }

@@ -13,6 +13,7 @@ from .inputs import CLASSIFIED_SQL, REVIEWS_SQL, classified, reviews, table
 from .tables import REVIEW_FIELDS
 
 _FIELDS = REVIEW_FIELDS.split(", ")
+_BLANK = "''"
 
 
 def _null_if_blank(names) -> str:
@@ -36,18 +37,28 @@ def combined_csv(spark, sf_dir):
     path = scratch_dir(spark)
     write.write_combined(reviews(spark, sf_dir).select(*_FIELDS, "company"), path)
     back = read.read_combined(spark, path)
-    return back.drop("row").withColumn("rating", text.rating_float(F.col("rating")))
+    return back.withColumn("rating", text.rating_float(F.col("rating")))
 
 
 def review_folder(spark, sf_dir):
-    """A folder of files with different columns."""
+    """A folder of files with different columns; the company is in the files' names."""
+    back = read.read_review_folder(spark, _review_files(spark, sf_dir, "ord"))
+    return back.select(
+        *[c for c in _FIELDS if c != "rating"],
+        text.rating_float(F.col("rating")).alias("rating"),
+        F.col("ord").cast("bigint"),
+        F.regexp_extract("company", "^PART-", 0).alias("company"),
+    )
+
+
+def _review_files(spark, sf_dir, *more):
+    """Review files of two layouts below one folder."""
     path = scratch_dir(spark)
-    rows = reviews(spark, sf_dir).select(*_FIELDS, "ord")
-    write.write_combined(rows.where("ord % 2 = 0"), path)
-    without = rows.where("ord % 2 = 1").select("location", "ord", "body", "review_id")
+    rows = reviews(spark, sf_dir).select(*_FIELDS, *more, "ord").select(*_FIELDS, *more, F.col("ord").alias("_at"))
+    write.write_combined(rows.where("_at % 2 = 0").drop("_at"), path)
+    without = rows.where("_at % 2 = 1").select(*more, "location", "body", "source_url", "review_id", "author")
     write.write_combined(without, path, mode="append")
-    back = read.read_review_folder(spark, path)
-    return back.select("review_id", "title", "body", "location", F.col("ord").cast("bigint"))
+    return path
 
 
 def classified_parquet(spark, sf_dir):
@@ -66,6 +77,17 @@ def table_replaced(spark, sf_dir):
     return read.read_table(spark, name)
 
 
+def table_emptied(spark, sf_dir):
+    """A loaded table with a path of its own, replaced by an empty one and appended to."""
+    path = scratch_dir(spark)
+    name = _table_name(path)
+    rows = reviews(spark, sf_dir).select("ord", "company", "rating")
+    write.load_table(rows, name, path)
+    write.create_table_like(rows, name, replace=True, path=path)
+    write.write_table(rows.where("ord % 2 = 1"), name, "append", path)
+    return read.read_table(spark, name)
+
+
 def table_appended(spark, sf_dir):
     path = scratch_dir(spark)
     name = _table_name(path)
@@ -120,14 +142,22 @@ def stream_dedup(spark, sf_dir):
 
 
 def stream_reviews(spark, sf_dir):
-    """Review files as a stream, loaded into a table."""
-    path = scratch_dir(spark)
-    write.write_combined(reviews(spark, sf_dir).select(*_FIELDS), path)
-    rows = streams.stream_reviews(spark, path).drop("company")
+    """Review files of two layouts as a stream, loaded into a table."""
+    path = _review_files(spark, sf_dir)
+    rows = streams.stream_reviews(spark, path)
+    rows = rows.withColumn("company", F.regexp_extract("company", "^PART-", 0))
     streams.stream_load(rows, _table_name(path), f"{path}-progress", f"{path}-rows").awaitTermination()
     return spark.read.table(_table_name(path))
 
 
+# Files of odd reviews lack three columns and have the others in another order.
+_TWO_LAYOUTS = ", ".join(
+    f"case when ord % 2 = 0 then {'rating' if n == 'rating' else f'nullif({n}, {_BLANK})'} end as {n}"
+    if n in ("title", "rating", "date_published")
+    else f"nullif({n}, {_BLANK}) as {n}"
+    for n in _FIELDS
+)
+
 QUERIES = {
     "company_csv": (
         company_csv,
@@ -139,8 +169,7 @@ QUERIES = {
     ),
     "review_folder": (
         review_folder,
-        f"""select review_id, case when ord % 2 = 0 then title end as title,
-          nullif(body, '') as body, location, ord from ({REVIEWS_SQL}) r""",
+        f"select {_TWO_LAYOUTS}, 'PART-' as company, ord from ({REVIEWS_SQL}) r",
     ),
     "classified_parquet": (
         classified_parquet,
@@ -150,6 +179,10 @@ QUERIES = {
         table_replaced,
         f"select ord, company, cast(quality as bigint) as quality, rating, error from ({CLASSIFIED_SQL}) c",
     ),
+    "table_emptied": (
+        table_emptied,
+        f"select ord, company, rating from ({REVIEWS_SQL}) r where ord % 2 = 1",
+    ),
     "table_appended": (table_appended, f"select ord, company, rating from ({REVIEWS_SQL}) r"),
     "rows_written": (rows_written, "select count(*) as n_rows, count(*) as n_reported from documents"),
     "warehouse_types": (
@@ -165,6 +198,6 @@ QUERIES = {
     ),
     "stream_reviews": (
         stream_reviews,
-        f"select {_null_if_blank(_FIELDS)} from ({REVIEWS_SQL}) r where review_id is not null",
+        f"select {_TWO_LAYOUTS}, 'PART-' as company from ({REVIEWS_SQL}) r where review_id is not null",
     ),
 }

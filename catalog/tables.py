@@ -132,7 +132,8 @@ def union_outer(spark, sf_dir):
     rows = reviews(spark, sf_dir)
     negative = rows.where("quality = 0").select("ord", "body", "company")
     positive = rows.where("quality = 1").select("ord", "company", "rating")
-    return dedup.union_outer([negative, positive])
+    unlabeled = rows.where("quality is null").select("location", "ord")
+    return dedup.union_outer([negative, positive, unlabeled])
 
 
 def cap_per_company(spark, sf_dir):
@@ -156,6 +157,22 @@ def head_large(spark, sf_dir):
     ).select("at", "l_partkey"), 40_000, ["at"])
 
 
+def head_by_text(spark, sf_dir):
+    """An order of text columns, of which the first has few values."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_returnflag", "cast(l_orderkey * 8 + l_linenumber as string) as at", "l_quantity"
+    )
+    return dedup.head(rows, 5000, ["l_returnflag", "at"])
+
+
+def cap_per_mode(spark, sf_dir):
+    """A large limit per group, in an order of sparse numbers."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_returnflag", "(l_orderkey * 8 + l_linenumber) * 1000003 as at", "l_quantity"
+    )
+    return dedup.cap_per_company(rows, 1000, ["at"], ["l_returnflag"])
+
+
 def limit_pages(spark, sf_dir):
     rows = reviews(spark, sf_dir).withColumn("page_seq", F.expr("cast(ord / 200 as int)"))
     return dedup.limit_pages(rows, 2).select("ord", "page_seq")
@@ -238,8 +255,10 @@ QUERIES = {
     ),
     "union_outer": (
         union_outer,
-        f"""select ord, body, company, null::double as rating from ({REVIEWS_SQL}) r where quality = 0
-        union all select ord, null, company, rating from ({REVIEWS_SQL}) r where quality = 1""",
+        f"""select ord, case when quality = 0 then body end as body,
+          case when quality is not null then company end as company,
+          case when quality = 1 then rating end as rating,
+          case when quality is null then location end as location from ({REVIEWS_SQL}) r""",
     ),
     "cap_per_company": (
         cap_per_company,
@@ -259,6 +278,18 @@ QUERIES = {
         """select l_orderkey * 8 + l_linenumber as at, l_partkey from lineitem
         order by l_orderkey, l_linenumber limit 40000""",
     ),
+    "head_by_text": (
+        head_by_text,
+        """select l_returnflag, cast(l_orderkey * 8 + l_linenumber as varchar) as at, l_quantity
+        from lineitem order by l_returnflag, at limit 5000""",
+    ),
+    "cap_per_mode": (
+        cap_per_mode,
+        """select l_returnflag, at, l_quantity from (
+          select l_returnflag, (l_orderkey * 8 + l_linenumber) * 1000003 as at, l_quantity,
+            row_number() over (partition by l_returnflag order by l_orderkey, l_linenumber) as rn
+          from lineitem) k where rn <= 1000""",
+    ),
     "limit_pages": (
         limit_pages,
         f"""select ord, cast(floor(ord / 200) as int) as page_seq from ({REVIEWS_SQL}) r

@@ -37,13 +37,17 @@ def coerce_json(answer: str):
     raise ValueError(f"{NOT_JSON}{answer[:QUOTED_CHARS]}...")
 
 
+def missing_keys(data: dict) -> list[str]:
+    return sorted(set(_REQUIRED) - set(data))
+
+
 def read_answer(answer: str | None) -> dict:
     """The three labels, or the reason why there are none."""
     try:
         data = coerce_json(answer or "")
         if not isinstance(data, dict):
             raise ValueError(f"No es un objeto JSON: {type(data).__name__}")
-        missing = sorted(set(_REQUIRED) - set(data))
+        missing = missing_keys(data)
         if missing:
             raise ValueError(f"{MISSING}{missing}")
     except ValueError as ex:
@@ -68,27 +72,33 @@ def parse_answer(answer: Column) -> Column:
     return F.arrow_udf(_answers, ANSWER_TYPE)(answer)
 
 
-def _present(payload: Column) -> Column:
-    return F.coalesce(
-        F.json_object_keys(payload), F.array().cast("array<string>")
-    )
+def _missing(answers: pa.Array) -> pa.Array:
+    found = []
+    for answer in answers:
+        try:
+            data = coerce_json(answer.as_py() or "")
+        except ValueError:
+            data = None
+        found.append(missing_keys(data) if isinstance(data, dict) else None)
+    return pa.array(found, pa.list_(pa.string()))
 
 
-def has_required_fields(payload: Column) -> Column:
-    """True if the JSON object has all label keys; their values may be null."""
-    return F.size(F.array_except(F.array(*map(F.lit, _REQUIRED)), _present(payload))) == 0
+def missing_fields(answer: Column) -> Column:
+    """The required keys that the answer's object lacks; null if there is no object."""
+    return F.arrow_udf(_missing, "array<string>")(answer)
 
 
-def missing_fields_error(payload: Column) -> Column:
-    """Message naming the missing label keys, sorted; null if all are there."""
-    missing = F.array_sort(
-        F.array_except(F.array(*map(F.lit, _REQUIRED)), _present(payload))
-    )
+def has_required_fields(answer: Column) -> Column:
+    """True if the answer is an object with all label keys; their values may be null."""
+    return F.coalesce(F.size(missing_fields(answer)) == 0, F.lit(False))
+
+
+def missing_fields_error(answer: Column) -> Column:
+    """Message naming the missing label keys, sorted; null if none or no object."""
+    missing = missing_fields(answer)
     return F.when(
         F.size(missing) > 0,
-        F.concat(
-            F.lit(MISSING + "['"), F.array_join(missing, "', '"), F.lit("']")
-        ),
+        F.concat(F.lit(MISSING + "['"), F.array_join(missing, "', '"), F.lit("']")),
     )
 
 

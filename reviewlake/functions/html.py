@@ -57,10 +57,6 @@ BLOCKS = set(
     " li main menu nav ol p pre search section summary table tbody td tfoot th thead"
     " tr ul".split()
 )
-# Elements nested deeper than browsers nest them become siblings, so the time a
-# page takes grows with its length only.
-MAX_DEPTH = 512
-
 # Parsers at large also end a heading where one of these begins.
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 HEADING_ENDS = {"p", "li", "table", "form", "fieldset"} | HEADINGS
@@ -91,6 +87,10 @@ class _Outline(HTMLParser):
         self._hidden = 0
         # Open elements: tag, node index, number of children, the only string.
         self._open: list[list] = [["", -1, 0, None]]
+        # The depths at which each tag, and any block, is open: whatever the depth,
+        # the nearest one is at hand.
+        self._depths: dict[str, list[int]] = {}
+        self._blocks: list[int] = []
 
     def updatepos(self, i: int, j: int) -> int:
         return j  # nobody asks for line numbers
@@ -120,9 +120,9 @@ class _Outline(HTMLParser):
         if tag in VOID:
             self._add_child(None)
             return
-        if len(self._open) > MAX_DEPTH:
-            self._pop()
         self._hidden += tag in HIDDEN
+        for places in self._places(tag):
+            places.append(len(self._open))
         self._open.append([tag, index, 0, None])
 
     def handle_endtag(self, tag: str) -> None:
@@ -136,17 +136,27 @@ class _Outline(HTMLParser):
             self._pop()
 
     def _end_nearest(self, tag: str, limits) -> None:
-        for depth in range(len(self._open) - 1, 0, -1):
-            name = self._open[depth][0]
-            if name == tag:
-                while len(self._open) > depth:
-                    self._pop()
-                return
-            if name in limits:
-                return
+        depth = self._nearest(self._depths.get(tag))
+        if limits is BLOCKS:
+            limit = self._nearest(self._blocks)
+        else:
+            limit = max((self._nearest(self._depths.get(name)) for name in limits), default=0)
+        if depth and depth >= limit:
+            while len(self._open) > depth:
+                self._pop()
+
+    @staticmethod
+    def _nearest(places: list[int] | None) -> int:
+        return places[-1] if places else 0
+
+    def _places(self, tag: str) -> list[list[int]]:
+        own = self._depths.setdefault(tag, [])
+        return [own, self._blocks] if tag in BLOCKS else [own]
 
     def _pop(self) -> None:
         tag, index, _, only = self._open.pop()
+        for places in self._places(tag):
+            places.pop()
         self._hidden -= tag in HIDDEN
         if index >= 0:
             node = self.nodes[index]

@@ -10,9 +10,13 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
 # A comment, or a whole script or style element; whichever starts first hides
-# the marks of the others inside it.
-_QUOTED_ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_RAW = rf"(?s)<!--.*?-->|<(?i:(script|style))\b{_QUOTED_ATTRS}>.*?</(?i:\1)\s*+>"
+# the marks of the others inside it. One that is not closed goes on to the end of
+# the page, so the page is scanned once.
+_QUOTED_ATTRS = r"""(?:[^>"']++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))*+"""
+_RAW = (
+    rf"(?s)<!--.*?(?:-->|\z)|<(?i:(script|style))\b{_QUOTED_ATTRS}"
+    r"(?:>.*?(?:</(?i:\1)\s*+>|\z)|\z)"
+)
 _HEAD = rf"(?s)^<(?i:script)\b({_QUOTED_ATTRS})>"
 _BODY = rf"(?s)^<(?i:script)\b{_QUOTED_ATTRS}>(.*)</(?i:script)\s*+>$"
 _PLUS = r"(?:\+|&#43;|&(?i:#x2b);|&plus;)"

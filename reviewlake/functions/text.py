@@ -25,9 +25,9 @@ FINGERPRINT_CHARS = 200
 # Unicode white space, control separators included. Spark's own \s and trim()
 # know only ASCII, and (?U)\s misses U+001C..U+001F. Single low characters and one
 # range around the high ones keep the test of an ordinary character short.
-_WS_HIGH = r"  -     　"
+_WS_HIGH = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _WS_NO_BLANK = (
-    rf"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0[ -　&&[{_WS_HIGH}]]"
+    rf"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0[\x{{1680}}-\x{{3000}}&&[{_WS_HIGH}]]"
 )
 _WS = rf"[ {_WS_NO_BLANK}]"
 # Runs that are not already one plain blank, so clean text costs no rewriting.

@@ -74,6 +74,26 @@ def _encode(c: Column) -> Column:
     return F.replace(out, F.lit("%7E"), F.lit("~"))
 
 
+def _plus_one(number: Column) -> Column:
+    """The text of an integer of any length, raised by one."""
+    size = F.regexp_replace(number, "^[+-]?0*", "")
+
+    def step(rolling: str, rolled: str, by: int) -> Column:
+        # The last digit that does not roll over changes, the ones after it roll.
+        head = F.regexp_replace(size, f"{rolling}+$", "")
+        count = F.length(size) - F.length(head)
+        last = (F.right(head, F.lit(1)).cast("int") + by).cast("string")
+        front = F.substring(head, F.lit(1), F.length(head) - 1)
+        changed = F.when(head == "", F.lit("1" if by > 0 else "")).otherwise(F.concat(front, last))
+        return F.concat(changed, F.repeat(F.lit(rolled), count))
+
+    lower = F.regexp_replace(step("0", "9", -1), "^0+", "")
+    below_zero = F.startswith(number, F.lit("-")) & (size != "")
+    return F.when(
+        below_zero, F.when(lower == "", F.lit("0")).otherwise(F.concat(F.lit("-"), lower))
+    ).otherwise(step("9", "0", 1))
+
+
 def increment_page(url: Column) -> Column:
     """The URL with ``page`` raised by one; a missing ``page`` counts as 1.
 
@@ -95,11 +115,9 @@ def increment_page(url: Column) -> Column:
     )
     page = F.get(F.filter(first_of_key, lambda p: p["k"] == "page"), F.lit(0))["v"]
     digits = F.replace(text.strip(page), F.lit("_"), F.lit(""))
-    current = F.when(page.isNull(), F.lit(1).cast("decimal(38,0)")).when(
-        F.rlike(text.strip(page), F.lit(r"^[+-]?\d+(?:_\d+)*$")),
-        digits.try_cast("decimal(38,0)"),
+    following = F.when(page.isNull(), F.lit("2")).when(
+        F.rlike(text.strip(page), F.lit(r"^[+-]?\d+(?:_\d+)*$")), _plus_one(digits)
     )
-    following = (current + 1).cast("string")
     with_page = F.when(
         page.isNull(),
         F.concat(
@@ -148,16 +166,32 @@ def _resolve(base: pa.Array, href: pa.Array) -> pa.Array:
     )
 
 
+# References that need no rules: absolute ones, and paths from the root, both without
+# dot segments, bare query marks and the like.
+_PLAIN_PATH = r"(?:/[A-Za-z0-9_~%-][A-Za-z0-9_.~%-]*)+/?(?:\?[A-Za-z0-9_.~%&=+-]+)?"
+_PLAIN_HOST = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
+
+
+def _resolved(base: Column, href: Column) -> Column:
+    """``urljoin``; the plain cases, which are most, without Python."""
+    origin = F.regexp_extract(base, rf"^(https?://{_PLAIN_HOST})(?:[/?#]|$)", 1)
+    absolute = F.rlike(href, F.lit(rf"^https?://{_PLAIN_HOST}(?:{_PLAIN_PATH})?$")) & base.isNotNull()
+    rooted = F.rlike(href, F.lit(rf"^{_PLAIN_PATH}$")) & (origin != "")
+    plain = F.coalesce(absolute | rooted, F.lit(False))
+    rest = F.arrow_udf(_resolve, "string")(F.when(~plain, base), F.when(~plain, href))
+    return F.when(absolute, href).when(rooted, F.concat(origin, href)).otherwise(rest)
+
+
 def resolve_url(base: Column, href: Column) -> Column:
     """A link of a page as an absolute URL; null if it cannot be one."""
-    return text.blank_to_null(F.arrow_udf(_resolve, "string")(base, href))
+    return text.blank_to_null(_resolved(base, href))
 
 
 def follow(base: Column, href: Column) -> Column:
     """The link, or without one the URL with its page raised."""
     # Asks whether there is a link of the resolved one, so that `href`, which
     # may be costly to find, is not worked out again.
-    resolved = F.arrow_udf(_resolve, "string")(base, href)
+    resolved = _resolved(base, href)
     return F.when(resolved.isNull(), increment_page(base)).otherwise(
         text.blank_to_null(resolved)
     )

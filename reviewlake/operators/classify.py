@@ -14,11 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import text
 from ..functions.answers import parse_answer, read_answer
 from ..schema import LABEL_COLS
-from ..scratch import materialize, spread_scan
+from ..scratch import materialize
 from .filters import drop_blank_text
 from .project import enrich
 from .report import NEGATIVE, POSITIVE
-from .skew import hot_keys, split_join
 
 # The allowed labels.
 GENERAL = [
@@ -98,7 +97,7 @@ FAILED = "Fallo clasificando reseña tras reintentos: "
 
 Labeler = Callable[[pd.Series], Sequence[str]]
 
-LABELED_SCHEMA = "_key string, " + ", ".join(f"{c} string" for c in [*LABEL_COLS, "error"])
+LABELED_SCHEMA = "_key binary, " + ", ".join(f"{c} string" for c in [*LABEL_COLS, "error"])
 
 
 def taxonomy(spark: SparkSession) -> DataFrame:
@@ -207,7 +206,7 @@ def classify(
     df: DataFrame,
     labeler: Labeler,
     text_col: str = "body",
-    spread_by: Sequence[str] | None = None,
+    partitions: int | None = None,
     tries: int = TRIES,
     first_pause: float = FIRST_PAUSE,
     longest_pause: float = LONGEST_PAUSE,
@@ -216,10 +215,10 @@ def classify(
 
     ``labeler`` answers a batch of texts. Equal texts are asked for once; their
     answers are written down, so that nothing later asks again. ``df`` is read
-    twice. ``spread_by`` tells rows of equal text apart, by default with all
-    other columns; a table with exact copies needs a row number for it.
+    twice. ``partitions`` says over how many tasks the texts are asked for, by
+    default as many as the shuffle by text gives. Adaptive execution splits the
+    rows of a hot text where they meet its answer.
     """
-    spread_by = spread_by or [c for c in df.columns if c != text_col] or [text_col]
     label = retry(labeler, tries, first_pause, longest_pause)
 
     def label_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -228,22 +227,14 @@ def classify(
 
     reviews = drop_blank_text(df, text_col)
     stripped = text.strip(F.col(text_col))
-    texts = materialize(
-        reviews.groupBy(stripped.alias("_text"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_key", F.sha2("_text", 256))
-    )
-    labeled = materialize(
-        spread_scan(texts.select("_key", "_text"), "_key").mapInPandas(
-            label_batches, LABELED_SCHEMA
-        )
-    )
-    joined = split_join(
-        reviews.withColumn("_key", F.sha2(stripped, 256)),
-        labeled.select("_key", F.struct(*LABEL_COLS, "error").alias("_labels")),
-        "_key",
-        hot_keys(texts.select("_key", "n"), "_key"),
-        spread_by,
+    keyed = reviews.withColumn("_key", F.unhex(F.sha2(stripped, 256)))
+    # Grouped by the digest, so that 32 bytes are compared and not texts.
+    texts = keyed.groupBy("_key").agg(F.first(stripped).alias("_text"))
+    if partitions is not None:
+        texts = texts.repartition(partitions, "_key")
+    labeled = materialize(texts.mapInPandas(label_batches, LABELED_SCHEMA))
+    joined = keyed.join(
+        labeled.select("_key", F.struct(*LABEL_COLS, "error").alias("_labels")), "_key"
     )
     return enrich(joined, F.col("_labels"), text_col)
 

@@ -9,12 +9,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text
 from ..schema import ORDER_COLS
+from ..scratch import materialize
 
-# Up to this many rows per group the optimizer cuts each group before the
-# shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-SMALL_LIMIT = 999
 SPLITS = 32
-BLOCK_BITS = 16
 
 
 def with_fingerprint(df: DataFrame) -> DataFrame:
@@ -69,56 +66,51 @@ def cap_per_company(
     by: Sequence[str] = ("company",),
 ) -> DataFrame:
     """First ``n`` rows per company."""
-    if n < 1:
-        raise ValueError("n must be >= 1")
-    if n <= SMALL_LIMIT:
-        # Two cuts, the first within a split of the company: the last task of a
-        # large company gets at most n * SPLITS rows.
-        split = F.pmod(F.xxhash64(*order), F.lit(SPLITS))
-        cut = df.withColumn("_split", split)
-        for group in ([*by, "_split"], list(by)):
-            w = Window.partitionBy(*group).orderBy(*order)
-            cut = cut.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
-        return cut.drop("_rn", "_split")
     return _first_rows(df, n, list(order), list(by))
 
 
 def head(df: DataFrame, n: int, order: Sequence[str] = ORDER_COLS) -> DataFrame:
     """First ``n`` rows of the table."""
-    if n < 1:
-        raise ValueError("n must be >= 1")
-    if n <= SMALL_LIMIT:
-        return df.orderBy(*order).limit(n)
     return _first_rows(df, n, list(order), [])
 
 
 def _first_rows(df: DataFrame, n: int, order: list[str], by: list[str]) -> DataFrame:
-    # For any n, no group goes through one task: rows are counted per block of
-    # the order, the counts give each block its offset, and rows are ranked
-    # within their block. The last order column is an integer that tells rows
-    # apart, so a block has at most 2 ** BLOCK_BITS rows. ``df`` is read twice.
-    block = [*by, *order[:-1], "_block"]
-    blocks = df.withColumn("_block", F.shiftright(F.col(order[-1]).cast("bigint"), BLOCK_BITS))
-    before = Window.partitionBy(*by).orderBy(*block[len(by):]).rowsBetween(
-        Window.unboundedPreceding, -1
+    """The first ``n`` rows of each group, in the order of columns that tell its rows apart.
+
+    Each group is cut to ``n`` rows within each of its splits, where the optimizer cuts
+    small limits in each task before the shuffle. What is left is dealt out by range and
+    written with its partition's number; the rows per group and partition, some numbers
+    per partition, give each partition's offset, and rows are ranked within partitions.
+    So no limit, group or order gathers rows in one task.
+    """
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    columns = df.columns
+    split = Window.partitionBy(*by, "_split").orderBy(*order)
+    cut = (
+        df.withColumn("_split", F.pmod(F.xxhash64(*order), F.lit(SPLITS)))
+        .withColumn("_rn", F.row_number().over(split))
+        .where(F.col("_rn") <= n)
+        .select(*columns)
     )
+    rows = materialize(cut.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        blocks.groupBy(*block)
+        rows.groupBy(*by, "_part")
         .count()
         .withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
         .where(F.col("_before") < n)
-        .select(*[F.col(c).alias(f"_{c}") for c in block], "_before")
-    )
-    same_block = reduce(
-        lambda a, b: a & b,
-        [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in block],
+        .select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_of"), "_before")
     )
-    rank = F.row_number().over(Window.partitionBy(*block).orderBy(order[-1]))
+    same = F.col("_part") == F.col("_of")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    rank = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))
     return (
-        blocks.join(offsets, same_block)
+        rows.join(offsets, same)
         .withColumn("_rn", rank + F.col("_before"))
         .where(F.col("_rn") <= n)
-        .select(*df.columns)
+        .select(*columns)
     )
 
 

@@ -16,7 +16,6 @@ from ..functions.html import outline
 from ..schema import REVIEW_COLS
 from ..scratch import materialize
 from .filters import prune_empty
-from .skew import split_join
 
 # Fixed values.
 SITE_BLOCK_ATTRS = [
@@ -34,12 +33,14 @@ REVIEW_ITEM_TYPE = r"(?i)/Review$"
 REVIEW_ID = r"(?iU)\breview[-_ ]?\d+"
 
 # A page without these marks has no review block, so its outline is not needed.
-_SITE_MARK = r"(?i)data-(?:service-)?review-?(?:id|content)"
+_SITE_MARK = "(?i)" + "|".join(SITE_BLOCK_ATTRS)
 _GENERIC_MARK = (
     r"(?i)itemprop|itemtype|data-review-id"
     r"""|\bid\s*=\s*(?:"[^"]*?(?:review|&)|'[^']*?(?:review|&)|[^\s"'>]*?(?:review|&))"""
 )
 
+NO_HTML = "no HTML"
+
 REVIEW_STRUCT = (
     "array<struct<review_id: string, title: string, body: string, rating: double,"
     " author: string, date_published: string, location: string, pos: bigint>>"
@@ -399,19 +400,25 @@ def parse_pages(pages: DataFrame, links: bool = True) -> DataFrame:
     Without ``links`` pages that cannot hold review markup are not outlined.
     """
     html = F.col("html")
-    marked = F.rlike(html, F.lit(_SITE_MARK)) | F.rlike(html, F.lit(_GENERIC_MARK))
+    is_site, is_generic = (
+        F.coalesce(F.rlike(html, F.lit(mark)), F.lit(False)) for mark in (_SITE_MARK, _GENERIC_MARK)
+    )
     read = pages.select(
         *_page_cols(pages),
-        outline(html if links else F.when(marked, html)).alias("_dom"),
+        is_site.alias("_is_site"),
+        is_generic.alias("_is_generic"),
+        html.isNull().alias("_unread"),
+        outline(html if links else F.when(is_site | is_generic, html)).alias("_dom"),
         jsonld.page_nodes(jsonld.scripts(html)).alias("_nodes"),
     )
     dom = F.col("_dom")
     parsed = read.select(
         *_page_cols(pages),
         jsonld_reviews_of(F.col("_nodes")).alias("jsonld"),
-        site_reviews(dom).alias("site"),
-        generic_reviews(dom).alias("generic"),
-        dom["error"].alias("error"),
+        # The marks spare a page the rules that cannot find anything in it.
+        F.when(F.col("_is_site"), site_reviews(dom)).alias("site"),
+        F.when(F.col("_is_generic"), generic_reviews(dom)).alias("generic"),
+        F.coalesce(F.when(F.col("_unread"), F.lit(NO_HTML)), dom["error"]).alias("error"),
         *([_link(dom).alias("_href")] if links else []),
     )
     if not links:
@@ -499,7 +506,6 @@ def with_fallback(
     primary: DataFrame,
     secondary: DataFrame,
     key: str = "company",
-    spread_by: Sequence[str] = ("source_url", "pos"),
 ) -> DataFrame:
     """``primary``, and ``secondary`` for the keys ``primary`` has no row for.
 
@@ -509,5 +515,4 @@ def with_fallback(
     missing = secondary.select(key).distinct().join(
         primary.select(key).distinct(), key, "left_anti"
     )
-    rows = split_join(secondary, missing, key, None, spread_by, "left_semi")
-    return primary.unionByName(rows)
+    return primary.unionByName(secondary.join(missing, key, "left_semi"))

@@ -40,8 +40,3 @@ def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
     df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows"]
 
-
-def spread_scan(scan: DataFrame, key: str) -> DataFrame:
-    """A file scan with at least one partition per core."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

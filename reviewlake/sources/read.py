@@ -3,14 +3,10 @@
 from __future__ import annotations
 
 import csv
-import re
-from collections import defaultdict
 from collections.abc import Iterable
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import (
-    Column,
     DataFrame,
     DataFrameReader,
     SparkSession,
@@ -21,29 +17,24 @@ from pyspark.sql import (
 from ..functions import text
 from ..operators.dedup import union_outer
 from ..schema import REVIEW_COLS
-from ..scratch import spread_scan
+from ..scratch import materialize
 
 
-def _files(spark: SparkSession, pattern: str, detect: bool) -> DataFrame:
-    """Each file's first line, and if ``detect`` whether a record spans lines."""
+def _files(spark: SparkSession, pattern: str, multi_line: bool | None) -> DataFrame:
+    """``file, header, whole``: its first line, and whether it must be read unsplit."""
     lines = spark.read.text(pattern).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
     )
-    headers = (
-        lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    )
-    if not detect:
-        return headers
+    header = F.min_by(F.ltrim(F.col("value"), F.lit("\ufeff")), F.col("at")).alias("header")
+    headers = lines.where("block = 0").groupBy("file").agg(header)
+    if multi_line is not None:
+        return headers.withColumn("whole", F.lit(multi_line))
     # A record goes on in the next line only after an odd number of quotes.
     odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
-    return headers.join(lines.groupBy("file").agg(F.max(odd).alias("spans_lines")), "file")
-
-
-def _reader_path(file: str) -> str:
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+    return headers.join(lines.groupBy("file").agg(F.max(odd).alias("whole")), "file")
 
 
 def _csv(spark: SparkSession, names: Iterable[str], multi_line: bool) -> DataFrameReader:
@@ -53,29 +44,8 @@ def _csv(spark: SparkSession, names: Iterable[str], multi_line: bool) -> DataFra
     ).options(header=True, multiLine=multi_line, quote='"', escape='"')
 
 
-def _csv_files(
-    spark: SparkSession, path: str, multi_line: bool | None, company: Column | None = None
-) -> DataFrame:
-    """The CSV files of a folder, columns matched by name, empty values null."""
-    try:
-        files = _files(spark, f"{path.rstrip('/')}/*.csv", multi_line is None).collect()
-    except AnalysisException as ex:
-        raise FileNotFoundError(f"no CSV files in {path}") from ex
-    if not files:
-        raise FileNotFoundError(f"no CSV files in {path}")
-    alike = defaultdict(list)
-    for file, header, *spans_lines in sorted(files):
-        whole = multi_line if multi_line is not None else spans_lines[0]
-        alike[header.lstrip("\ufeff"), whole].append(_reader_path(file))
-    parts = []
-    for (header, whole), paths in alike.items():
-        names = next(csv.reader([header]))
-        columns = {n: text.blank_to_null(F.col(f"`{n}`")) for n in names}
-        if company is not None:
-            columns["company"] = company
-        part = _csv(spark, names, whole).csv(paths)
-        parts.append(part.select(*[c.alias(n) for n, c in columns.items()]))
-    return union_outer(parts).withColumn("row", F.monotonically_increasing_id())
+def _not_there(ex: AnalysisException) -> bool:
+    return ex.getCondition() == "PATH_NOT_FOUND"
 
 
 def read_review_folder(
@@ -87,22 +57,63 @@ def read_review_folder(
     text and an empty value is null. ``row`` gives the order within a file.
 
     A file with line breaks inside quotes cannot be split, the others can. Which
-    are which is found by a scan of the text, unless ``multi_line`` says it.
+    are which is found by a scan of the text, unless ``multi_line`` says it. Only
+    the distinct layouts come to the driver; with several, files are read by
+    position and meet their layout in a join.
+    """
+    pattern = f"{path.rstrip('/')}/*.csv"
+    try:
+        files = materialize(_files(spark, pattern, multi_line))
+    except AnalysisException as ex:
+        if _not_there(ex):
+            raise FileNotFoundError(f"no CSV files in {path}") from ex
+        raise
+    layouts = sorted(files.select("header", "whole").distinct().collect())
+    if not layouts:
+        raise FileNotFoundError(f"no CSV files in {path}")
+    names = {header: next(csv.reader([header])) for header, _ in layouts}
+    every = list(dict.fromkeys(n for header, _ in layouts for n in names[header]))
+    company = text.company_from_path(F.col("_metadata.file_name")).alias("company")
+    row = F.monotonically_increasing_id().alias("row")
+    others = [n for n in every if n.lower() not in ("company", "row")]
+    if len(layouts) == 1:
+        rows = _csv(spark, every, layouts[0][1]).csv(pattern)
+        return rows.select(*[text.blank_to_null(F.col(f"`{n}`")).alias(n) for n in others], company, row)
+    width = max(map(len, names.values()))
+    places = [f"_c{i}" for i in range(width)]
+    parts = []
+    for whole in sorted({whole for _, whole in layouts}):
+        rows = _csv(spark, places, whole).csv(pattern).select(
+            *places, company, row, F.col("_metadata.file_path").alias("file")
+        )
+        known = rows.join(files.where(F.col("whole") == whole), "file")
+        columns = []
+        for n in others:
+            value = F.lit(None).cast("string")
+            for header, listed in names.items():
+                if n in listed:
+                    here = F.col("header") == header
+                    value = F.when(here, F.col(places[listed.index(n)])).otherwise(value)
+            columns.append(text.blank_to_null(value).alias(n))
+        parts.append(known.select(*columns, "company", "row"))
+    return union_outer(parts)
+
+
+def read_combined(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """What ``write_combined`` wrote; CSV columns are text, an empty value is null.
+
+    Its files have one layout and may have line breaks inside quotes, so each is
+    read by one task, as it was written by one.
     """
-    company = text.company_from_path(F.col("_metadata.file_name"))
-    return _csv_files(spark, path, multi_line, company)
-
-
-def read_combined(
-    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool | None = None
-) -> DataFrame:
-    """What ``write_combined`` wrote; CSV columns are text, as in a review folder."""
-    if fmt == "csv":
-        return _csv_files(spark, path, multi_line)
     try:
-        return spark.read.format(fmt).load(path)
+        if fmt != "csv":
+            return spark.read.format(fmt).load(path)
+        rows = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(path)
     except AnalysisException as ex:
-        raise FileNotFoundError(path) from ex
+        if _not_there(ex):
+            raise FileNotFoundError(path) from ex
+        raise
+    return rows.select(*[text.blank_to_null(F.col(f"`{n}`")).alias(n) for n in rows.columns])
 
 
 def read_company_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -128,11 +139,13 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """A page snapshot ``page_id, url, html``.
 
-    A snapshot of fewer splits than the cluster has cores is spread, as reading
-    HTML costs more than moving it; a larger one stays where it is.
+    With ``partitions`` it is dealt out anew, for a snapshot of few files, as reading
+    HTML costs more than moving it.
     """
-    pages = spread_scan(spark.read.parquet(path), "url")
+    pages = spark.read.parquet(path)
+    if partitions is not None:
+        pages = pages.repartition(partitions, "url")
     return require_columns(pages, ["page_id", "url", "html"])

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import itertools
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,23 +17,46 @@ from ..functions import text
 from ..operators.filters import drop_missing_id, drop_sample
 from ..schema import REVIEW_SCHEMA
 
+#: Records that are handed on at once.
+ROWS = 5000
 # Files are read as text, like the batch source does.
-FILE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in REVIEW_SCHEMA.fieldNames()])
+FIELDS = REVIEW_SCHEMA.fieldNames()
+FILE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in [*FIELDS, "file"]])
+
+
+def _rows_by_name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of whole files, their columns found by the header's names."""
+    csv.field_size_limit(sys.maxsize)
+    for batch in batches:
+        for value, file in zip(batch.column("value"), batch.column("file"), strict=True):
+            records = csv.reader(io.StringIO((value.as_py() or "").lstrip("\ufeff"), newline=""))
+            header = next(records, [])
+            at = [header.index(n) if n in header else None for n in FIELDS]
+            while some := list(itertools.islice((r for r in records if r), ROWS)):
+                columns = [
+                    pa.array([r[i] if i is not None and i < len(r) else None for r in some], pa.string())
+                    for i in at
+                ]
+                columns.append(pa.array([file.as_py()] * len(some), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [*FIELDS, "file"])
 
 
 def stream_reviews(spark: SparkSession, path: str) -> DataFrame:
     """Review files as they arrive in a folder, test data and rows without id left out.
 
-    All files have the eight review columns in their fixed order.
+    Columns are matched by the names in each file's header; a file is read by one
+    task, as CSV with line breaks inside quotes cannot be split.
     """
-    rows = (
-        spark.readStream.schema(FILE_SCHEMA)
-        .options(header=True, multiLine=True, quote='"', escape='"', pathGlobFilter="*.csv")
-        .csv(path)
+    files = (
+        spark.readStream.format("text")
+        .options(wholetext=True, pathGlobFilter="*.csv")
+        .load(path)
+        .select("value", F.col("_metadata.file_name").alias("file"))
     )
+    rows = files.mapInArrow(_rows_by_name, FILE_SCHEMA)
     reviews = rows.select(
-        *[text.blank_to_null(F.col(n)).alias(n) for n in FILE_SCHEMA.fieldNames()],
-        text.company_from_path(F.col("_metadata.file_name")).alias("company"),
+        *[text.blank_to_null(F.col(n)).alias(n) for n in FIELDS],
+        text.company_from_path(F.col("file")).alias("company"),
     ).withColumn("rating", text.rating_float(F.col("rating")))
     return clean_stream(reviews)
 
@@ -57,3 +88,7 @@ def stream_load(
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.format("parquet").toTable(table)
+
+
+# The helpers travel with the job; executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,21 +4,20 @@ import random
 
 import pytest
 
-from reviewlake.operators import skew
 from reviewlake.operators.chain import one_per_url, page_chain
 
 
 def walk(links, start, max_pages):
     seen, url = [], start
-    while url in links and url not in seen and len(seen) < max_pages:
+    while url in links and url not in seen and (max_pages is None or len(seen) < max_pages):
         seen.append(url)
         url = links[url]
     return [(start, u, i) for i, u in enumerate(seen)]
 
 
-@pytest.mark.parametrize("max_pages", [0, 1, 2, 7, 500])
+@pytest.mark.parametrize("max_pages", [0, 1, 2, 7, 500, None])
 def test_chains(spark, max_pages):
-    rnd = random.Random(max_pages)
+    rnd = random.Random(str(max_pages))
     # A third of all pages lead to the same one.
     links = {
         f"u{i}": "u7" if rnd.random() < 0.3 else rnd.choice([f"u{i + 1}", f"u{rnd.randrange(90)}", None, "gone"])
@@ -31,9 +30,7 @@ def test_chains(spark, max_pages):
     assert got == sorted(row for s in starts for row in walk(links, s, max_pages))
 
 
-def test_long_chain_with_hot_pages(spark, monkeypatch):
-    monkeypatch.setattr(skew, "ONE_TASK_ROWS", 0)
-    monkeypatch.setattr(skew, "HOT_SHARE", 5)
+def test_long_chain_with_hot_pages(spark):
     links = {f"u{i}": f"u{i + 1}" for i in range(40)} | {f"v{i}": "u0" for i in range(60)}
     df = spark.createDataFrame(list(links.items()), "url string, next_url string")
     firsts = df.select(df.url.alias("start"))

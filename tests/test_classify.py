@@ -8,7 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from reviewlake.functions import answers
-from reviewlake.operators import classify as C, skew
+from reviewlake.operators import classify as C
 
 # The labeler below travels with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -59,13 +59,16 @@ def test_parse_answer_in_a_table(spark):
 
 def test_required_fields(spark):
     df = spark.createDataFrame(
-        [(0, FULL), (1, '{"sentiment_label": "Positiva"}'), (2, '{"a": 1}'), (3, "[1]"), (4, FULL.replace('"Otros"', "null"))],
+        [(0, FULL), (1, '{"sentiment_label": "Positiva"}'), (2, '{"a": 1}'), (3, "[1]"), (4, FULL.replace('"Otros"', "null")),
+         (5, f"{FULL} y {FULL}"), (6, FULL.replace('"', "'")), (7, f"Resultado: {FULL} fin"), (8, None)],
         "i int, j string",
     )
     rows = df.select(
         answers.has_required_fields(F.col("j")).alias("ok"), answers.missing_fields_error(F.col("j")).alias("e")
     ).collect()
-    assert [r.ok for r in rows] == [True, False, False, False, True]
+    # Two objects, single quotes, a wrapped object, and nothing.
+    assert [r.ok for r in rows] == [True, False, False, False, True, False, False, True, False]
+    assert [r.e for r in rows[4:]] == [None] * 5
     assert rows[1].e == "Faltan campos obligatorios: ['general_category', 'specific_category']"
     assert rows[0].e is None
 
@@ -149,13 +152,11 @@ def shout(texts):
     ]
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_classify(spark, hot, monkeypatch):
-    if hot:
-        monkeypatch.setattr(skew, "HOT_SHARE", 3)
+@pytest.mark.parametrize("partitions", [None, 3])
+def test_classify(spark, partitions):
     rows = [(str(i), t, 4.0, "c") for i, t in enumerate([" hola "] * 9 + ["mal", "", None, "adiós", "hola"])]
     df = spark.createDataFrame(rows, "review_id string, body string, rating double, company string")
-    got = C.classify(df, shout, first_pause=0.0)
+    got = C.classify(df, shout, partitions=partitions, first_pause=0.0)
     assert got.columns == [
         "review_id", "review", "sentiment_label", "general_category", "specific_category",
         "rating", "company", "error",
@@ -169,14 +170,13 @@ def test_classify(spark, hot, monkeypatch):
 
 def test_classify_without_ids(spark):
     df = spark.createDataFrame([("hola", "c")], "body string, company string")
-    row = C.classify(df, shout, spread_by=["company"], first_pause=0.0).first()
+    row = C.classify(df, shout, partitions=3, first_pause=0.0).first()
     assert (row.review_id, row.review) == (None, "hola")
     row = C.classify(df.select("body"), shout, first_pause=0.0).first()
     assert (row.review_id, row.sentiment_label) == (None, "HOLA")
 
 
-def test_half_of_all_reviews_say_the_same(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_SHARE", 4)
+def test_half_of_all_reviews_say_the_same(spark):
     rows = [(str(i), "ok" if i % 2 else f"texto {i}") for i in range(400)]
     df = spark.createDataFrame(rows, "review_id string, body string")
     got = C.classify(df, shout, first_pause=0.0).collect()

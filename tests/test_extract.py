@@ -1,8 +1,10 @@
 """Reading pages: structured data, the site's markup, common markup, next links."""
 
 import json
+import time
 
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -66,6 +68,28 @@ def test_deeply_nested_page(spark):
     assert dom[1].d.nodes == []
 
 
+@pytest.mark.parametrize("depth", [10, 600, 20_000])
+def test_depth_changes_no_review(spark, depth):
+    article = "<article data-review-id=r1>" + "<i>" * depth + "<p>cuerpo</p><time datetime=2024></article>"
+    html = "<div>" * depth + article + "</div>" * depth + "<p>fuera"
+    rows = X.site_markup_reviews(pages(spark, html)).collect()
+    assert [(r.review_id, r.body, r.date_published) for r in rows] == [("r1", "cuerpo", "2024")]
+
+
+@pytest.mark.parametrize("mark", ["<!-- x ", "<script>", "<style a='", "<script "])
+def test_unclosed_marks_take_linear_time(spark, mark):
+    page = "application/ld" + mark * 40_000
+    started = time.perf_counter()
+    assert X.jsonld_reviews(pages(spark, page)).count() == 0
+    assert time.perf_counter() - started < 10
+
+
+def test_unclosed_comment_and_script_hide_the_rest(spark):
+    review = '<script type="application/ld+json">{"@type": "Review", "reviewBody": "b"}</script>'
+    for before, n in (("", 1), ("<!-- x", 0), ("<!-- x -->", 1), ("<script>", 0), ("<script></script>", 1)):
+        assert X.jsonld_reviews(pages(spark, before + review)).count() == n
+
+
 def test_unreadable_page_stops_no_other(monkeypatch):
     read = html_functions._Outline.feed
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from reviewlake.operators import dedup, filters, project, report, skew
+from reviewlake.operators import dedup, filters, project, report
 from reviewlake.plans.flow import clean_reviews
 from reviewlake.schema import REVIEW_COLS
 from reviewlake.sources.read import require_columns
@@ -80,18 +80,34 @@ def python_cap(rows, n):
     return kept
 
 
-@pytest.mark.parametrize("n", [1, 3, 700])
-def test_cap(spark, rows, n, monkeypatch):
+@pytest.mark.parametrize("n", [1, 3, 700, 5000])
+def test_cap(spark, rows, n):
     df = spark.createDataFrame(rows, ROWS)
     assert got(dedup.cap_per_company(df, n, ["ord"])) == python_cap(rows, n)
-    # The way for large limits, with small blocks.
-    monkeypatch.setattr(dedup, "SMALL_LIMIT", 0)
-    monkeypatch.setattr(dedup, "BLOCK_BITS", 5)
-    assert got(dedup.cap_per_company(df, n, ["ord"])) == python_cap(rows, n)
     assert got(dedup.head(df, n, ["ord"])) == sorted(rows, key=lambda r: r[4])[:n]
 
 
-def test_cap_with_several_order_columns(spark, monkeypatch):
+@pytest.mark.parametrize("n", [3, 999, 1000, 50_000])
+@pytest.mark.parametrize("order", [["name"], ["at"], ["sparse"], ["kind", "name"]])
+def test_limits_are_a_plain_rank(spark, n, order):
+    """Text, integer, sparse and mixed orders, a hot company and a company without name."""
+    rows = spark.range(60_000).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else concat('c', id % 50) end as company",
+        "sha1(cast(id as string)) as name",
+        "id as at",
+        "xxhash64(id) as sparse",
+        "id % 4 as kind",
+    )
+    ranked = "row_number() over (partition by company order by {0})".format(", ".join(order))
+    expected = rows.selectExpr("*", f"{ranked} as rn").where(f"rn <= {n}").drop("rn")
+    capped = dedup.cap_per_company(rows, n, order)
+    assert capped.count() == expected.count() and capped.exceptAll(expected).isEmpty()
+    first = dedup.head(rows, n, order)
+    top = rows.orderBy(*order).limit(n)
+    assert first.count() == n and first.exceptAll(top).isEmpty()
+
+
+def test_cap_with_several_order_columns(spark):
     rnd = random.Random(5)
     rows = [(rnd.choice("ab"), p, s, i) for p in range(9) for s in range(2) for i in range(40)]
     df = spark.createDataFrame(rows, "company string, page_seq int, source_rank int, pos long")
@@ -99,10 +115,7 @@ def test_cap_with_several_order_columns(spark, monkeypatch):
     for r in sorted(rows, key=lambda r: r[1:]):
         expected.setdefault(r[0], []).append(r)
     expected = sorted(r for rs in expected.values() for r in rs[:123])
-    for limit in (dedup.SMALL_LIMIT, 0):
-        monkeypatch.setattr(dedup, "SMALL_LIMIT", limit)
-        monkeypatch.setattr(dedup, "BLOCK_BITS", 3)
-        assert sorted(map(tuple, dedup.cap_per_company(df, 123).collect())) == expected
+    assert sorted(map(tuple, dedup.cap_per_company(df, 123).collect())) == expected
 
 
 @pytest.mark.parametrize("limit", [dedup.cap_per_company, dedup.head])
@@ -131,23 +144,6 @@ def test_dedup_last(spark):
     assert [tuple(r) for r in dedup.dedup_last(df).collect()] == [(" X.ES ", 3, 0), ("b", 4, 1)]
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-def test_hot_join_is_a_join(spark, rows, how, monkeypatch):
-    df = spark.createDataFrame(rows, ROWS)
-    ids = spark.createDataFrame([(str(i), i) for i in range(0, 200, 3)] + [("1", 1)], "review_id string, n int")
-    expected = sorted(map(str, df.join(ids, "review_id", how).collect()))
-    monkeypatch.setattr(skew, "ONE_TASK_ROWS", 0)
-    monkeypatch.setattr(skew, "HOT_SHARE", 100)
-    assert sorted(map(str, skew.hot_join(df, len(rows), ids, "review_id", how).collect())) == expected
-    every = skew.split_join(df, ids, "review_id", None, ["ord"], how)
-    assert sorted(map(str, every.collect())) == expected
-
-
-def test_hot_keys(spark, monkeypatch):
-    counts = spark.createDataFrame([("a", 5000), ("b", 2), (None, 9000)], "k string, n long")
-    assert skew.hot_keys(counts, "k") == ["a"]
-
-
 def test_prune_empty(spark):
     rows = [
         (None, "", 0.0, None, ""),

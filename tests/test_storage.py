@@ -49,8 +49,37 @@ def test_review_folder(spark, folder):
 def test_only_files_with_inner_line_breaks_stay_whole(spark, folder, multi_line):
     df = read.read_review_folder(spark, folder, multi_line)
     assert {r.review_id for r in df.collect()} == {"7", "007", "NA", "1"}
-    files = read._files(spark, f"{folder}/*.csv", True).collect()
-    assert [r.file.rsplit("_", 1)[1] for r in files if r.spans_lines] == ["dhl%20españa.csv"]
+    files = read._files(spark, f"{folder}/*.csv", None).collect()
+    assert [r.file.rsplit("_", 1)[1] for r in files if r.whole] == ["dhl%20españa.csv"]
+
+
+def test_folder_of_many_files_of_one_layout(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"trustpilot_reviews_c{i}.csv").write_text(HEADER + f"{i},t,,,,,,u\n")
+    rows = read.read_review_folder(spark, str(tmp_path)).collect()
+    assert {(r.review_id, r.company) for r in rows} == {(str(i), f"C{i}") for i in range(300)}
+
+
+def test_replaced_table_with_a_path_is_empty(spark):
+    path = scratch_dir(spark)
+    name = "emptied_" + path.rsplit("-", 1)[1]
+    df = spark.range(5)
+    write.load_table(df, name, path)
+    write.create_table_like(df, name, replace=True, path=path)
+    assert read.read_table(spark, name).count() == 0
+    write.write_table(df.limit(2), name, "append", path)
+    assert read.read_table(spark, name).count() == 2
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    from pyspark import SparkContext
+
+    if spark.conf.get("spark.checkpoint.dir", None):
+        pytest.skip("the session has a shared folder")
+    monkeypatch.setattr(SparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(SparkContext, "getCheckpointDir", lambda self: None)
+    with pytest.raises(ValueError):
+        scratch_dir(spark)
 
 
 def test_folder_without_files(spark, tmp_path):
@@ -214,13 +243,16 @@ def test_stream_is_the_batch(spark, folder, tmp_path):
         rows = "".join(f"{n},t,,{n}.0,,,,u\n" for n in range(i, i + 4)) + ",x,,,,,,u\n"
         (put / f"trustpilot_reviews_c{i}.csv").write_text(HEADER + rows)
     (put / "trustpilot_reviews_sample.csv").write_text(HEADER + "99,,,,,,,\n")
+    # Another layout: found by name, not by place.
+    (put / "trustpilot_reviews_d.csv").write_text('body,review_id,extra,rating\n"a\nb",100,e,100\n')
     unique = streams.stream_dedup(streams.stream_reviews(spark, str(put)))
     name = "stream_" + scratch_dir(spark).rsplit("-", 1)[1]
     query = streams.stream_load(unique, name, scratch_dir(spark), scratch_dir(spark))
     query.awaitTermination()
     rows = spark.table(name).collect()
-    assert sorted(r.review_id for r in rows) == sorted(map(str, range(6)))
-    assert {r.company for r in rows} <= {"C0", "C1", "C2"}
+    assert sorted(r.review_id for r in rows) == sorted(map(str, [*range(6), 100]))
+    assert {r.company for r in rows} <= {"C0", "C1", "C2", "D"}
+    assert [(r.body, r.title, r.company) for r in rows if r.review_id == "100"] == [("a\nb", None, "D")]
     assert all(r.rating == float(r.review_id) for r in rows)
 
 

@@ -56,6 +56,12 @@ EXAMPLES = [
     (urls.increment_page, "u?page=2", "u?page=3"),
     (urls.increment_page, "u", "u?page=2"),
     (urls.increment_page, "u?page=x", None),
+    (urls.increment_page, "u?page=" + "9" * 40, "u?page=1" + "0" * 40),
+    (urls.increment_page, "u?page=%2B0_99", "u?page=100"),
+    (urls.increment_page, "u?page=-100", "u?page=-99"),
+    (urls.increment_page, "u?page=-1", "u?page=0"),
+    (urls.increment_page, "u?page=-0", "u?page=1"),
+    (urls.increment_page, "u?page=0", "u?page=1"),
     (urls.increment_page, "http://h/p?a=1&page=&b=%zz#f", "http://h/p?a=1&b=%25zz&page=2#f"),
 ]
 
