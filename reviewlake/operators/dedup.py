@@ -74,6 +74,17 @@ def head(df: DataFrame, n: int, order: Sequence[str] = ORDER_COLS) -> DataFrame:
     return _first_rows(df, n, list(order), [])
 
 
+def cut_within_splits(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows of each of a group's splits."""
+    split = Window.partitionBy(*by, "_split").orderBy(*order)
+    return (
+        df.withColumn("_split", F.pmod(F.xxhash64(*order), F.lit(SPLITS)))
+        .withColumn("_rn", F.row_number().over(split))
+        .where(F.col("_rn") <= n)
+        .select(*df.columns)
+    )
+
+
 def _first_rows(df: DataFrame, n: int, order: list[str], by: list[str]) -> DataFrame:
     """The first ``n`` rows of each group, in the order of columns that tell its rows apart.
 
@@ -86,13 +97,7 @@ def _first_rows(df: DataFrame, n: int, order: list[str], by: list[str]) -> DataF
     if n < 1:
         raise ValueError("n must be >= 1")
     columns = df.columns
-    split = Window.partitionBy(*by, "_split").orderBy(*order)
-    cut = (
-        df.withColumn("_split", F.pmod(F.xxhash64(*order), F.lit(SPLITS)))
-        .withColumn("_rn", F.row_number().over(split))
-        .where(F.col("_rn") <= n)
-        .select(*columns)
-    )
+    cut = cut_within_splits(df, n, order, by)
     rows = materialize(cut.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

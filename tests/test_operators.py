@@ -232,7 +232,7 @@ def test_groups_are_cut_before_the_shuffle(spark, rows):
     for cut in (
         dedup.dedup_by_id(df, ["ord"]),
         dedup.dedup_by_fingerprint(df, ["ord"]),
-        dedup.cap_per_company(df, 3, ["ord"]),
+        dedup.cut_within_splits(df, 3, ["ord"], ["company"]),
+        dedup.cut_within_splits(df, 3, ["ord"], []),
     ):
         assert "WindowGroupLimit" in plan(cut) and "Partial" in plan(cut)
-    assert "TakeOrderedAndProject" in plan(dedup.head(df, 3, ["ord"]))
