@@ -2,7 +2,8 @@
 
 They are Parquet tables below the folder named by ``spark.checkpoint.dir``. A
 written table cuts the lineage, survives the loss of an executor, keeps column
-pruning for its readers and gives the optimizer a real size to plan with.
+pruning for its readers and gives the optimizer a real size to plan with. Results may
+read them for as long as the session lives; then they are deleted.
 """
 
 from __future__ import annotations
@@ -19,13 +20,24 @@ def scratch_dir(spark: SparkSession) -> str:
     A session without that setting uses its warehouse folder, which is shared too.
     If that is on a local disk, only a session on one machine may use it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir")
-        master = spark.sparkContext.master
-        if urlsplit(base).scheme in ("", "file") and not master.startswith("local"):
+        if urlsplit(base).scheme in ("", "file") and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/reviewlake-{uuid.uuid4().hex}"
+    own = f"{base.rstrip('/')}/reviewlake-{context.applicationId}"
+    _delete_at_exit(spark, own)
+    return f"{own}/run-{uuid.uuid4().hex}"
+
+
+def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Has the file system delete the application's folder when the driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:
