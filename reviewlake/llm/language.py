@@ -8,8 +8,8 @@ bits. The counts are frozen before scoring, so the cost of a byte depends on the
 before it alone, and the costs of all bytes of a text are looked up at once. The language
 with the shortest code wins; the score is its probability if all are equally likely.
 
-* The model learns from at most ``rows_per_language`` documents per language, those with
-  the smallest hash, a documented bound. Their contexts are counted by Spark; the counts
+* The model learns from about ``rows_per_language`` documents per language, those whose hash
+  is below a share, a documented bound. Their contexts are counted by Spark; the counts
   are what is collected and broadcast, so their size is bounded by the sample.
 * Every document is scored over its whole text, in blocks of ``BLOCK`` bytes, without a
   shuffle.
@@ -26,11 +26,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..scratch import materialize_counted
 from .common import in_fold, table
 
 BLOCK = 1 << 19
+#: Languages whose shares are broadcast at most; more are joined by a shuffle.
+MAX_LANGUAGES = 10_000
 UNDETERMINED = "und"
 PAD = b"\n"
 
@@ -89,7 +92,7 @@ class ContextTrees:
             rows = counts[counts["order"] == order]
             keys, at = np.unique(rows["key"].to_numpy().astype(np.uint64), return_inverse=True)
             n = np.zeros((len(keys), len(self.languages)))
-            np.add.at(n, (at, rows["lang"].map(place).to_numpy()), rows["n"].to_numpy())
+            np.add.at(n, (at, rows["lang"].map(place).to_numpy(dtype=np.int64)), rows["n"].to_numpy())
             contexts, of = np.unique(keys >> np.uint64(8), return_inverse=True)
             total, kinds = np.zeros((2, len(contexts), len(self.languages)))
             np.add.at(total, of, n)
@@ -154,20 +157,17 @@ class ContextTrees:
 
 
 def sample(docs: DataFrame, rows_per_language: int) -> DataFrame:
-    """``lang, text`` of the documents with the smallest hashes of each language."""
+    """``lang, text`` of about ``rows_per_language`` documents of each language, by hash."""
     labelled = docs.where("lang is not null and text is not null").select(
         "lang", F.xxhash64(F.col("doc_id"), F.col("text")).alias("_h"), "text"
     )
-    # The hashes are ranked without the texts, and cut in each task first.
-    w = Window.partitionBy("lang").orderBy("_h")
-    last = (
-        labelled.select("lang", "_h")
-        .withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") <= rows_per_language)
-        .groupBy("lang")
-        .agg(F.max("_h").alias("_last"))
+    shares, n = materialize_counted(
+        labelled.groupBy("lang").agg((rows_per_language / F.count(F.lit(1))).alias("_share"))
     )
-    return labelled.join(last, "lang").where("_h <= _last").dropDuplicates(["lang", "_h"]).select("lang", "text")
+    # A hash is a number between -2**63 and 2**63, evenly spread.
+    low = (F.col("_h") / 2.0**64 + 0.5) < F.col("_share")
+    chosen = labelled.join(F.broadcast(shares) if n <= MAX_LANGUAGES else shares, "lang").where(low)
+    return chosen.dropDuplicates(["lang", "_h"]).select("lang", "text")
 
 
 def learn(docs: DataFrame, rows_per_language: int = 300, max_order: int = 3) -> ContextTrees:
@@ -205,13 +205,15 @@ def identify(docs: DataFrame, model: ContextTrees, keep: Sequence[str] | None =
     names = ("lang_pred", "score")
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     trees = docs.sparkSession.sparkContext.broadcast(model)
+    # The text is sent once, whether it is carried along or not.
+    text = "text" if "text" in kept else "_text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = trees.value
             rows = [i for i, letter in enumerate(batch.column("_letter").to_pylist()) if letter and t.languages]
             pred, score = [UNDETERMINED] * len(batch), np.zeros(len(batch))
             if rows:
-                bits = t.code_lengths(batch.column("_text").cast(pa.binary()).take(rows).to_pylist())
+                bits = t.code_lengths(batch.column(text).cast(pa.binary()).take(rows).to_pylist())
                 best = bits.argmin(axis=1)
                 share = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
                 for i, b, p in zip(rows, best, share, strict=True):
@@ -222,7 +224,8 @@ def identify(docs: DataFrame, model: ContextTrees, keep: Sequence[str] | None =
             )
 
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    given = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").alias("_text"), letter.alias("_letter"))
+    more = [] if text == "text" else [F.col("text").alias(text)]
+    given = docs.select(*[F.col(f"`{c}`") for c in kept], *more, letter.alias("_letter"))
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("lang_pred", "string").add("score", "double")
     return given.mapInArrow(run, schema)
 
