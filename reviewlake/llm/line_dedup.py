@@ -62,7 +62,8 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1)
     hashes = F.transform(
         keyed, lambda k: F.when(F.char_length(k) >= min_chars, hashed(k))
     )
-    dropped = (
+    # Written down, so that the texts' side of the last join can be split where a text is hot.
+    dropped = materialize(
         docs.select(F.md5("text").alias("_digest"), F.posexplode(hashes).alias("_at", "h"))
         .where("h is not null")
         .select("_digest", "_at", "h.a", "h.b")
