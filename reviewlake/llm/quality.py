@@ -7,14 +7,14 @@ singular value decomposition of the labelled documents' centred vectors gives th
 space. Each document's cosines with all labelled vectors are computed exactly, in blocks,
 and the ``neighbours`` nearest vote with their labels, weighted by similarity.
 
-* The model learns from at most ``rows_per_label`` labelled documents per label, those with
-  the smallest hash, a documented bound. So the labelled vectors that are broadcast are
+* The model learns from about ``rows_per_label`` labelled documents per label, those whose
+  hash is below a share, a documented bound. So the labelled vectors that are broadcast are
   ``2 * rows_per_label * dimensions`` numbers, whatever the corpus' size.
 * Every document is scored over its whole text, without a shuffle.
 
 Defined results: a null or empty text has the vector of no terms and is scored by its
 neighbours as well; without any label all scores are 0.5; if several labels are given for
-an id, the lowest counts; labels that are null or have no id teach nothing; an id that
+an id, the lowest counts; labels other than 0 and 1, or without id, teach nothing; an id that
 several rows have is learned from one of them; repeated rows are scored alike; an empty
 table gives an empty result; other columns than those named are not returned.
 """
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..scratch import materialize
 from .common import in_fold, table
@@ -124,21 +124,18 @@ class Neighbours:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows_per_label: int) -> DataFrame:
-    """``text, quality`` of the documents with the smallest hashes of each label."""
-    given = (
-        labels.where("doc_id is not null and quality is not null")
+    """``doc_id, text, quality`` of about ``rows_per_label`` documents of each label, by hash."""
+    given = materialize(
+        labels.where("doc_id is not null and quality in (0, 1)")
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
-        .withColumn("_h", F.xxhash64("doc_id"))
-    )
-    w = Window.partitionBy("quality").orderBy("_h", "doc_id")
-    # Bounded: rows_per_label ids per label.
-    chosen = materialize(
-        given.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-        .withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") <= rows_per_label)
-        .select("doc_id", "quality")
+        .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     )
+    shares = given.groupBy("quality").agg((rows_per_label / F.count(F.lit(1))).alias("_share"))
+    # A hash is a number between -2**63 and 2**63, evenly spread.
+    low = (F.xxhash64("doc_id") / 2.0**64 + 0.5) < F.col("_share")
+    chosen = materialize(given.join(F.broadcast(shares), "quality").where(low).select("doc_id", "quality"))
+    # Bounded: about rows_per_label ids per label.
     return (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
