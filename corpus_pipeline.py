@@ -16,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlake.llm import bpe, language, line_dedup, mixing, near_dups
-from reviewlake.llm.common import table, with_only
+from reviewlake.llm.common import ship, table, with_only
 from reviewlake.scratch import materialize
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -33,6 +33,7 @@ def like(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a language, ``lang`` being the one found."""
+    ship(spark)
     # The outcome may not be named as a column of the documents.
     found = language.identify(docs, language.learn(docs)).where(F.col("lang_pred") != language.UNDETERMINED)
     return with_only(found, lang=F.col("lang_pred")).select(*docs.columns)
@@ -45,6 +46,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    ship(spark)
     return near_dups.one_of_each(docs)
 
 
@@ -55,6 +57,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, and digests of them and of what they decode to."""
+    ship(spark)
     rows = docs.select("doc_id", "lang", "source", "text")
     return bpe.digests(rows, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids_too=True)
 
