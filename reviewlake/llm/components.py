@@ -15,18 +15,15 @@ def components(links: DataFrame) -> DataFrame:
     Counts and minima are combined in each task, so a node with many links is no task.
     """
     ends, left = materialize_counted(links.select("a", "b").where("a <> b").distinct())
-    nodes = materialize(ends.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    labels = nodes.withColumn("label", F.col("id"))
+    labels = ends.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("label", F.col("id"))
     while left:
         both = ends.unionByName(ends.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        moves = materialize(
-            both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("to")).select(F.col("a").alias("id"), "to")
-        )
+        least = F.min("b").alias("least")
+        moves = materialize(both.groupBy("a").agg(least).select(F.col("a").alias("id"), F.least("a", "least").alias("to")))
         to_a, to_b = (moves.select(F.col("id").alias(c), F.col("to").alias(f"to_{c}")) for c in "ab")
-        labels = materialize(
-            labels.join(moves.withColumnRenamed("id", "label"), "label", "left").select(
-                "id", F.coalesce("to", "label").alias("label")
-            )
+        # Some joins of written tables for all rounds together, so it is worked out once at the end.
+        labels = labels.join(moves.withColumnRenamed("id", "label"), "label", "left").select(
+            "id", F.coalesce("to", "label").alias("label")
         )
         ends, left = materialize_counted(
             ends.join(to_a, "a")
@@ -35,4 +32,4 @@ def components(links: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-    return labels
+    return materialize(labels)

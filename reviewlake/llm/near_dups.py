@@ -5,21 +5,24 @@ digest of the set; the join works on classes. ``TREES`` independent trees branch
 classes by minwise tokens (the least value of a random order over the set, which two sets
 share with a probability equal to their Jaccard similarity):
 
-* At its root a tree sends each class to the node of one minwise token. A node of one
-  class ends there.
+* At its root a tree sends each class to the node of one minwise token.
 * A node of at most ``LEAF`` classes is compared exhaustively, on sketches of ``TOKENS``
   minwise tokens.
-* In a larger node a few centres are compared with all classes of the node, which costs in
-  proportion to its size. Classes that are near a centre beyond doubt (``SETTLED``) are
-  settled: for groups the centre speaks for them. If some are not, the node branches: each
-  class goes to two children, by ``DEPTH`` other tokens each. Children without an
-  unsettled class end. So a group of many near copies is never compared all with all, and
-  a node of unlike documents falls apart within a few levels.
+* In a larger node most classes may be known to be connected. If at most ``CENTRES`` are
+  not of its main component, these are compared with all of the node, which costs in
+  proportion to its size. Else the node branches: each class goes to ``CHILDREN`` nodes, by
+  ``DEPTH`` other tokens each. So a group of many near copies is never compared all with
+  all, and a node of unlike documents falls apart within a few levels.
+* Pairs within a component, and nodes of one component alone, are passed over.
+
+To know components early, a first stage takes a few trees, their first level, and two
+centres of each large node. The second takes half the trees and of each class the best 8
+partners of a node, the last all partners, so what is left at the end is compared without
+any limit; each stage sees the components that the one before it has found.
 
 Pairs whose sketches agree in less than ``DOUBT`` of the tokens are dropped: at a true
-similarity of 0.8 that is 4.9 standard deviations away. All others are confirmed on the
-full sets, made from the whole texts: first each class's best pair, then, of the pairs
-that still join different components, again each class's best, then all that are left.
+similarity of 0.8 that is 4 standard deviations away. All others are confirmed on the
+full sets, made from the whole texts.
 
 A pair of similarity 0.8 meets in the small nodes of a tree's first level with probability
 0.8, in some of 16 trees with 1 - 7e-12; three levels deep still with 0.9999.
@@ -51,8 +54,13 @@ from .components import components
 from .tokens import hashed_words, mixed, rolled, slices, starts_of, texts_of
 
 SHINGLE, SIMILARITY = 5, 0.8
-TREES, TOKENS, LEAF, CENTRES, DEPTH, CHILDREN = 16, 96, 32, 4, 3, 2
-SETTLED, DOUBT = 0.92, 0.6
+TREES, TOKENS, LEAF, CENTRES, DEPTH, CHILDREN = 16, 128, 32, 64, 3, 2
+DOUBT = 0.66
+#: Levels after which a node that does not fall apart is compared in blocks, whole.
+LEVELS = 12
+BLOCK = 512
+#: Trees, partners of a class that are taken from a node, and whether large nodes branch.
+STAGES = ((4, 2, False), (8, 8, True), (TREES, None, True))
 #: Ids that are broadcast at most (16 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 UPPER = bytes(range(65, 91))
@@ -136,100 +144,69 @@ def token_matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(len(column), TOKENS)
 
 
-PAIRS = "a binary, b binary, agreed double"
+PAIRS = "a long, b long, agreed double"
 
 
-def pair_frame(a: list[bytes], b: list[bytes], agreed: list[float]) -> pa.RecordBatch:
-    lesser = [min(x, y) for x, y in zip(a, b, strict=True)]
-    greater = [max(x, y) for x, y in zip(a, b, strict=True)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(lesser, pa.binary()), pa.array(greater, pa.binary()), pa.array(agreed, pa.float64())],
-        ["a", "b", "agreed"],
-    )
+def pair_batch(a: np.ndarray, b: np.ndarray, agreed: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agreed)]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "agreed"])
+
+
+def members_of(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``cid, label, n`` and the tokens of the members of a node."""
+    flat = rows.values
+    return (*[flat.field(c).to_numpy() for c in ("cid", "label", "n")], token_matrix(flat.field("tokens")))
+
 
+def best_partners(x: tuple, y: tuple, similarity: float, top: int | None) -> pa.RecordBatch:
+    """Of each of ``x`` the likely partners in ``y`` of other components, the ``top`` best."""
+    (a, la, na, ta), (b, lb, nb, tb) = x, y
+    agreed = np.empty((len(a), len(b)))
+    for i in range(len(a)):
+        agreed[i] = (tb == ta[i]).mean(axis=1)
+    likely = (agreed >= DOUBT) & (la[:, None] != lb[None, :])
+    likely &= np.minimum.outer(na, nb) >= similarity * np.maximum.outer(na, nb) - 1e-9
+    if top is not None and top < len(b):
+        worst = np.argpartition(-np.where(likely, agreed, 0), top, axis=1)[:, top:]
+        np.put_along_axis(likely, worst, False, axis=1)
+    i, j = np.nonzero(likely)
+    return pair_batch(a[i], b[j], agreed[i, j])
 
-def pairs_in_leaves(nodes: DataFrame, similarity: float) -> DataFrame:
-    """Candidates within nodes of ``members``, an array of ``id, n, tokens, settled``."""
+
+def pairs_in_leaves(nodes: DataFrame, similarity: float, top: int | None) -> DataFrame:
+    """Candidates within the nodes of ``members``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, agreed = [], [], []
-            for members in batch.column("members"):
-                flat = members.values
-                ids, n = flat.field("id").to_pylist(), flat.field("n").to_numpy()
-                tokens, settled = token_matrix(flat.field("tokens")), np.array(flat.field("settled").to_pylist())
-                same = (tokens[:, None, :] == tokens[None, :, :]).mean(axis=2)
-                likely = (same >= DOUBT) & ~(settled[:, None] & settled[None, :])
-                likely &= np.minimum.outer(n, n) >= similarity * np.maximum.outer(n, n) - 1e-9
-                x, y = np.nonzero(np.triu(likely, 1))
-                # Of classes that are alike beyond doubt, one link each is enough.
-                leader = list(range(len(ids)))
-                for i, j in sorted(zip(x.tolist(), y.tolist(), strict=True), key=lambda p: -same[p]):
-                    if same[i, j] >= SETTLED:
-                        while leader[i] != i:
-                            i = leader[i]
-                        p, q = i, j
-                        while leader[q] != q:
-                            q = leader[q]
-                        if p == q:
-                            continue
-                        leader[max(p, q)] = min(p, q)
-                    a.append(ids[i])
-                    b.append(ids[j])
-                    agreed.append(float(same[i, j]))
-            yield pair_frame(a, b, agreed)
-
-    return nodes.mapInArrow(run, PAIRS)
-
-
-#: What a large node's comparison gives: pairs (a, b, agreed), or classes that go on.
-STEP = "a binary, b binary, agreed double, node long, id binary, n long, tokens binary, settled boolean"
-
-
-def compared_with_centres(rows: DataFrame, similarity: float) -> DataFrame:
-    """``STEP`` rows from the classes of large nodes, each with its node's ``centres``."""
+            for rows in batch.column("members"):
+                x = members_of(rows)
+                yield best_partners(x, x, similarity, top)
+
+    return nodes.select("members").mapInArrow(run, PAIRS).distinct()
+
+
+def pairs_with_centres(blocks: DataFrame, similarity: float, top: int | None) -> DataFrame:
+    """Candidates between the ``centres`` of a node and a block of its ``members``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {c.split()[0]: c.split()[1] for c in STEP.split(", ")}
-        arrow = {"binary": pa.binary(), "double": pa.float64(), "long": pa.int64(), "boolean": pa.bool_()}
         for batch in batches:
-            size = len(batch)
-            ids, n = batch.column("id").to_pylist(), batch.column("n").to_numpy()
-            tokens = token_matrix(batch.column("tokens"))
-            settled = np.array(batch.column("settled").to_pylist(), dtype=bool)
-            centres = batch.column("centres")
-            a, b, agreed = [], [], []
-            nodes = batch.column("node").to_pylist()
-            where: dict[int, list[int]] = {}
-            for i, node in enumerate(nodes):
-                where.setdefault(node, []).append(i)
-            for node, at in where.items():
-                flat = centres[at[0]].values
-                mine = np.array(at)
-                for c_id, c_n, c_tokens in zip(
-                    flat.field("id").to_pylist(), flat.field("n").to_pylist(), token_matrix(flat.field("tokens")), strict=True
-                ):
-                    same = (tokens[mine] == c_tokens).mean(axis=1)
-                    fits = np.minimum(n[mine], c_n) >= similarity * np.maximum(n[mine], c_n) - 1e-9
-                    for k in np.flatnonzero((same >= DOUBT) & fits).tolist():
-                        i = at[k]
-                        if ids[i] != c_id:
-                            a.append(ids[i])
-                            b.append(c_id)
-                            agreed.append(float(same[k]))
-                    # A centre has been compared with all of its node.
-                    settled[mine] |= (same >= SETTLED) & fits
-                    settled[[i for i in at if ids[i] == c_id]] = True
-            pairs = pair_frame(a, b, agreed)
-            blank = {name: pa.nulls(len(pairs), arrow[kind]) for name, kind in kinds.items()}
-            blank |= {name: pairs.column(name) for name in ("a", "b", "agreed")}
-            yield pa.RecordBatch.from_arrays(list(blank.values()), list(blank))
-            onward = {name: pa.nulls(size, arrow[kind]) for name, kind in kinds.items()}
-            onward |= {name: batch.column(name) for name in ("node", "id", "n", "tokens")}
-            onward["settled"] = pa.array(settled)
-            yield pa.RecordBatch.from_arrays(list(onward.values()), list(onward))
-
-    return rows.mapInArrow(run, STEP)
+            for centres, rows in zip(batch.column("centres"), batch.column("members"), strict=True):
+                c, x = members_of(centres), members_of(rows)
+                # Few centres: the members choose among them; many members: the centres choose.
+                yield best_partners(c, x, similarity, top) if top != 2 else best_partners(x, c, similarity, top)
+
+    return blocks.select("centres", "members").mapInArrow(run, PAIRS)
+
+
+def gathered(rows: DataFrame, facts: DataFrame, size: int, name: str) -> DataFrame:
+    """``node`` and ``name``, an array of at most about ``size`` of its rows with their facts.
+
+    ``rows`` has ``node, cid, label``, and ``members``, the number of rows of the node.
+    """
+    part = F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / size))
+    dealt = rows.withColumn("part", part).join(facts, "cid")
+    member = F.struct("cid", "label", "n", "tokens")
+    return dealt.groupBy("node", "part").agg(F.collect_list(member).alias(name)).drop("part")
 
 
 def children(rows: DataFrame) -> DataFrame:
@@ -246,49 +223,61 @@ def children(rows: DataFrame) -> DataFrame:
                 for k in range(DEPTH):
                     which = (mixed(key + np.uint64(k + 7)) % np.uint64(TOKENS)).astype(np.int64)
                     new = mixed(new ^ (tokens[line, which] + (which.astype(np.uint64) << np.uint64(20))))
-                columns = [pa.array(new.view(np.int64)), *[batch.column(c) for c in ("id", "n", "tokens", "settled")]]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "id", "n", "tokens", "settled"])
+                columns = [pa.array(new.view(np.int64)), batch.column("cid"), batch.column("label")]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "cid", "label"])
 
-    return rows.select("node", "id", "n", "tokens", "settled").mapInArrow(
-        run, "node long, id binary, n long, tokens binary, settled boolean"
-    )
+    return rows.select("node", "cid", "label", "tokens").mapInArrow(run, "node long, cid long, label long")
 
 
-def candidates(classes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a, b`` of class ids with the share of tokens they agree in, each pair once."""
-    facts = classes.select("id", "n", "tokens")
-    roots = classes.select(F.posexplode("roots").alias("tree", "token"), "id").select(
-        F.xxhash64("tree", "token").alias("node"), "id", F.lit(False).alias("settled")
+def candidates(
+    classes: DataFrame, labels: DataFrame | None, trees: int, top: int | None, branch: bool, similarity: float
+) -> DataFrame:
+    """Pairs ``a, b`` of classes of different components, with the share of tokens they agree in."""
+    facts = classes.select("cid", "n", "tokens")
+    roots = F.slice("roots", F.lit(1), F.lit(trees))
+    rows = classes.select("cid", F.posexplode(roots).alias("tree", "token")).select(
+        F.xxhash64("tree", "token").alias("node"), "cid"
     )
-    rows, whole, found = roots, False, []
+    if labels is None:
+        rows = rows.withColumn("label", F.col("cid"))
+    else:
+        rows = rows.join(labels, "cid", "left").select("node", "cid", F.coalesce("label", "cid").alias("label"))
+    found, level = [], 0
     while True:
         sizes = materialize(
             rows.groupBy("node")
-            .agg(F.count(F.lit(1)).alias("size"), F.bool_and("settled").alias("done"))
-            .where("size > 1 and not done")
-            .select("node", "size")
+            .agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+            .where("lo <> hi")
+            .select("node", "members")
         )
-        small = rows.join(sizes.where(F.col("size") <= LEAF).select("node"), "node")
-        large = rows.join(sizes.where(F.col("size") > LEAF).select("node"), "node")
-        if not whole:
-            small, large = small.join(facts, "id"), large.join(facts, "id")
-        member = F.struct("id", "n", "tokens", "settled")
-        leaves = small.groupBy("node").agg(F.collect_list(member).alias("members"))
-        found.append(materialize(pairs_in_leaves(leaves.select("members"), similarity)))
-        large, n_large = materialize_counted(large.select("node", "id", "n", "tokens", "settled"))
+        small = rows.join(sizes.where(F.col("members") <= LEAF), "node")
+        found.append(materialize(pairs_in_leaves(gathered(small, facts, LEAF + 1, "members"), similarity, top)))
+        large, n_large = materialize_counted(rows.join(sizes.where(F.col("members") > LEAF), "node"))
         if not n_large:
             break
-        by_chance = Window.partitionBy("node").orderBy(F.xxhash64("id", "node"))
-        centres = (
-            large.where("not settled")
-            .withColumn("_rn", F.row_number().over(by_chance))
-            .where(F.col("_rn") <= CENTRES)
-            .groupBy("node")
-            .agg(F.collect_list(F.struct("id", "n", "tokens")).alias("centres"))
-        )
-        step = materialize(compared_with_centres(large.join(centres, "node"), similarity))
-        found.append(step.where("a is not null").select("a", "b", "agreed"))
-        rows, whole = materialize(children(step.where("node is not null"))), True
+        if branch:
+            main = F.max_by("label", F.struct("k", "label")).alias("main")
+            odd = (F.sum("k") - F.max("k")).alias("odd")
+            shape = large.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k"))
+            shape = materialize(shape.groupBy("node").agg(main, odd))
+            ends = F.lit(level >= LEVELS) | (F.col("odd") <= CENTRES)
+            last = large.join(shape.where(ends), "node")
+            chosen = last.where("label <> main").drop("members").withColumnRenamed("odd", "members")
+        else:
+            by_chance = Window.partitionBy("node").orderBy(F.xxhash64("cid"), "cid")
+            last = large
+            chosen = large.withColumn("_rn", F.row_number().over(by_chance)).where("_rn <= 2")
+            chosen = chosen.withColumn("members", F.lit(2))
+        centres = gathered(chosen, facts, CENTRES, "centres")
+        blocks = gathered(last, facts, BLOCK, "members").join(centres, "node")
+        found.append(materialize(pairs_with_centres(blocks, similarity, top)))
+        if not branch:
+            break
+        onward = large.join(shape.where(~ends), "node").join(facts.select("cid", "tokens"), "cid")
+        rows, n_rows = materialize_counted(children(onward))
+        if not n_rows:
+            break
+        level += 1
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
@@ -313,10 +302,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     keep[i + k] = common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
             rows = np.flatnonzero(keep)
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(rows), batch.column("b").take(rows)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in "ab"], ["a", "b"])
 
-    first, second = (texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    return pairs.select("a", "b").join(first, "a").join(second, "b").mapInArrow(run, "a binary, b binary")
+    first, second = (texts.select(F.col("cid").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+    return pairs.select("a", "b").join(first, "a").join(second, "b").mapInArrow(run, "a long, b long")
 
 
 def relabelled(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -325,51 +314,48 @@ def relabelled(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
         return pairs.withColumn("la", F.col("a")).withColumn("lb", F.col("b"))
     out = pairs
     for c in "ab":
-        names = labels.select(F.col("id").alias(c), F.col("label").alias(f"_{c}"))
+        names = labels.select(F.col("cid").alias(c), F.col("label").alias(f"_{c}"))
         out = out.join(names, c, "left").withColumn(f"l{c}", F.coalesce(f"_{c}", c)).drop(f"_{c}")
     return out.where("la <> lb")
 
 
-def best_pairs(pairs: DataFrame) -> DataFrame:
-    """Of each end's pairs the one that agrees most."""
-    choice = F.max_by(F.struct("a", "b", "la", "lb"), F.struct("agreed", "a", "b"))
-    ends = pairs.select("*", F.explode(F.array("a", "b")).alias("end"))
-    return ends.groupBy("end").agg(choice.alias("p")).select("p.*").distinct()
-
-
-def linked_classes(docs: DataFrame, classes: DataFrame, width: int, similarity: float) -> DataFrame:
-    """``id, label`` of the classes that have a link."""
-    pairs = materialize(candidates(classes, similarity))
-    ids, n_ids = materialize_counted(
-        pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "text_key"), "id")
-    )
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The labels after new links."""
+    if labels is None:
+        return components(links).withColumnRenamed("id", "cid")
+    moves = components(relabelled(links, labels).select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    ends = links.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    known = labels.unionByName(ends.join(labels, "cid", "left_anti").select("cid", F.col("cid").alias("label")))
+    moves = moves.select(F.col("id").alias("label"), F.col("label").alias("to"))
+    return materialize(known.join(moves, "label", "left").select("cid", F.coalesce("to", "label").alias("label")))
+
+
+def texts_of_classes(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``cid, text`` of the classes in ``pairs``."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    ids, n_ids = materialize_counted(ends.join(classes.select("cid", "text_key"), "cid"))
     wanted = F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids
     text = F.col("text").cast("binary")
-    texts = materialize(
-        docs.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key"))
-        .join(wanted, "text_key")
-        .groupBy("id")
-        .agg(F.first("text").alias("text"))
-    )
-    labels = None
-    for last in (False, False, True):
-        open_pairs = relabelled(pairs, labels)
-        if not last:
-            open_pairs = best_pairs(open_pairs)
-        chosen = materialize(open_pairs.select("a", "b"))
-        links = materialize(confirmed(chosen, texts, width, similarity))
-        if labels is None:
-            labels = components(links)
+    rows = docs.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key")).join(wanted, "text_key")
+    return materialize(rows.groupBy("cid").agg(F.first("text").alias("text")))
+
+
+def linked_classes(docs: DataFrame, classes: DataFrame, width: int, similarity: float) -> DataFrame | None:
+    """``cid, label`` of the classes that have a link; None if none has."""
+    labels, tried = None, None
+    for trees, top, branch in STAGES:
+        pairs = candidates(classes, labels, trees, top, branch, similarity)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs, n_pairs = materialize_counted(pairs)
+        if not n_pairs:
+            if branch:
+                break
             continue
-        merged = components(relabelled(links, labels).select(F.col("la").alias("a"), F.col("lb").alias("b")))
-        moves = merged.select(F.col("id").alias("label"), F.col("label").alias("to"))
-        ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        known = labels.unionByName(
-            ends.join(labels, "id", "left_anti").select("id", F.col("id").alias("label"))
-        )
-        labels = materialize(
-            known.join(moves, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
-        )
+        texts = texts_of_classes(docs, classes, pairs)
+        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
+        links, n_links = materialize_counted(confirmed(pairs, texts, width, similarity))
+        labels = merged(labels, links) if n_links else labels
     return labels
 
 
@@ -389,9 +375,15 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = S
             F.first("roots").alias("roots"),
             F.first("tokens").alias("tokens"),
         )
+        # Written down with the class, so it stays what it is.
+        .withColumn("cid", F.monotonically_increasing_id())
     )
     labels = linked_classes(docs, classes, width, similarity)
-    named = classes.select("id", "doc_id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = classes.select("id", "doc_id", "cid")
+    if labels is None:
+        named = named.withColumn("label", F.col("cid"))
+    else:
+        named = named.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     groups = materialize(named.join(least, "label").select("id", "label", "component_id"))
     return (
