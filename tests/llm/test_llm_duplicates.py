@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from reviewlake.llm import components, near_dups, neighbours, substrings
@@ -199,6 +200,25 @@ def test_recall(spark):
     assert found / (5 * len(queries)) >= 0.9
 
 
+@pytest.mark.parametrize("n", [4_000, 150_000])
+def test_recall_as_in_production(spark, n):
+    """Vectors without structure, with what ``op2`` takes by itself."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(n)
+    vectors = rng.standard_normal((n, 48)).astype(np.float32)
+    table = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(vectors)}))
+    queries = np.arange(0, n, n // 200)
+    got = neighbours.nearest(table, F.col("vec_id") % (n // 200) == 0).collect()
+    full = vectors.astype(np.float64)
+    full /= np.linalg.norm(full, axis=1, keepdims=True)
+    cosines = full[queries] @ full.T
+    cosines[np.arange(len(queries)), queries] = -1
+    true = {(int(q), int(i)) for q, row in zip(queries, np.argsort(-cosines, axis=1)[:, :5]) for i in row}
+    recall = len(true & {(r.query_id, r.vec_id) for r in got}) / len(true)
+    assert recall >= 0.93
+
+
 def test_nearest_of_few_or_no_rows(spark):
     from pyspark.sql import functions as F
 
