@@ -24,8 +24,11 @@ Pairs whose sketches agree in less than ``DOUBT`` of the tokens are dropped: at
 similarity of 0.8 that is 4 standard deviations away. All others are confirmed on the
 full sets, made from the whole texts.
 
-A pair of similarity 0.8 meets in the small nodes of a tree's first level with probability
-0.8, in some of 16 trees with 1 - 7e-12; three levels deep still with 0.9999.
+The deeper a class goes, the likelier a link is missed, and the trees of a round share their
+tokens. ``missed`` has the probability for a pair of similarity 0.8, ``DOUBT`` included:
+0.0014 at 3 levels, 0.013 at 5, 0.12 at 12. So classes that went so deep that it exceeds
+``MISS`` get further rounds of ``TREES`` trees, each with tokens of its own made anew from
+their texts, until the product is at most ``MISS``.
 
 Nothing is held per group: nodes are counted in each task before the shuffle, centres are
 cut in each task, joins on hot nodes are left to adaptive execution. Texts are moved only
@@ -41,6 +44,7 @@ not returned.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +60,8 @@ from .tokens import hashed_words, mixed, rolled, slices, starts_of, texts_of
 SHINGLE, SIMILARITY = 5, 0.8
 TREES, TOKENS, LEAF, CENTRES, DEPTH, CHILDREN = 16, 128, 32, 64, 3, 2
 DOUBT = 0.66
+#: Probability at most of missing a pair at the threshold, whatever its depth.
+MISS = 0.001
 #: Levels after which a node that does not fall apart is compared in blocks, whole.
 LEVELS = 12
 BLOCK = 512
@@ -67,8 +73,32 @@ UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
 FOLD = bytes.maketrans(UPPER, LOWER)
 
-#: Odd factors, one per minwise order.
-FACTORS = mixed(np.arange(1, TREES + TOKENS + 1, dtype=np.uint64)) | np.uint64(1)
+
+def factors(turn: int) -> np.ndarray:
+    """Odd factors, one per minwise order, others in each round."""
+    n = TREES + TOKENS
+    return mixed(np.arange(turn * n + 1, (turn + 1) * n + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def missed(levels: int, similarity: float) -> float:
+    """Probability that a round misses a pair whose nodes end after ``levels`` levels."""
+    out = 0.0
+    for agreed in range(TOKENS + 1):
+        share = agreed / TOKENS
+        chance = math.comb(TOKENS, agreed) * similarity**agreed * (1 - similarity) ** (TOKENS - agreed)
+        together = 1.0
+        for _ in range(levels):
+            together = 1 - (1 - share**DEPTH * together) ** CHILDREN
+        out += chance * ((1 - similarity * together) ** TREES if share >= DOUBT else 1.0)
+    return out
+
+
+def level_of_turn(turn: int, similarity: float) -> int | None:
+    """The least level at which ``turn`` rounds miss more than ``MISS``; None if none does."""
+    for level in range(1, LEVELS + 1):
+        if missed(level, similarity) ** turn > MISS:
+            return level
+    return None
 
 
 def shingles(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,15 +122,16 @@ def shingles(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return values[first], np.searchsorted(owner[first], np.arange(len(texts)), side="right")
 
 
-def sketch(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+def sketch(values: np.ndarray, begins: np.ndarray, turn: int) -> np.ndarray:
     """The least value of each set in each order; the sets adjoin and are not empty."""
-    out = np.empty((len(begins), len(FACTORS)), dtype=np.uint64)
-    for i, factor in enumerate(FACTORS):
+    orders = factors(turn)
+    out = np.empty((len(begins), len(orders)), dtype=np.uint64)
+    for i, factor in enumerate(orders):
         out[:, i] = np.minimum.reduceat(values * factor, begins)
     return out
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
+def sketches(docs: DataFrame, width: int, turn: int = 0) -> DataFrame:
     """``doc_id, n_shingles, text_key, id, roots, tokens``; the last three null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +143,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 full = np.flatnonzero(ends > begins)
                 ids, roots, tokens = ([None] * (b - a) for _ in range(3))
                 if len(full):
-                    least = sketch(values, begins[full])
+                    least = sketch(values, begins[full], turn)
                     # 16 bits of a token are enough to compare by.
                     short = (least[:, TREES:] >> np.uint64(40)).astype(np.uint16)
                     for row, i in enumerate(full.tolist()):
@@ -231,8 +262,11 @@ def children(rows: DataFrame) -> DataFrame:
 
 def candidates(
     classes: DataFrame, labels: DataFrame | None, trees: int, top: int | None, branch: bool, similarity: float
-) -> DataFrame:
-    """Pairs ``a, b`` of classes of different components, with the share of tokens they agree in."""
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Pairs ``a, b`` of classes of different components, with the share of tokens they agree in.
+
+    Also the rows of each level, the roots' left out.
+    """
     facts = classes.select("cid", "n", "tokens")
     roots = F.slice("roots", F.lit(1), F.lit(trees))
     rows = classes.select("cid", F.posexplode(roots).alias("tree", "token")).select(
@@ -242,7 +276,7 @@ def candidates(
         rows = rows.withColumn("label", F.col("cid"))
     else:
         rows = rows.join(labels, "cid", "left").select("node", "cid", F.coalesce("label", "cid").alias("label"))
-    found, level = [], 0
+    found, levels, level = [], [], 0
     while True:
         sizes = materialize(
             rows.groupBy("node")
@@ -277,11 +311,12 @@ def candidates(
         rows, n_rows = materialize_counted(children(onward))
         if not n_rows:
             break
+        levels.append(rows.select("cid"))
         level += 1
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return pairs.groupBy("a", "b").agg(F.max("agreed").alias("agreed"))
+    return pairs.groupBy("a", "b").agg(F.max("agreed").alias("agreed")), levels
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -340,22 +375,49 @@ def texts_of_classes(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> D
     return materialize(rows.groupBy("cid").agg(F.first("text").alias("text")))
 
 
+def sketched_anew(docs: DataFrame, classes: DataFrame, cids: DataFrame, width: int, turn: int) -> DataFrame:
+    """The ``classes`` in ``cids`` with roots and tokens of their own for this round."""
+    wanted, n = materialize_counted(classes.join(cids, "cid", "left_semi").select("cid", "n", "text_key"))
+    text = F.col("text").cast("binary")
+    keys = wanted.select("text_key")
+    rows = docs.withColumn("text_key", F.unhex(F.md5(text))).join(
+        F.broadcast(keys) if n <= BROADCAST_IDS else keys, "text_key", "left_semi"
+    )
+    fresh = sketches(rows, width, turn).groupBy("text_key")
+    fresh = fresh.agg(F.first("roots").alias("roots"), F.first("tokens").alias("tokens"))
+    return materialize(wanted.join(fresh, "text_key"))
+
+
 def linked_classes(docs: DataFrame, classes: DataFrame, width: int, similarity: float) -> DataFrame | None:
     """``cid, label`` of the classes that have a link; None if none has."""
     labels, tried = None, None
-    for trees, top, branch in STAGES:
-        pairs = candidates(classes, labels, trees, top, branch, similarity)
+
+    def link(some: DataFrame, trees: int, top: int | None, branch: bool) -> list[DataFrame]:
+        nonlocal labels, tried
+        pairs, levels = candidates(some, labels, trees, top, branch, similarity)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs, n_pairs = materialize_counted(pairs)
-        if not n_pairs:
-            if branch:
-                break
-            continue
-        texts = texts_of_classes(docs, classes, pairs)
-        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
-        links, n_links = materialize_counted(confirmed(pairs, texts, width, similarity))
-        labels = merged(labels, links) if n_links else labels
+        if n_pairs:
+            texts = texts_of_classes(docs, classes, pairs)
+            tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
+            links, n_links = materialize_counted(confirmed(pairs, texts, width, similarity))
+            labels = merged(labels, links) if n_links else labels
+        return levels
+
+    for trees, top, branch in STAGES:
+        levels = link(classes, trees, top, branch)
+    # The levels of the last stage, which has all trees and partners, and of the rounds after it.
+    rounds = [levels]
+    while (level := level_of_turn(len(rounds), similarity)) is not None:
+        deep = [levels[level - 1] for levels in rounds if len(levels) >= level]
+        if not deep:
+            break
+        cids = deep[0]
+        for more in deep[1:]:
+            cids = cids.unionByName(more)
+        fresh = sketched_anew(docs, classes, cids.distinct(), width, len(rounds))
+        rounds.append(link(fresh, TREES, None, True))
     return labels
 
 

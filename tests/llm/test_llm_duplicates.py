@@ -80,6 +80,34 @@ def test_components_of_near_duplicates(spark, monkeypatch, width, percent):
     assert {r.doc_id: r.text for r in kept} == {i: texts[i] for i in set(lead)} and kept[0].label == 7
 
 
+def test_links_within_an_unlinked_crowd(spark, monkeypatch):
+    """Pairs at exactly 0.8 among documents alike at 0.75, where two trees alone miss many."""
+    monkeypatch.setattr(near_dups, "LEAF", 16)
+    monkeypatch.setattr(near_dups, "CENTRES", 8)
+    monkeypatch.setattr(near_dups, "LEVELS", 2)
+    monkeypatch.setattr(near_dups, "STAGES", ((2, None, True),))
+    monkeypatch.setattr(near_dups, "MISS", 1e-6, raising=False)
+    common = [f"c{i}" for i in range(231)]
+    texts = []
+    for p in range(60):
+        pair = [f"p{p}x{i}" for i in range(9)]
+        texts += [" ".join(common + pair + [f"d{p}y{half}z{i}" for i in range(30)]) for half in range(2)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = near_dups.near_duplicates(df, 1, 0.8).collect()
+    assert all(r.component_id in (r.doc_id, r.doc_id // 2 * 2) for r in got)
+    # Two trees leave some documents in shallow nodes alone, which get no further round.
+    assert sum(r.component_id < r.doc_id for r in got) >= 54
+
+
+@pytest.mark.parametrize("levels,found", [(3, 0.9986), (5, 0.987), (7, 0.963), (9, 0.931), (12, 0.879)])
+def test_rounds_hold_the_target(levels, found):
+    assert 1 - near_dups.missed(levels, 0.8) == pytest.approx(found, abs=6e-4)
+    turns = 1
+    while (level := near_dups.level_of_turn(turns, 0.8)) is not None and level <= levels:
+        turns += 1
+    assert near_dups.missed(levels, 0.8) ** turns <= near_dups.MISS
+
+
 def test_null_and_repeated_ids(spark):
     same = "one two three four five six seven"
     rows = [(None, same), (5, same), (5, same), (4, same + " x"), (None, "alone in the world of words"), (9, None), (9, None)]
