@@ -1,7 +1,8 @@
 """Operators of a training-data pipeline; ``QUERIES`` has their registered queries."""
 
-from . import bpe, language, line_dedup, mixing, near_dups, neighbours, outliers, quality, substrings, warc
+from . import bpe, language, line_dedup, mixing, near_dups, neighbours, outliers, quality, search, substrings, warc
 
 QUERIES = {}
-for _module in (mixing, neighbours, outliers, quality, bpe, substrings, near_dups, line_dedup, language, warc):
+_MODULES = (mixing, neighbours, outliers, quality, bpe, substrings, near_dups, line_dedup, language, warc, search)
+for _module in _MODULES:
     QUERIES.update(_module.QUERIES)
