@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text
+from reviewlake.operators import filters
 from reviewlake.scratch import scratch_dir
 from reviewlake.sources import read, write
 from reviewlake.streaming import reviews as streams
@@ -138,7 +142,81 @@ def stream_dedup(spark, sf_dir):
     rows = streams.clean_stream(_review_stream(spark, sf_dir))
     unique = streams.stream_dedup(rows).select("review_id")
     streams.stream_load(unique, _table_name(path), f"{path}-progress", f"{path}-rows").awaitTermination()
-    return spark.read.table(_table_name(path))
+    return read.read_table(spark, _table_name(path))
+
+
+def _timed_reviews(spark, sf_dir, path, last_first):
+    """Reviews with a time, as a stream of files that come in or against their order.
+
+    A last file, a year later, has the watermark pass all others.
+    """
+    rows = filters.drop_missing_id(reviews(spark, sf_dir)).select("review_id", "company", "ord")
+    timed = rows.withColumn("seen", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("ord") % 1000))
+    for part in sorted(range(3), reverse=last_first):
+        timed.where(F.col("ord") % 3 == part).coalesce(1).write.parquet(f"{path}/{2 - part if last_first else part}")
+    end = timed.limit(1).withColumn("review_id", F.lit("end")).withColumn("seen", F.col("seen") + F.expr("interval 1 year"))
+    end.coalesce(1).write.parquet(f"{path}/3")
+    return (
+        spark.readStream.schema(timed.schema)
+        .options(recursiveFileLookup=True, maxFilesPerTrigger=1)
+        .parquet(path)
+    )
+
+
+def stream_first_wins(spark, sf_dir):
+    """The first review of each id, out of two streams of the same files in opposite orders."""
+    parts = []
+    for last_first in (False, True):
+        path = scratch_dir(spark)
+        source = _timed_reviews(spark, sf_dir, path, last_first)
+        first = streams.stream_first(source, ["company", "ord"], "seen", timedelta(days=1), "1 day")
+        name = _table_name(path)
+        streams.stream_load(first, name, f"{path}-progress", f"{path}-rows").awaitTermination()
+        parts.append(read.read_table(spark, name).select("review_id", "company", "ord", F.lit(last_first).alias("reversed")))
+    return parts[0].unionByName(parts[1])
+
+
+def stream_replayed(spark, sf_dir):
+    """Files as batches, every batch run twice, as after a failure."""
+    path = scratch_dir(spark)
+    name = _table_name(path)
+
+    def twice(batch, number):
+        for _ in range(2):
+            write.load_once(batch, name, f"replayed-{number}", path=f"{path}-rows")
+
+    source = _timed_reviews(spark, sf_dir, path, False)
+    query = source.writeStream.option("checkpointLocation", f"{path}-progress").trigger(availableNow=True)
+    query.foreachBatch(twice).start().awaitTermination()
+    return read.read_table(spark, name).where("review_id <> 'end'").select("review_id", "company", "ord")
+
+
+def stream_reloaded(spark, sf_dir):
+    """Two streams into one table, each of which replaces what it has: the second's rows."""
+    path = scratch_dir(spark)
+    name = _table_name(path)
+    for kind in (0, 1):
+        source = _review_stream(spark, sf_dir).where(f"company like '%{kind}'")
+        query = streams.stream_load(source, name, f"{path}-progress{kind}", f"{path}-rows", mode="replace")
+        query.awaitTermination()
+    return read.read_table(spark, name).select("review_id", "company")
+
+
+def table_staged(spark, sf_dir):
+    """A load that fails half way, to a table of the same and of other columns, leaves its rows."""
+    path = scratch_dir(spark)
+    name = _table_name(path)
+    rows = reviews(spark, sf_dir).select("ord", "company", "rating")
+    write.load_table(rows.where("ord % 2 = 0"), name, path)
+    failing = rows.withColumn("rating", F.expr("if(ord % 100 = 99, raise_error('lost'), rating)"))
+    for frame in (failing, failing.withColumn("more", F.lit("x"))):
+        try:
+            write.load_table(frame, name, path)
+        except SparkRuntimeException:
+            continue
+        raise AssertionError("a load of failing rows went through")
+    write.write_table(rows.where("ord % 2 = 1"), name, "append")
+    return read.read_table(spark, name)
 
 
 def stream_reviews(spark, sf_dir):
@@ -147,7 +225,7 @@ def stream_reviews(spark, sf_dir):
     rows = streams.stream_reviews(spark, path)
     rows = rows.withColumn("company", F.regexp_extract("company", "^PART-", 0))
     streams.stream_load(rows, _table_name(path), f"{path}-progress", f"{path}-rows").awaitTermination()
-    return spark.read.table(_table_name(path))
+    return read.read_table(spark, _table_name(path))
 
 
 # Files of odd reviews lack three columns and have the others in another order.
@@ -196,6 +274,22 @@ QUERIES = {
         f"""select distinct review_id from ({REVIEWS_SQL}) r
         where review_id is not null and company <> 'SAMPLE'""",
     ),
+    "stream_first_wins": (
+        stream_first_wins,
+        f"""select review_id, company, ord, reversed from (
+          select *, row_number() over (partition by review_id order by company, ord) as rn
+          from ({REVIEWS_SQL}) r where review_id is not null) k, (select unnest([false, true]) as reversed) o
+        where rn = 1""",
+    ),
+    "stream_replayed": (
+        stream_replayed,
+        f"select review_id, company, ord from ({REVIEWS_SQL}) r where review_id is not null",
+    ),
+    "stream_reloaded": (
+        stream_reloaded,
+        f"select review_id, company from ({REVIEWS_SQL}) r where company like '%1'",
+    ),
+    "table_staged": (table_staged, f"select ord, company, rating from ({REVIEWS_SQL}) r"),
     "stream_reviews": (
         stream_reviews,
         f"select {_TWO_LAYOUTS}, 'PART-' as company from ({REVIEWS_SQL}) r where review_id is not null",

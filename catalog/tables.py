@@ -153,24 +153,24 @@ def head(spark, sf_dir):
 
 def head_large(spark, sf_dir):
     return dedup.head(table(spark, sf_dir, "lineitem").withColumns(
-        {"at": F.col("l_orderkey") * 8 + F.col("l_linenumber")}
-    ).select("at", "l_partkey"), 40_000, ["at"])
+        {"place": F.col("l_orderkey") * 8 + F.col("l_linenumber")}
+    ).select("place", "l_partkey"), 40_000, ["place", "l_partkey"])
 
 
 def head_by_text(spark, sf_dir):
     """An order of text columns, of which the first has few values."""
     rows = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_returnflag", "cast(l_orderkey * 8 + l_linenumber as string) as at", "l_quantity"
+        "l_returnflag", "cast(l_orderkey * 8 + l_linenumber as string) as place", "l_quantity"
     )
-    return dedup.head(rows, 5000, ["l_returnflag", "at"])
+    return dedup.head(rows, 5000, ["l_returnflag", "place", "l_quantity"])
 
 
 def cap_per_mode(spark, sf_dir):
     """A large limit per group, in an order of sparse numbers."""
     rows = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_returnflag", "(l_orderkey * 8 + l_linenumber) * 1000003 as at", "l_quantity"
+        "l_returnflag", "(l_orderkey * 8 + l_linenumber) * 1000003 as place", "l_quantity"
     )
-    return dedup.cap_per_company(rows, 1000, ["at"], ["l_returnflag"])
+    return dedup.cap_per_company(rows, 1000, ["place", "l_quantity"], ["l_returnflag"])
 
 
 def limit_pages(spark, sf_dir):
@@ -275,19 +275,19 @@ QUERIES = {
     "head": (head, f"select ord, body from ({REVIEWS_SQL}) r order by ord limit 3"),
     "head_large": (
         head_large,
-        """select l_orderkey * 8 + l_linenumber as at, l_partkey from lineitem
-        order by l_orderkey, l_linenumber limit 40000""",
+        """select l_orderkey * 8 + l_linenumber as place, l_partkey from lineitem
+        order by l_orderkey, l_linenumber, l_partkey limit 40000""",
     ),
     "head_by_text": (
         head_by_text,
-        """select l_returnflag, cast(l_orderkey * 8 + l_linenumber as varchar) as at, l_quantity
-        from lineitem order by l_returnflag, at limit 5000""",
+        """select l_returnflag, cast(l_orderkey * 8 + l_linenumber as varchar) as place, l_quantity
+        from lineitem order by l_returnflag, place, l_quantity limit 5000""",
     ),
     "cap_per_mode": (
         cap_per_mode,
-        """select l_returnflag, at, l_quantity from (
-          select l_returnflag, (l_orderkey * 8 + l_linenumber) * 1000003 as at, l_quantity,
-            row_number() over (partition by l_returnflag order by l_orderkey, l_linenumber) as rn
+        """select l_returnflag, place, l_quantity from (
+          select l_returnflag, (l_orderkey * 8 + l_linenumber) * 1000003 as place, l_quantity,
+            row_number() over (partition by l_returnflag order by l_orderkey, l_linenumber, l_quantity) as rn
           from lineitem) k where rn <= 1000""",
     ),
     "limit_pages": (

@@ -31,6 +31,12 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{own}/run-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder, if it is there, in whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _delete_at_exit(spark: SparkSession, folder: str) -> None:
     """Has the file system delete the application's folder when the driver ends."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

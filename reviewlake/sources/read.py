@@ -18,6 +18,7 @@ from ..functions import text
 from ..operators.dedup import union_outer
 from ..schema import REVIEW_COLS
 from ..scratch import materialize
+from .write import LOAD
 
 
 def _files(spark: SparkSession, pattern: str, multi_line: bool | None) -> DataFrame:
@@ -136,7 +137,8 @@ def require_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.read.table(name)
+    """The rows of a table, without what says which load they came with."""
+    return spark.read.table(name).drop(LOAD)
 
 
 def read_pages(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:

@@ -6,16 +6,18 @@ import csv
 import io
 import itertools
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from datetime import timedelta
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions import text
 from ..operators.filters import drop_missing_id, drop_sample
 from ..schema import REVIEW_SCHEMA
+from ..sources.write import load_once
 
 #: Records that are handed on at once.
 ROWS = 5000
@@ -71,23 +73,118 @@ def stream_dedup(
 ) -> DataFrame:
     """Each review id once, ever; the state keeps every id.
 
-    With a watermark the state is bounded and an id is known only that long.
+    With a watermark the state is bounded and an id is known only that long. Which row of
+    an id is kept depends on what arrives first; see ``stream_first``.
     """
     if event_time and watermark:
         return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(["review_id"])
     return df.dropDuplicates(["review_id"])
 
 
+class _First(StatefulProcessor):
+    """Of a key's rows, the first by an order, once no other of its time can come.
+
+    The state has, for each event time for which a decision is due, the first row of it.
+    It is read and written once for each batch that has rows of the key.
+    """
+
+    def __init__(self, schema: T.StructType, order: Sequence[str], known: int):
+        self.schema, self.order, self.known = schema, order, known
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        state = T.StructType([T.StructField("at", T.ArrayType(T.LongType()))])
+        self.held = handle.getValueState("held", state.add("rows", T.ArrayType(self.schema)))
+
+    def place(self, row: Row) -> list[tuple]:
+        """Nulls first."""
+        return [(row[c] is not None, row[c]) for c in self.order]
+
+    def known_rows(self) -> dict[int, Row]:
+        held = self.held.get()
+        if held is None:
+            return {}
+        names = self.schema.fieldNames()
+        return {at: Row(**dict(zip(names, row))) for at, row in zip(held[0], held[1], strict=True)}
+
+    def keep(self, rows: dict[int, Row]) -> None:
+        if rows:
+            self.held.update((list(rows), [tuple(r) for r in rows.values()]))
+            self.handle.registerTimer(min(rows) + self.known)
+        else:
+            self.held.clear()
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = self.known_rows()
+        for row in rows:
+            new = Row(**{n: row[n] for n in self.schema.fieldNames()})
+            held[row["_at"]] = min(held.get(row["_at"], new), new, key=self.place)
+        self.keep(held)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now, held = timerValues.getCurrentWatermarkInMs(), self.known_rows()
+        while held and min(held) + self.known <= now:
+            end = min(held) + self.known
+            yield min((r for at, r in held.items() if at <= end), key=self.place)
+            held = {at: r for at, r in held.items() if at > end}
+        self.keep(held)
+
+
+def stream_first(
+    df: DataFrame,
+    order: Sequence[str],
+    event_time: str,
+    known: timedelta,
+    late: str = "0 seconds",
+    key: str = "review_id",
+) -> DataFrame:
+    """The first row of each id in the order of columns, whatever arrives first.
+
+    The rows of an id whose event times are at most ``known`` after its first compete.
+    One is handed on when the watermark, which is ``late`` behind the latest event time,
+    has passed that span; then the id is forgotten, and a later row of it begins anew. So
+    the result is told by the rows alone, as long as none comes later than ``late``, and
+    the state holds only what the watermark has not passed. Rows without event time are
+    left out.
+    """
+    df.sparkSession.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    timed = df.where(F.col(event_time).isNotNull()).withWatermark(event_time, late)
+    first = _First(df.schema, list(order), known // timedelta(milliseconds=1))
+    return (
+        timed.withColumn("_at", F.unix_millis(F.col(event_time).cast("timestamp")))
+        .groupBy(key)
+        .transformWithState(first, df.schema, "append", "EventTime")
+    )
+
+
 def stream_load(
-    df: DataFrame, table: str, checkpoint: str, path: str | None = None, once: bool = True
+    df: DataFrame,
+    table: str,
+    checkpoint: str,
+    path: str | None = None,
+    once: bool = True,
+    mode: str = "append",
 ) -> StreamingQuery:
-    """Append the stream to a table; with ``once`` up to what has arrived by now."""
+    """Load the stream into a table; with ``once`` up to what has arrived by now.
+
+    Each batch is loaded once, however often it is run again (``write.load_once``).
+    ``append`` adds its rows; ``replace`` has the table hold the latest batch alone, for
+    sources that hand over all they have each time.
+    """
+    def publish(batch: DataFrame, number: int) -> None:
+        # A batch without rows, as a watermark makes them, is no load.
+        if not batch.isEmpty():
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            load_once(batch, table, f"{query}-{number}", mode, path)
+
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    if path:
-        writer = writer.option("path", path)
     if once:
         writer = writer.trigger(availableNow=True)
-    return writer.format("parquet").toTable(table)
+    return writer.foreachBatch(publish).start()
 
 
 # The helpers travel with the job; executors need no copy of this package.

@@ -26,16 +26,21 @@ def duck(sf_dir):
     return con
 
 
+def plain(value):
+    """Lists, and what is in them, as tuples, which can be counted."""
+    return tuple(map(plain, value)) if isinstance(value, (list, tuple)) else value
+
+
 def spark_rows(df):
     cols = sorted(df.columns)
-    return cols, Counter(tuple(r) for r in df.select(*[f"`{c}`" for c in cols]).collect())
+    return cols, Counter(map(plain, df.select(*[f"`{c}`" for c in cols]).collect()))
 
 
 def duck_rows(con, sql):
     rel = con.sql(sql)
     cols = sorted(rel.columns)
     at = [rel.columns.index(c) for c in cols]
-    return cols, Counter(tuple(r[i] for i in at) for r in rel.fetchall())
+    return cols, Counter(plain([r[i] for i in at]) for r in rel.fetchall())
 
 
 def difference(spark, con, sf_dir, name):

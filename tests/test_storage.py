@@ -1,6 +1,7 @@
 """Files, tables, streams and the whole flow."""
 
 import os
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -256,6 +257,77 @@ def test_stream_is_the_batch(spark, folder, tmp_path):
     assert all(r.rating == float(r.review_id) for r in rows)
 
 
+def failing(spark, columns="id, 'a' as x"):
+    return spark.range(10).selectExpr(*columns.split(", ")).withColumn(
+        "x", F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("x"))
+    )
+
+
+@pytest.mark.parametrize("managed", [True, False])
+def test_failed_load_leaves_the_old_rows(spark, managed):
+    path = None if managed else scratch_dir(spark)
+    name = "kept_" + os.path.basename(scratch_dir(spark)).rsplit("-", 1)[1]
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "id long, x string")
+    with pytest.raises(Exception):
+        write.load_table(failing(spark), name, path)
+    assert not spark.catalog.tableExists(name)
+    for present in (good, good.withColumn("y", F.lit(1).cast("long")), good):
+        assert write.load_table(present, name, path) == 2
+        for lost in (failing(spark), failing(spark, "id, 'a' as x, 2 as z")):
+            with pytest.raises(Exception):
+                write.load_table(lost, name, path)
+            assert sorted(map(tuple, spark.table(name).collect())) == sorted(map(tuple, present.collect()))
+    # A table may be replaced by what is made of it; only the last version's files are left.
+    assert write.load_table(spark.table(name).withColumn("x", F.upper("x")), name, path) == 2
+    assert {r.x for r in spark.table(name).collect()} == {"A", "B"}
+    place = write._plain(write._location(spark, name))
+    siblings = os.listdir(os.path.dirname(place))
+    assert [s for s in siblings if s.startswith(os.path.basename(place).split("version")[0])] == [os.path.basename(place)]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(name) and t.name != name]
+    write.create_table_like(good, name, replace=True, path=path)
+    assert spark.table(name).count() == 0
+    spark.sql(f"drop table {name}")
+
+
+@pytest.mark.parametrize("mode", ["append", "replace"])
+def test_a_load_is_loaded_once(spark, mode):
+    name = f"once_{mode}_" + scratch_dir(spark).rsplit("-", 1)[1]
+    path = scratch_dir(spark)
+    first, second = spark.range(3), spark.range(10, 14)
+    with pytest.raises(Exception):
+        write.load_once(spark.range(3).select(F.raise_error(F.lit("lost")).cast("long").alias("id")), name, "0", mode, path)
+    assert write.load_once(first, name, "0", mode, path)
+    assert not write.load_once(first, name, "0", mode, path)
+    assert write.load_once(second, name, "1", mode, path)
+    assert not write.load_once(second, name, "1", mode, path)
+    rows = read.read_table(spark, name)
+    assert rows.columns == ["id"]
+    assert sorted(r.id for r in rows.collect()) == [*([0, 1, 2] if mode == "append" else []), 10, 11, 12, 13]
+
+
+def test_first_row_wins_in_any_order_of_arrival(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    schema = "review_id string, seen timestamp, pos int, body string"
+    rows = [("a", start + timedelta(minutes=i), (i * 7 + 3) % 10, None if i % 3 else "x") for i in range(10)]
+    rows += [("b", start + timedelta(minutes=i), 5 - i, "y") for i in range(3)] + [("c", None, 0, None)]
+    # Beyond what an id is known for, it begins anew; nulls come first.
+    rows += [("a", start + timedelta(days=2), 7, "late"), ("a", start + timedelta(days=2, hours=1), None, "later")]
+    results = []
+    for turn, arriving in enumerate([rows, rows[::-1], rows[5:] + rows[:5]]):
+        for i, chunk in enumerate([arriving[:7], arriving[7:], [("end", start + timedelta(days=30), 0, None)]]):
+            place = tmp_path / f"in{turn}" / str(i)
+            spark.createDataFrame(chunk, schema).coalesce(1).write.parquet(str(place))
+            for file in place.glob("*.parquet"):
+                os.utime(file, (1e9 + i, 1e9 + i))
+        source = spark.readStream.schema(schema).options(maxFilesPerTrigger=1, recursiveFileLookup=True)
+        first = streams.stream_first(source.parquet(str(tmp_path / f"in{turn}")), ["pos"], "seen", timedelta(days=1), "10 days")
+        name = "first_" + scratch_dir(spark).rsplit("-", 1)[1]
+        streams.stream_load(first, name, scratch_dir(spark), scratch_dir(spark)).awaitTermination()
+        results.append(sorted(map(tuple, read.read_table(spark, name).collect())))
+    assert results[0] == results[1] == results[2]
+    assert [(r[0], r[2], r[3]) for r in results[0]] == [("a", 0, None), ("a", None, "later"), ("b", 3, "y")]
+
+
 def test_bounded_stream_dedup(spark):
     df = spark.readStream.format("rate").load().selectExpr("cast(value as string) review_id", "timestamp")
     plan = streams.stream_dedup(df, "timestamp", "1 hour")._jdf.queryExecution().logical().toString()
