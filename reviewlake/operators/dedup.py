@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import text
 from ..schema import ORDER_COLS
 from ..scratch import materialize
 
-SPLITS = 32
+#: A group of more rows is cut by thresholds before it is ranked.
+LARGE = 100_000
+#: Rows of a group that thresholds are told by.
+SAMPLE = 10_000
 
 
 def with_fingerprint(df: DataFrame) -> DataFrame:
@@ -74,49 +77,121 @@ def head(df: DataFrame, n: int, order: Sequence[str] = ORDER_COLS) -> DataFrame:
     return _first_rows(df, n, list(order), [])
 
 
-def cut_within_splits(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows of each of a group's splits."""
-    split = Window.partitionBy(*by, "_split").orderBy(*order)
-    return (
-        df.withColumn("_split", F.pmod(F.xxhash64(*order), F.lit(SPLITS)))
-        .withColumn("_rn", F.row_number().over(split))
-        .where(F.col("_rn") <= n)
-        .select(*df.columns)
-    )
-
-
 def _first_rows(df: DataFrame, n: int, order: list[str], by: list[str]) -> DataFrame:
     """The first ``n`` rows of each group, in the order of columns that tell its rows apart.
 
-    Each group is cut to ``n`` rows within each of its splits, where the optimizer cuts
-    small limits in each task before the shuffle. What is left is dealt out by range and
-    written with its partition's number; the rows per group and partition, some numbers
-    per partition, give each partition's offset, and rows are ranked within partitions.
-    So no limit, group or order gathers rows in one task.
+    A limit that the optimizer cuts within each task, before anything is shuffled, is
+    left to it. For others see ``select_first``.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
-    columns = df.columns
-    cut = cut_within_splits(df, n, order, by)
-    rows = materialize(cut.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()))
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*by, "_part")
-        .count()
-        .withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
-        .where(F.col("_before") < n)
-        .select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_of"), "_before")
-    )
-    same = F.col("_part") == F.col("_of")
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    rank = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))
-    return (
-        rows.join(offsets, same)
-        .withColumn("_rn", rank + F.col("_before"))
-        .where(F.col("_rn") <= n)
-        .select(*columns)
-    )
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        return select_first(df, n, order, by)
+    if not by:
+        return df.orderBy(*order).limit(n)
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("_rn", rank).where(F.col("_rn") <= n).drop("_rn")
+
+
+def _literal(value, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType) and value is not None:
+        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind, strict=True)])
+    return F.lit(value).cast(kind)
+
+
+def _written(numbers: DataFrame, by: list[str]) -> DataFrame:
+    """A row per group, written down; the one row without ``by``, held by the driver."""
+    if by:
+        return materialize(numbers)
+    return numbers.sparkSession.createDataFrame([numbers.first()], numbers.schema)
+
+
+def _at(df: DataFrame, numbers: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` with the columns of ``numbers``, which has a row per group; one in all without ``by``."""
+    if not by:
+        # One row of a few numbers and keys.
+        row = numbers.first()
+        return df.withColumns({f.name: _literal(row[f.name], f.dataType) for f in numbers.schema})
+    named = numbers.withColumnsRenamed({c: f"_by_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    return df.join(named, same, "left").drop(*[f"_by_{c}" for c in by])
+
+
+def select_first(df: DataFrame, n: int, order: list[str], by: list[str]) -> DataFrame:
+    """The first ``n`` rows of each group, by thresholds.
+
+    A sample of each large group tells two places in its order, between which its ``n``-th
+    row almost surely lies. One scan counts the rows up to both. Rows up to the lower one
+    are taken as they are, those beyond the upper one are left; the few in between go on
+    in the same way, until none of the groups is large, and only then rows are shuffled and
+    ranked. A place that the counts show to be wrong is not used. So what is moved does not
+    grow with ``n`` or the table, and no group is gathered in one task. ``df`` is scanned
+    twice a round, its order and group columns alone.
+
+    Rows equal in all columns are counted before they are ranked.
+    """
+    key = F.struct(*order)
+    taken = []
+    # What is left of each group, and how many of its rows are still to be taken.
+    rest = df
+    sizes = _written(df.groupBy(*by).agg(F.count("*").alias("_size")).withColumn("_want", F.lit(n).cast("bigint")), by)
+    large = (F.col("_size") > LARGE) & (F.col("_size") > F.col("_want"))
+    seed = 0
+    while not (groups := sizes.where(large)).isEmpty():
+        seed += 1
+        share = F.pmod(F.xxhash64(F.lit(seed), *order), F.lit(1 << 30)) / float(1 << 30)
+        sized = _at(rest.select(*dict.fromkeys([*by, *order])), groups, by)
+        seen = sized.where(share < SAMPLE / F.col("_size")).select(*by, key.alias("_key"), "_size", "_want")
+        whole = Window.partitionBy(*by)
+        # The place of the n-th row in the sample, give or take what chance may do.
+        place = F.count("*").over(whole) * F.col("_want") / F.col("_size")
+        slack = 5 * F.sqrt(place) + 10
+        ranked = seen.withColumns({"_k": F.row_number().over(whole.orderBy("_key")), "_place": place, "_slack": slack})
+        cuts = _written(
+            ranked.groupBy(*by).agg(
+                F.max(F.when(F.col("_k") <= F.col("_place") - F.col("_slack"), F.col("_key"))).alias("_low"),
+                F.min(F.when(F.col("_k") >= F.col("_place") + F.col("_slack"), F.col("_key"))).alias("_high"),
+            ),
+            by,
+        )
+        counted = (
+            _at(rest.select(*dict.fromkeys([*by, *order])), cuts, by)
+            .where(F.col("_low").isNotNull() | F.col("_high").isNotNull())
+            .groupBy(*by)
+            .agg(
+                F.count_if(key <= F.col("_low")).alias("_under"),
+                F.count_if(key <= F.col("_high")).alias("_upto"),
+                F.max("_low").alias("_low"),
+                F.max("_high").alias("_high"),
+            )
+        )
+        right = (F.col("_under") <= F.col("_want"), F.col("_upto") >= F.col("_want"))
+        both = _at(sizes, counted, by).withColumns(
+            {
+                "_low": F.when(right[0], F.col("_low")),
+                "_high": F.when(right[1], F.col("_high")),
+                "_under": F.when(right[0], F.coalesce("_under", F.lit(0))).otherwise(0),
+            }
+        )
+        upto = F.when(F.col("_high").isNotNull(), F.col("_upto")).otherwise(F.col("_size"))
+        left = {"_size": upto - F.col("_under"), "_want": F.col("_want") - F.col("_under"), "_before": F.col("_size")}
+        known = _written(both.select(*by, *[v.alias(c) for c, v in left.items()], "_low", "_high"), by)
+        placed = _at(rest, known.select(*by, "_low", "_high"), by)
+        taken.append(placed.where(key <= F.col("_low")).select(*df.columns))
+        above = F.coalesce(key > F.col("_low"), F.lit(True)) & F.coalesce(key <= F.col("_high"), F.lit(True))
+        rest = placed.where(above).select(*df.columns)
+        sizes = known.select(*by, "_size", "_want", "_before")
+        # Equal rows are not told apart by any threshold.
+        large = (F.col("_size") > LARGE) & (F.col("_size") > F.col("_want")) & (F.col("_size") < 0.9 * F.col("_before"))
+    wanted = _at(rest, sizes.select(*by, "_size", "_want"), by)
+    taken.append(wanted.where("_size <= _want").select(*df.columns))
+    alike = wanted.where("_size > _want").groupBy(*df.columns, "_want").agg(F.count("*").alias("_copies"))
+    ordered = Window.partitionBy(*by).orderBy(*order)
+    before = F.sum("_copies").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    copies = F.least(F.col("_copies"), F.col("_want") - F.coalesce(before, F.lit(0)))
+    last = alike.withColumn("_n", copies).where(F.col("_n") > 0)
+    repeated = last.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
+    return reduce(DataFrame.unionByName, [*taken, repeated.drop("_i")])
 
 
 def limit_pages(df: DataFrame, max_pages: int) -> DataFrame:

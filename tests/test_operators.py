@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from reviewlake.scratch import materialize
 from reviewlake.operators import dedup, filters, project, report
 from reviewlake.plans.flow import clean_reviews
 from reviewlake.schema import REVIEW_COLS
@@ -87,10 +88,12 @@ def test_cap(spark, rows, n):
     assert got(dedup.head(df, n, ["ord"])) == sorted(rows, key=lambda r: r[4])[:n]
 
 
-@pytest.mark.parametrize("n", [3, 999, 1000, 50_000])
+@pytest.mark.parametrize("n", [3, 999, 1000, 1001, 50_000])
 @pytest.mark.parametrize("order", [["name"], ["at"], ["sparse"], ["kind", "name"]])
-def test_limits_are_a_plain_rank(spark, n, order):
+def test_limits_are_a_plain_rank(spark, monkeypatch, n, order):
     """Text, integer, sparse and mixed orders, a hot company and a company without name."""
+    monkeypatch.setattr(dedup, "LARGE", 5_000)
+    monkeypatch.setattr(dedup, "SAMPLE", 1_000)
     rows = spark.range(60_000).selectExpr(
         "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else concat('c', id % 50) end as company",
         "sha1(cast(id as string)) as name",
@@ -232,7 +235,53 @@ def test_groups_are_cut_before_the_shuffle(spark, rows):
     for cut in (
         dedup.dedup_by_id(df, ["ord"]),
         dedup.dedup_by_fingerprint(df, ["ord"]),
-        dedup.cut_within_splits(df, 3, ["ord"], ["company"]),
-        dedup.cut_within_splits(df, 3, ["ord"], []),
+        dedup.cap_per_company(df, 3, ["ord"]),
     ):
         assert "WindowGroupLimit" in plan(cut) and "Partial" in plan(cut)
+    assert "TakeOrderedAndProject" in plan(dedup.head(df, 3, ["ord"]))
+
+
+def _shuffled(df):
+    """Rows that the plan's exchanges wrote."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    node, counts = [df._jdf.queryExecution().executedPlan()], []
+    while node:
+        p = node.pop()
+        if p.nodeName() == "AdaptiveSparkPlan":
+            node.append(p.executedPlan())
+            continue
+        if "QueryStage" in p.nodeName():
+            node.append(p.plan())
+        if p.nodeName() == "Exchange":
+            counts.append(p.metrics().apply("shuffleRecordsWritten").value())
+        children = p.children()
+        node += [children.apply(i) for i in range(children.size())]
+    return sum(counts)
+
+
+@pytest.mark.parametrize("by", [[], ["company"]])
+def test_large_limits_move_few_rows(spark, monkeypatch, by):
+    monkeypatch.setattr(dedup, "LARGE", 20_000)
+    rows = spark.range(400_000).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 3 = 1 then null else concat('c', id % 50) end as company",
+        "sha1(cast(id as string)) as name", "id % 7 as kind", "id",
+    )
+    n = 30_000
+    first = dedup._first_rows(materialize(rows), n, ["kind", "name"], by)
+    assert _shuffled(first) < 60_000
+    rank = f"row_number() over ({'partition by company' if by else ''} order by kind, name)"
+    expected = rows.selectExpr("*", f"{rank} as rn").where(f"rn <= {n}").drop("rn")
+    assert first.count() == expected.count() and first.exceptAll(expected).isEmpty()
+
+
+def test_limits_among_equal_rows(spark, monkeypatch):
+    """A third of all rows are one row, and all of a group's rows are in one place of the order."""
+    monkeypatch.setattr(dedup, "LARGE", 500)
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 'hot', 'cold') as company", "if(id % 3 = 0, -1, id % 90) as ord")
+    rows = materialize(rows)
+    for n in (1200, 9_999, 10_001):
+        got = {tuple(r) for r in dedup.cap_per_company(rows, n, ["ord"]).groupBy("company").count().collect()}
+        assert got == {("hot", min(n, 10_000)), ("cold", n)}
+        kept = dedup.head(rows, n, ["ord"]).groupBy("ord").count().orderBy("ord").collect()
+        assert kept[0]["count"] == min(n, 10_000) and sum(r["count"] for r in kept) == n
