@@ -86,7 +86,7 @@ def _first_rows(df: DataFrame, n: int, order: list[str], by: list[str]) -> DataF
     if n < 1:
         raise ValueError("n must be >= 1")
     if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
-        return select_first(df, n, order, by)
+        return select_first(df, n, order, by) if by else select_head(df, n, order)
     if not by:
         return df.orderBy(*order).limit(n)
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
@@ -99,24 +99,51 @@ def _literal(value, kind: T.DataType) -> Column:
     return F.lit(value).cast(kind)
 
 
-def _written(numbers: DataFrame, by: list[str]) -> DataFrame:
-    """A row per group, written down; the one row without ``by``, held by the driver."""
-    if by:
-        return materialize(numbers)
-    return numbers.sparkSession.createDataFrame([numbers.first()], numbers.schema)
-
-
 def _at(df: DataFrame, numbers: DataFrame, by: list[str]) -> DataFrame:
-    """``df`` with the columns of ``numbers``, which has a row per group; one in all without ``by``."""
-    if not by:
-        # One row of a few numbers and keys.
-        row = numbers.first()
-        return df.withColumns({f.name: _literal(row[f.name], f.dataType) for f in numbers.schema})
+    """``df`` with the columns of ``numbers``, which has a row per group."""
     named = numbers.withColumnsRenamed({c: f"_by_{c}" for c in by})
     same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
     return df.join(named, same, "left").drop(*[f"_by_{c}" for c in by])
 
 
+def _share(seed: int, order: list[str]) -> Column:
+    """A number between 0 and 1, told by the order columns."""
+    return F.pmod(F.xxhash64(F.lit(seed), *order), F.lit(1 << 30)) / float(1 << 30)
+
+
+def _ranked(rows: DataFrame, want: Column, order: list[str], by: list[str]) -> DataFrame:
+    """The first ``want`` rows of each group; rows equal in all columns are counted first."""
+    alike = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
+    ordered = Window.partitionBy(*by).orderBy(*order)
+    before = F.sum("_copies").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    copies = F.least(F.col("_copies"), want - F.coalesce(before, F.lit(0)))
+    last = alike.withColumn("_n", copies).where(F.col("_n") > 0)
+    return last.select(*rows.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).drop("_i")
+
+
+def select_head(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The first ``n`` rows of the table, by thresholds; see ``select_first``."""
+    key, kind = F.struct(*order), df.select(F.struct(*order).alias("k")).schema["k"].dataType
+    taken, rest, size, before, seed = [], df, df.count(), float("inf"), 0
+    while size > max(LARGE, n) and size < 0.9 * before:
+        seed, before = seed + 1, size
+        # Some SAMPLE keys, whatever the size.
+        seen = rest.select(*order).where(_share(seed, order) < SAMPLE / size).select(key.alias("k"))
+        keys = [r.k for r in seen.orderBy("k").collect()]
+        place = len(keys) * n / size
+        slack = 5 * place**0.5 + 10
+        low = _literal(keys[int(place - slack) - 1] if place - slack >= 1 else None, kind)
+        high = _literal(keys[int(place + slack)] if place + slack < len(keys) else None, kind)
+        under, upto = rest.select(*order).agg(F.count_if(key <= low), F.count_if(key <= high)).first()
+        if upto >= n:
+            rest, size = rest.where(key <= high), upto
+        if under <= n:
+            taken.append(rest.where(key <= low))
+            rest, size, n = rest.where(F.coalesce(key > low, F.lit(True))), size - under, n - under
+    last = rest if size <= n else _ranked(rest, F.lit(n), order, [])
+    return reduce(DataFrame.unionByName, [*taken, last])
+
+
 def select_first(df: DataFrame, n: int, order: list[str], by: list[str]) -> DataFrame:
     """The first ``n`` rows of each group, by thresholds.
 
@@ -131,31 +158,28 @@ def select_first(df: DataFrame, n: int, order: list[str], by: list[str]) -> Data
     Rows equal in all columns are counted before they are ranked.
     """
     key = F.struct(*order)
-    taken = []
+    narrow = list(dict.fromkeys([*by, *order]))
     # What is left of each group, and how many of its rows are still to be taken.
-    rest = df
-    sizes = _written(df.groupBy(*by).agg(F.count("*").alias("_size")).withColumn("_want", F.lit(n).cast("bigint")), by)
+    taken, rest, seed = [], df, 0
+    sizes = materialize(df.groupBy(*by).agg(F.count("*").alias("_size")).withColumn("_want", F.lit(n).cast("bigint")))
     large = (F.col("_size") > LARGE) & (F.col("_size") > F.col("_want"))
-    seed = 0
     while not (groups := sizes.where(large)).isEmpty():
         seed += 1
-        share = F.pmod(F.xxhash64(F.lit(seed), *order), F.lit(1 << 30)) / float(1 << 30)
-        sized = _at(rest.select(*dict.fromkeys([*by, *order])), groups, by)
-        seen = sized.where(share < SAMPLE / F.col("_size")).select(*by, key.alias("_key"), "_size", "_want")
+        sized = _at(rest.select(*narrow), groups, by)
+        seen = sized.where(_share(seed, order) < SAMPLE / F.col("_size")).select(*by, key.alias("_key"), "_size", "_want")
         whole = Window.partitionBy(*by)
         # The place of the n-th row in the sample, give or take what chance may do.
         place = F.count("*").over(whole) * F.col("_want") / F.col("_size")
         slack = 5 * F.sqrt(place) + 10
         ranked = seen.withColumns({"_k": F.row_number().over(whole.orderBy("_key")), "_place": place, "_slack": slack})
-        cuts = _written(
+        cuts = materialize(
             ranked.groupBy(*by).agg(
                 F.max(F.when(F.col("_k") <= F.col("_place") - F.col("_slack"), F.col("_key"))).alias("_low"),
                 F.min(F.when(F.col("_k") >= F.col("_place") + F.col("_slack"), F.col("_key"))).alias("_high"),
-            ),
-            by,
+            )
         )
         counted = (
-            _at(rest.select(*dict.fromkeys([*by, *order])), cuts, by)
+            _at(rest.select(*narrow), cuts, by)
             .where(F.col("_low").isNotNull() | F.col("_high").isNotNull())
             .groupBy(*by)
             .agg(
@@ -165,17 +189,18 @@ def select_first(df: DataFrame, n: int, order: list[str], by: list[str]) -> Data
                 F.max("_high").alias("_high"),
             )
         )
-        right = (F.col("_under") <= F.col("_want"), F.col("_upto") >= F.col("_want"))
-        both = _at(sizes, counted, by).withColumns(
+        under, upto = F.col("_under") <= F.col("_want"), F.col("_upto") >= F.col("_want")
+        checked = _at(sizes, counted, by).withColumns(
             {
-                "_low": F.when(right[0], F.col("_low")),
-                "_high": F.when(right[1], F.col("_high")),
-                "_under": F.when(right[0], F.coalesce("_under", F.lit(0))).otherwise(0),
+                "_before": F.col("_size"),
+                "_low": F.when(under, F.col("_low")),
+                "_high": F.when(upto, F.col("_high")),
+                "_under": F.when(under & F.col("_low").isNotNull(), F.col("_under")).otherwise(0),
+                "_upto": F.when(upto & F.col("_high").isNotNull(), F.col("_upto")).otherwise(F.col("_size")),
             }
         )
-        upto = F.when(F.col("_high").isNotNull(), F.col("_upto")).otherwise(F.col("_size"))
-        left = {"_size": upto - F.col("_under"), "_want": F.col("_want") - F.col("_under"), "_before": F.col("_size")}
-        known = _written(both.select(*by, *[v.alias(c) for c, v in left.items()], "_low", "_high"), by)
+        left = {"_size": F.col("_upto") - F.col("_under"), "_want": F.col("_want") - F.col("_under")}
+        known = materialize(checked.withColumns(left).select(*by, "_size", "_want", "_before", "_low", "_high"))
         placed = _at(rest, known.select(*by, "_low", "_high"), by)
         taken.append(placed.where(key <= F.col("_low")).select(*df.columns))
         above = F.coalesce(key > F.col("_low"), F.lit(True)) & F.coalesce(key <= F.col("_high"), F.lit(True))
@@ -185,13 +210,8 @@ def select_first(df: DataFrame, n: int, order: list[str], by: list[str]) -> Data
         large = (F.col("_size") > LARGE) & (F.col("_size") > F.col("_want")) & (F.col("_size") < 0.9 * F.col("_before"))
     wanted = _at(rest, sizes.select(*by, "_size", "_want"), by)
     taken.append(wanted.where("_size <= _want").select(*df.columns))
-    alike = wanted.where("_size > _want").groupBy(*df.columns, "_want").agg(F.count("*").alias("_copies"))
-    ordered = Window.partitionBy(*by).orderBy(*order)
-    before = F.sum("_copies").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    copies = F.least(F.col("_copies"), F.col("_want") - F.coalesce(before, F.lit(0)))
-    last = alike.withColumn("_n", copies).where(F.col("_n") > 0)
-    repeated = last.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
-    return reduce(DataFrame.unionByName, [*taken, repeated.drop("_i")])
+    last = _ranked(wanted.where("_size > _want").drop("_size"), F.col("_want"), order, by)
+    return reduce(DataFrame.unionByName, [*taken, last.select(*df.columns)])
 
 
 def limit_pages(df: DataFrame, max_pages: int) -> DataFrame:
