@@ -1,6 +1,7 @@
 """Files, tables, streams and the whole flow."""
 
 import os
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -46,12 +47,38 @@ def test_review_folder(spark, folder):
     assert rows["1"].company == "SAMPLE"
 
 
-@pytest.mark.parametrize("multi_line", [None, True])
-def test_only_files_with_inner_line_breaks_stay_whole(spark, folder, multi_line):
-    df = read.read_review_folder(spark, folder, multi_line)
-    assert {r.review_id for r in df.collect()} == {"7", "007", "NA", "1"}
-    files = read._files(spark, f"{folder}/*.csv", None).collect()
-    assert [r.file.rsplit("_", 1)[1] for r in files if r.whole] == ["dhl%20españa.csv"]
+def test_one_file_of_inner_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    """Records, some of them longer than a block, cut anywhere, as one reader reads them."""
+    rnd = random.Random(3)
+    bits = ["a", '""', "\n", "\r\n", ",", "é", " ", "\n\n", '"",""', "x" * 50]
+    bodies = ["".join(rnd.choices(bits, k=rnd.randrange(0, 30))) for _ in range(1500)]
+    bodies[700] = '\n"",""'.join(["y" * 40] * 300)
+    lines = [f'{i},t{i},"{b}",4.0,"A ""B"" C",,,u{rnd.choice([chr(13), ""])}\n' for i, b in enumerate(bodies)]
+    lines[5] += "\n"
+    (tmp_path / "trustpilot_reviews_x.csv").write_bytes((HEADER + "".join(lines)).encode())
+    whole = {r.review_id: r for r in read._csv(spark, HEADER.strip().split(","), True).csv(str(tmp_path)).collect()}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 3000)
+    spark.conf.set("spark.sql.files.openCostInBytes", 100)
+    try:
+        lines = read._lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 50 and read._blocks(lines).where("inside").count() > 10
+        rows = sorted(read.read_review_folder(spark, str(tmp_path)).collect(), key=lambda r: r.row)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r.review_id for r in rows] == [str(i) for i in range(1500)]
+    for r in rows:
+        one = whole[r.review_id]
+        assert (r.title, r.body, r.author, r.company) == (one.title, one.body, one.author, "X")
+        assert (r.source_url or "").rstrip() == (one.source_url or "").rstrip() == "u"
+
+
+def test_quotes_that_do_not_pair_up(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + '1,5" wide,b,,,,,u\n2,t,"x\ny",,,,,u\n')
+    (tmp_path / "b.csv").write_text(HEADER + '3,t,"x\ny",,,,,u\n')
+    rows = {r.review_id: (r.title, r.body) for r in read.read_review_folder(spark, str(tmp_path)).collect()}
+    assert rows == {"1": ('5" wide', "b"), "2": ("t", "x\ny"), "3": ("t", "x\ny")}
 
 
 def test_folder_of_many_files_of_one_layout(spark, tmp_path):
