@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions import answers as answer_functions
 from reviewlake.operators import classify as C
 from reviewlake.operators.report import NEGATIVE, POSITIVE
+from reviewlake.scratch import scratch_dir
 
 from . import sql
 from .inputs import (
@@ -126,13 +127,55 @@ def classify_reviews(spark, sf_dir):
 
 
 def classify_by_lexicon(spark, sf_dir):
-    labeled = C.classify_by_lexicon(reviews(spark, sf_dir, spread=True), lexicon=LEXICON)
+    return _by_lexicon(spark, sf_dir, C.lexicon_table(spark, LEXICON))
+
+
+def _by_lexicon(spark, sf_dir, lexicon):
+    labeled = C.classify_by_lexicon(reviews(spark, sf_dir, spread=True), lexicon)
     return labeled.select(
         "review_id", "company", "sentiment_label", "general_category", "specific_category",
         F.col("error").isNotNull().alias("failed"),
     )
 
 
+# An entry per specific label. Half of all words speak for one, told by their digest.
+ENTRIES = [
+    (i, sentiment, C.GENERAL[i % len(C.GENERAL)], specific)
+    for i, (sentiment, specific) in enumerate(
+        [(NEGATIVE, x) for x in C.SPECIFIC_NEGATIVE] + [(POSITIVE, x) for x in C.SPECIFIC_POSITIVE]
+    )
+]
+
+
+def large_lexicon(spark, sf_dir):
+    """A lexicon of half of the words that the documents have."""
+    entries = spark.createDataFrame(ENTRIES, "rank bigint, " + ", ".join(f"{c} string" for c in C.LABEL_COLS))
+    words = reviews(spark, sf_dir).select(F.explode(C.words_of(F.col("body"))).alias("word")).where("word <> ''").distinct()
+    rank = F.conv(F.substring(F.md5("word"), 1, 4), 16, 10).cast("bigint") % 98
+    return words.withColumn("rank", rank).join(F.broadcast(entries), "rank")
+
+
+def classify_by_large_lexicon(spark, sf_dir):
+    return _by_lexicon(spark, sf_dir, large_lexicon(spark, sf_dir))
+
+
+def classify_resumed(spark, sf_dir):
+    """A first run over half of the reviews, then one over all; how often each text was asked for."""
+    rows = reviews(spark, sf_dir, spread=True)
+    path = scratch_dir(spark)
+    C.classify(rows.where("ord % 2 = 0"), _first_letter_labeler, first_pause=0.0, answers=path)
+    n_first = spark.read.parquet(path).count()
+    labeled = C.classify(rows, _first_letter_labeler, first_pause=0.0, answers=path)
+    asked = spark.read.parquet(path).groupBy("_key").agg(F.count("*").alias("asked"))
+    return (
+        labeled.withColumn("_key", F.unhex(F.sha2("review", 256)))
+        .join(asked, "_key")
+        .groupBy("sentiment_label", "asked")
+        .agg(F.count("*").alias("n"), F.count_distinct("review").alias("texts"))
+        .withColumn("first_run", F.lit(n_first))
+    )
+
+
 _WORDS = r"list_distinct(regexp_split_to_array(lower(body), '[^\p{L}\p{N}]+'))"
 _SCORES = ", ".join(
     f"len(list_intersect(words, [{', '.join(repr(w) for w in words)}])) as s{i}"
@@ -203,6 +246,29 @@ QUERIES = {
         from (select *, {_BEST} as best from (select *, {_SCORES} from (
           select *, {_WORDS} as words from ({REVIEWS_SQL}) r where {_REVIEW} <> '') w) s) b""",
     ),
+    "classify_by_large_lexicon": (
+        classify_by_large_lexicon,
+        f"""with entries as (select * from (values {', '.join(map(str, ENTRIES))})
+            t(rank, sentiment_label, general_category, specific_category)),
+          said as (select ord, review_id, company, unnest({_WORDS}) as word
+            from ({REVIEWS_SQL}) r where {_REVIEW} <> ''),
+          scores as (select ord, rank, count(*) as n from (
+            select ord, ('0x' || substring(md5(word), 1, 4))::bigint % 98 as rank from said where word <> '')
+            join entries using (rank) group by ord, rank),
+          best as (select ord, rank from scores qualify row_number() over (partition by ord order by n desc, rank) = 1)
+        select review_id, company, sentiment_label, general_category, specific_category, rank is null as failed
+        from ({REVIEWS_SQL}) r left join best using (ord) left join entries using (rank)
+        where {_REVIEW} <> ''""",
+    ),
+    "classify_resumed": (
+        classify_resumed,
+        f"""with texts as (select ord, {_REVIEW} as review from ({REVIEWS_SQL}) r where {_REVIEW} <> '')
+        select case when length(review) % 7 = 0 then null when substring(review, 1, 1) in
+            ('A','E','I','O','U','a','e','i','o','u') then 'Positiva' else 'Negativa' end as sentiment_label,
+          1 as asked, count(*) as n, count(distinct review) as texts,
+          (select count(distinct review) from texts where ord % 2 = 0) as first_run
+        from texts group by 1""",
+    ),
 }
 
 # The labeler travels with the job; executors need no copy of this package.

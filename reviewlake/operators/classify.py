@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import text
@@ -202,6 +203,20 @@ def retry(
     return label
 
 
+def answered(spark: SparkSession, path: str) -> DataFrame:
+    """The answers written below ``path``, one per text: the sound one, if there are several."""
+    try:
+        answers = spark.read.schema(LABELED_SCHEMA).parquet(path)
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LABELED_SCHEMA)
+    values = F.struct(*LABEL_COLS, "error")
+    sound_first = F.struct(F.col("error").isNotNull(), *LABEL_COLS, "error")
+    one = answers.groupBy("_key").agg(F.min_by(values, sound_first).alias("a"))
+    return one.select("_key", "a.*")
+
+
 def classify(
     df: DataFrame,
     labeler: Labeler,
@@ -210,6 +225,8 @@ def classify(
     tries: int = TRIES,
     first_pause: float = FIRST_PAUSE,
     longest_pause: float = LONGEST_PAUSE,
+    answers: str | None = None,
+    ask_failed_again: bool = False,
 ) -> DataFrame:
     """Classified rows of the reviews with text.
 
@@ -218,8 +235,15 @@ def classify(
     twice. ``partitions`` says over how many tasks the texts are asked for, by
     default as many as the shuffle by text gives. Adaptive execution splits the
     rows of a hot text where they meet its answer.
+
+    ``answers`` is a folder to which answers are added, each task's as soon as it has
+    them all, and which outlives the run. Texts that have an answer there are not asked
+    for; so after a run that broke off, or with more reviews, only the others are. Its
+    digests of texts and labels are all that is read of it. ``ask_failed_again`` asks for
+    those, too, for which there is only an error.
     """
     label = retry(labeler, tries, first_pause, longest_pause)
+    spark = df.sparkSession
 
     def label_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -230,9 +254,18 @@ def classify(
     keyed = reviews.withColumn("_key", F.unhex(F.sha2(stripped, 256)))
     # Grouped by the digest, so that 32 bytes are compared and not texts.
     texts = keyed.groupBy("_key").agg(F.first(stripped).alias("_text"))
+    if answers is not None:
+        known = answered(spark, answers)
+        texts = texts.join(known.where("error is null") if ask_failed_again else known, "_key", "left_anti")
     if partitions is not None:
         texts = texts.repartition(partitions, "_key")
-    labeled = materialize(texts.mapInPandas(label_batches, LABELED_SCHEMA))
+    labeled = texts.mapInPandas(label_batches, LABELED_SCHEMA)
+    if answers is None:
+        labeled = materialize(labeled)
+    else:
+        # Version 2 has a task's files in place when the task has ended, not all at the end of the job.
+        labeled.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", 2).parquet(answers)
+        labeled = answered(spark, answers)
     joined = keyed.join(
         labeled.select("_key", F.struct(*LABEL_COLS, "error").alias("_labels")), "_key"
     )
@@ -258,36 +291,47 @@ LEXICON = [
 ]
 
 
-def lexicon_labels(review: Column, lexicon: Sequence[tuple] = LEXICON) -> Column:
-    """Labels by the entry most of whose words the review has; the first one of equals.
+#: A lexicon as a table: an entry's words, its labels, and its place among the entries.
+LEXICON_SCHEMA = "word string, rank bigint, " + ", ".join(f"{c} string" for c in LABEL_COLS)
+NO_WORD = "Sin información suficiente"
 
-    A review without any of the words gets no labels and an error.
-    """
-    words = F.array_distinct(F.split(F.lower(review), r"(?U)[^\p{L}\p{N}]+"))
-    scored = [
-        F.struct(
-            F.size(F.array_intersect(words, F.array(*map(F.lit, keywords)))).alias("score"),
-            F.lit(-i).alias("rank"),
-            F.lit(sentiment).alias("sentiment_label"),
-            F.lit(general).alias("general_category"),
-            F.lit(specific).alias("specific_category"),
-        )
-        for i, (sentiment, general, specific, keywords) in enumerate(lexicon)
-    ]
-    best = F.array_max(F.array(*scored))
-    found = best["score"] > 0
-    return F.struct(
-        *[F.when(found, best[c]).alias(c) for c in LABEL_COLS],
-        F.when(~found, F.lit("Sin información suficiente")).alias("error"),
-    )
 
+def lexicon_table(spark: SparkSession, lexicon: Sequence[tuple] = LEXICON) -> DataFrame:
+    """Entries ``sentiment, general, specific, words`` as a table, a row per word."""
+    rows = [(w, i, *labels) for i, (*labels, words) in enumerate(lexicon) for w in words]
+    return spark.createDataFrame(rows, LEXICON_SCHEMA)
 
-def classify_by_lexicon(
-    df: DataFrame, text_col: str = "body", lexicon: Sequence[tuple] = LEXICON
-) -> DataFrame:
-    """Classified rows without a labeling service; no shuffle, no Python."""
+
+def words_of(review: Column) -> Column:
+    """The distinct words of a text, in lower case."""
+    return F.array_distinct(F.split(F.lower(review), r"(?U)[^\p{L}\p{N}]+"))
+
+
+def classify_by_lexicon(df: DataFrame, lexicon: DataFrame, text_col: str = "body") -> DataFrame:
+    """Classified rows without a labeling service, by a table of words that speak for labels.
+
+    A review has the labels of the entry most of whose words it has, the first one of
+    equals; without any of the words it gets no labels and an error. The distinct words of
+    distinct texts meet the table in a join, whatever its size; word pairs are counted
+    before they are shuffled by text. ``df`` is read twice.
+    """
     reviews = drop_blank_text(df, text_col)
-    labeled = reviews.withColumn("_labels", lexicon_labels(F.col(text_col), lexicon))
+    keyed = reviews.withColumn("_key", F.unhex(F.sha2(text.strip(F.col(text_col)), 256)))
+    entries = lexicon.select("word", "rank", F.struct(*LABEL_COLS).alias("labels")).distinct()
+    words = (
+        keyed.groupBy("_key")
+        .agg(F.first(words_of(F.col(text_col))).alias("words"))
+        .select("_key", F.explode("words").alias("word"))
+    )
+    scores = words.join(entries, "word").groupBy("_key", "rank", "labels").agg(F.count("*").alias("n"))
+    best = scores.groupBy("_key").agg(F.max_by("labels", F.struct("n", -F.col("rank"))).alias("labels"))
+    labeled = keyed.join(best, "_key", "left").withColumn(
+        "_labels",
+        F.struct(
+            *[F.col("labels")[c].alias(c) for c in LABEL_COLS],
+            F.when(F.col("labels").isNull(), F.lit(NO_WORD)).alias("error"),
+        ),
+    )
     return enrich(labeled, F.col("_labels"), text_col)
 
 

@@ -1,6 +1,7 @@
 """Labels: reading answers, retrying, validating, classifying."""
 
 import sys
+from hashlib import sha256
 
 import pandas as pd
 import pytest
@@ -184,16 +185,80 @@ def test_half_of_all_reviews_say_the_same(spark):
     assert all(r.sentiment_label == r.review.upper() for r in got)
 
 
+class Logged:
+    """Notes down what it is asked for; breaks down at some texts until told not to."""
+
+    def __init__(self, folder, breaks):
+        self.folder, self.breaks = str(folder), breaks
+
+    def __call__(self, texts):
+        import os
+        import time
+        import uuid
+
+        with open(os.path.join(self.folder, uuid.uuid4().hex), "w") as file:
+            file.write("\n".join(texts))
+        time.sleep(0.05)
+        if self.breaks and any(t.endswith("77") for t in texts):
+            raise SystemExit
+        return shout(texts)
+
+    def asked(self):
+        import os
+
+        return [t for f in os.listdir(self.folder) for t in open(os.path.join(self.folder, f)).read().split("\n")]
+
+
+def test_answers_outlive_a_run_that_breaks_off(spark, tmp_path):
+    rows = [(str(i), f"texto {i % 1000}") for i in range(1500)]
+    df = spark.createDataFrame(rows, "review_id string, body string")
+    path = str(tmp_path / "answers")
+    (tmp_path / "first").mkdir()
+    (tmp_path / "second").mkdir()
+    first, second = Logged(tmp_path / "first", True), Logged(tmp_path / "second", False)
+    with pytest.raises(Exception):
+        C.classify(df, first, partitions=200, first_pause=0.0, answers=path)
+    kept = {r._key for r in C.answered(spark, path).collect()}
+    assert 0 < len(kept) < 1000
+    got = C.classify(df, second, partitions=20, first_pause=0.0, answers=path).collect()
+    assert sorted((r.review_id, r.review) for r in got) == sorted(rows)
+    assert all(r.sentiment_label == r.review.upper() for r in got)
+    # What had an answer is not asked for again, all else is, once.
+    asked = second.asked()
+    assert len(asked) == len(set(asked)) == 1000 - len(kept)
+    assert not {sha256(t.encode()).digest() for t in asked} & {bytes(k) for k in kept}
+    third = Logged(tmp_path / "second", False)
+    assert C.classify(df, third, first_pause=0.0, answers=path).count() == 1500
+    assert len(third.asked()) == len(asked)
+
+
+def test_failed_answers_are_asked_for_on_demand(spark, tmp_path):
+    df = spark.createDataFrame([("1", "mal"), ("2", "bien")], "review_id string, body string")
+    path = str(tmp_path / "answers")
+
+    def failed(**more):
+        rows = C.classify(df, more.pop("labeler", shout), first_pause=0.0, answers=path, **more).collect()
+        return {r.review_id for r in rows if r.error}
+
+    mended = lambda texts: [FULL] * len(texts)
+    assert failed() == {"1"} and failed(labeler=mended) == {"1"}
+    assert failed(labeler=mended, ask_failed_again=True) == set() == failed()
+
+
 def test_lexicon(spark):
     df = spark.createDataFrame(
-        [("1", "Llegó con RETRASO, y encima tarde"), ("2", "Muy puntual"), ("3", "nada"), ("4", "tarde y puntual")],
+        [("1", "Llegó con RETRASO, y encima tarde"), ("2", "Muy puntual"), ("3", "nada"), ("4", "tarde y puntual"),
+         ("5", "tarde tarde tarde puntual"), ("6", " "), ("7", None), ("8", "nada")],
         "review_id string, body string",
-    )
-    rows = {r.review_id: r for r in C.classify_by_lexicon(df).collect()}
+    )
+    rows = {r.review_id: r for r in C.classify_by_lexicon(df, C.lexicon_table(spark)).collect()}
+    assert set(rows) == {"1", "2", "3", "4", "5", "8"}
     assert rows["1"].specific_category == "Retraso en la entrega"
     assert rows["2"].sentiment_label == "Positiva"
-    assert rows["3"].sentiment_label is None and rows["3"].error
-    assert rows["4"].specific_category == "Entrega puntual"
+    assert rows["3"].sentiment_label is None and rows["3"].error and rows["8"].error
+    assert rows["4"].specific_category == rows["5"].specific_category == "Entrega puntual"
+    none = C.classify_by_lexicon(df, C.lexicon_table(spark).limit(0)).collect()
+    assert len(none) == 6 and all(r.error == C.NO_WORD for r in none)
 
 
 def test_lexicon_is_in_the_taxonomy(spark):
