@@ -11,12 +11,16 @@ order of position.
   with the tables of the vocabulary, which are broadcast as the rank file (under 1 MB)
   and do not grow with the data.
 * A space between two other characters always begins a match, so a text is split there
-  and the tokens of each chunk are kept in a bounded table, which is emptied when full.
+  and the tokens of each chunk are kept in a bounded table, as are those of each word: what
+  has not been seen since a table was last full is forgotten when it is full again.
+* A round of the recursion adds what is left of each word to its result, so a query takes
+  words of at most ``CELLS`` byte pairs, which bounds its memory whatever the words are.
 * A text is taken in pieces of about ``PIECE`` characters, cut at such a space, so the
   memory does not grow with the text (only a text without any such space is one piece).
 
-A word of over 255 bytes would take the recursion a round per merge over all its rows;
-such words (none in prose) are contracted in the same order with a heap instead.
+A word of over ``LONG`` bytes would take the recursion a round per merge over all its rows;
+such words (none in prose) are contracted in the same order with a heap instead. A word
+that is in the vocabulary as a whole is that token, found by a join.
 
 Defined results: a null text is an empty text, which has no tokens; special tokens are
 ordinary text; repeated rows get equal results; an empty table gives an empty result;
@@ -30,7 +34,7 @@ import base64
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import duckdb
 import numpy as np
@@ -43,32 +47,39 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 from .common import table
 
 PIECE = 4_000_000
-CACHE = 600_000
-LONG = 255
+#: Of chunks, and of words, that are kept; once more, those seen since then, when full.
+CACHE = 200_000
+#: Bytes of a word that the query takes; its numbers have six bits for the place in a word.
+LONG = 64
+CELLS = 6_000_000
 
+#: A row's number g is 64 times its word's plus its place; a pair, the left token's 2^20 times plus the right one's.
 ENCODE = """
-with recursive t(g, tok, round) as (
-  select g, tok, 0 from bytes_of_words
+with recursive whole as (select w::uinteger as w, id from words join vocabulary on piece = word),
+t(g, tok, round) as (
+  select g, tok, 0::utinyint from bytes_of_words anti join whole on (g >> 6) = w
   union all
   (with pairs as (
-     select g, tok::bigint * 4294967296 + lead(tok) over (order by g) as pair, lead(g) over (order by g) as next_g
+     select g, (tok::ubigint << 20) + lead(tok) over (order by g) as pair, lead(g) over (order by g) as next_g
      from t),
    best as (
-     select g // 256 as w, min((rank::bigint * 256 + g % 256) * 256 + next_g % 256) as b
-     from pairs join merges using (pair) where g // 256 = next_g // 256 group by 1)
-   select g, case when g % 256 = b // 256 % 256 then (b // 65536)::int else tok end, round + 1
-   from t join best on g // 256 = w
-   where g % 256 <> b % 256)
+     select g >> 6 as w, min((rank::ubigint << 12) + ((g & 63) << 6) + (next_g & 63)) as b
+     from pairs join merges using (pair) where (g >> 6) = (next_g >> 6) group by 1)
+   select g, case when (g & 63) = ((b >> 6) & 63) then (b >> 12)::uinteger else tok end, round + 1::utinyint
+   from t join best on (g >> 6) = w
+   where (g & 63) <> (b & 63))
 )
-select g // 256 as w, tok
-from t semi join (select g // 256 as w, max(round) as round from t group by 1) last
-  on g // 256 = last.w and t.round = last.round
-order by g
+select (g >> 6)::bigint as w, tok::integer as tok, g
+from t semi join (select g >> 6 as w, max(round) as round from t group by 1) last
+  on (g >> 6) = last.w and t.round = last.round
+union all
+select w, id, 0 from whole
+order by w, g
 """
 
 DECODE = """
-select d, string_agg(piece, '' order by p) as text
-from tokens join vocabulary using (id) group by d order by d
+select d, array_to_string(list_select((select list from pieces), list(id + 1 order by p)), '') as text
+from tokens group by d order by d
 """
 
 
@@ -77,6 +88,24 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
+class Recent:
+    """Results of a function of texts: at most ``CACHE`` new ones, and as many older ones."""
+
+    def __init__(self):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def of(self, keys: set[str], function: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
+        """The results of all ``keys``; the function is asked for those that are not known."""
+        out = {k: ids for k in keys if (ids := self.new.get(k) or self.old.get(k)) is not None}
+        lacking = [k for k in keys if k not in out]
+        out |= zip(lacking, function(lacking), strict=True)
+        if len(self.new) + len(out) > CACHE:
+            self.old, self.new = self.new, {}
+        self.new |= out
+        return out
+
+
 class Codec:
     """The vocabulary's tables in a database of this process."""
 
@@ -88,12 +117,12 @@ class Codec:
         self.max_id = max(self.ranks.values())
         self.decimal = np.array([str(i) for i in range(self.max_id + 1)], dtype=object)
         pairs = [
-            ((self.ranks[token[:i]] << 32) + self.ranks[token[i:]], rank)
+            ((self.ranks[token[:i]] << 20) + self.ranks[token[i:]], rank)
             for token, rank in self.ranks.items()
             for i in range(1, len(token))
             if token[:i] in self.ranks and token[i:] in self.ranks
         ]
-        self._load("merges", {"pair": [p for p, _ in pairs], "rank": pa.array([r for _, r in pairs], pa.int32())})
+        self._load("merges", {"pair": pa.array([p for p, _ in pairs], pa.uint64()), "rank": pa.array([r for _, r in pairs], pa.uint32())})
         # A byte is the character of the same number: the database has no ordered aggregate of bytes.
         self._load(
             "vocabulary",
@@ -102,7 +131,12 @@ class Codec:
                 "piece": [token.decode("latin-1") for token in self.ranks],
             },
         )
-        self.chunks: dict[str, bytes] = {}
+        # The pieces in order of their ids, so that a list of ids picks its pieces.
+        self.db.execute(
+            """create table pieces as select list(coalesce(piece, '') order by i) as list
+            from (select unnest(range((select max(id) + 1 from vocabulary))) as i) left join vocabulary on id = i"""
+        )
+        self.chunks, self.known = Recent(), Recent()
 
     def _load(self, name: str, columns: dict) -> None:
         self.db.register("given", pa.table(columns))
@@ -111,44 +145,39 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, whose sizes together are bounded."""
+        out = []
         split = [chunks_of(text) for text in texts]
-        new = list({c for chunks in split for c in chunks if c not in self.chunks})
-        if len(self.chunks) + len(new) > CACHE:
-            self.chunks = {}
-            new = list({c for chunks in split for c in chunks})
-        self._learn(new)
-        known = self.chunks
-        return [np.frombuffer(b"".join([known[c] for c in chunks]), dtype=np.int32) for chunks in split]
-
-    def _learn(self, chunks: list[str]) -> None:
+        found = [list(map(self.chunks.new.get, chunks)) for chunks in split]
+        lacking = {c for chunks, ids in zip(split, found) if None in ids for c, i in zip(chunks, ids) if i is None}
+        learnt = self.chunks.of(lacking, self._learn)
+        for chunks, ids in zip(split, found, strict=True):
+            if None in ids:
+                ids = [learnt[c] if i is None else i for c, i in zip(chunks, ids)]
+            out.append(np.frombuffer(b"".join(ids), dtype=np.int32))
+        return out
+
+    def _learn(self, chunks: list[str]) -> list[bytes]:
         cut = [self.words.findall(c) for c in chunks]
-        words = list({w for ws in cut for w in ws})
-        ids = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
-        self.chunks.update((c, b"".join([ids[w] for w in ws])) for c, ws in zip(chunks, cut, strict=True))
+        ids = self.known.of({w for ws in cut for w in ws}, lambda new: self.encode_words([w.encode() for w in new]))
+        return [ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws]) for ws in cut]
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as the bytes of 32-bit integers."""
-        out: list[bytes | None] = [None] * len(words)
-        rows = []
-        for i, word in enumerate(words):
-            if (rank := self.ranks.get(word)) is not None:
-                out[i] = rank.to_bytes(4, "little")
-            elif len(word) > LONG:
-                out[i] = self.contract(word)
-            else:
-                rows.append(i)
-        for at in range(0, len(rows), 50_000):
-            some = rows[at : at + 50_000]
-            for i, ids in zip(some, self._query([words[i] for i in some]), strict=True):
+        out: list[bytes | None] = [self.contract(w) if len(w) > LONG else None for w in words]
+        rows = [i for i, ids in enumerate(out) if ids is None]
+        for s in in_slices([len(words[i]) ** 2 for i in rows], CELLS):
+            for i, ids in zip(rows[s], self._query([words[i] for i in rows[s]]), strict=True):
                 out[i] = ids
         return out
 
     def _query(self, words: list[bytes]) -> list[bytes]:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         places = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        g = np.repeat(np.arange(len(words), dtype=np.int64) * 256, lengths) + places
+        g = np.repeat(np.arange(len(words), dtype=np.int64) * LONG, lengths) + places
         tokens = self.byte[np.frombuffer(b"".join(words), np.uint8)]
-        self.db.register("bytes_of_words", pa.table({"g": g, "tok": tokens}))
+        self.db.register("bytes_of_words", pa.table({"g": g.astype(np.uint32), "tok": tokens.astype(np.uint32)}))
+        texts = [w.decode("latin-1") for w in words]
+        self.db.register("words", pa.table({"w": np.arange(len(words)), "word": pa.array(texts, pa.string())}))
         found = self.db.execute(ENCODE).fetchnumpy()
         ids = found["tok"].astype(np.int32).tobytes()
         ends = np.searchsorted(found["w"], np.arange(len(words)), side="right") * 4
@@ -156,6 +185,8 @@ class Codec:
 
     def contract(self, word: bytes) -> bytes:
         """The ids of a long word: the same contractions, with a heap of pairs."""
+        if (rank := self.ranks.get(word)) is not None:
+            return rank.to_bytes(4, "little")
         parts: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
         left, right = list(range(-1, len(word) - 1)), [*range(1, len(word)), -1]
         heap = [
