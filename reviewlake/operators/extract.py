@@ -1,13 +1,17 @@
 """Reviews and links out of page snapshots ``(url, html, ...)``.
 
 The structured data and the outline of a page are read once per page; the rules
-that turn them into reviews are column expressions. Per-page results stay one
-row (arrays) until they are exploded, so the HTML is never copied per review.
+that turn them into reviews are column expressions. Where each rule fits is found once per
+page; a block's first fit is looked up by halving, and nothing of the page is copied
+per block, so nested blocks cost no more than others. Per-page results stay one row
+(arrays) until they are exploded, so the HTML is never copied per review.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -89,33 +93,70 @@ def _first(nodes: Column, rule: Rule) -> Column:
     return F.get(F.filter(nodes, rule), F.lit(0))
 
 
-def _text(node: Column, b: Column) -> Column:
-    """Text of a node of block ``b``, null if there is none."""
-    start = node["p0"] - b["block"]["p0"] + 1
-    return _said(
-        F.array_join(F.slice(b["pieces"], start, node["p1"] - node["p0"]), " ")
+def _places(items: Column, rule: Callable[..., Column]) -> Column:
+    """The places of the items that a rule fits, in order."""
+    marked = F.transform(items, lambda x, i: F.when(rule(x), i))
+    return F.filter(marked, lambda i: i.isNotNull())
+
+
+def _next(places: Column, steps: Column, start: Column, end: Column) -> Column:
+    """The first of sorted places from ``start`` up to ``end``, by halving.
+
+    ``steps`` are the powers of two up to the number of places or more, the largest first.
+    """
+    found = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda below, k: F.when(F.get(places, below + k - 1) < start, below + k).otherwise(below),
+        lambda below: F.get(places, below),
     )
+    return F.get(F.filter(F.array(found), lambda i: i <= end), F.lit(0))
+
+
+def _steps(most: Column) -> Column:
+    bits = F.sequence(F.length(F.bin(most)) - 1, F.lit(0), F.lit(-1))
+    return F.transform(bits, lambda k: F.pow(F.lit(2), k).cast("int"))
+
+
+class _Page:
+    """A page's outline within a lambda: its nodes, its text, and where each rule fits."""
+
+    def __init__(self, env: Column):
+        self.env, self.nodes, self.pieces = env, env["nodes"], env["pieces"]
 
+    def node(self, at: Column) -> Column:
+        return F.get(self.nodes, at)
 
-def _blocks(dom: Column, rank: Rule) -> Column:
-    """The nodes with a rank, by rank and then position, with what they enclose."""
-    ranked = F.transform(
-        dom["nodes"], lambda n, i: F.struct(rank(n).alias("rank"), i.alias("at"))
+    def place(self, rule: str, block: Column) -> Column:
+        """Of the nodes inside ``block``, the place of the first that the rule fits."""
+        return _next(self.env[rule], self.env["steps"], block["at"] + 1, block["at"] + block["node"]["size"])
+
+    def first(self, rule: str, block: Column) -> Column:
+        return self.node(self.place(rule, block))
+
+    def text(self, node: Column) -> Column:
+        """Text of a node, null if there is none."""
+        return _said(F.array_join(F.slice(self.pieces, node["p0"] + 1, node["p1"] - node["p0"]), " "))
+
+
+def _on_page(dom: Column, rules: dict[str, Rule], body: Callable[[_Page], Column], **more: Column) -> Column:
+    """``body`` of the page, on which the places of each rule have been found once."""
+    env = F.struct(
+        dom["nodes"].alias("nodes"),
+        dom["pieces"].alias("pieces"),
+        _steps(F.greatest(F.size(dom["nodes"]), F.size(dom["pieces"]))).alias("steps"),
+        *[_places(dom["nodes"], rule).alias(name) for name, rule in rules.items()],
+        *[c.alias(name) for name, c in more.items()],
     )
+    # The one-element array gives the places a name, so they are found once.
+    return F.get(F.transform(F.array(env), lambda e: body(_Page(e))), F.lit(0))
+
+
+def _blocks(page: _Page, rank: Rule) -> Column:
+    """The nodes with a rank, by rank and then position: ``node, at``."""
+    ranked = F.transform(page.nodes, lambda n, i: F.struct(rank(n).alias("rank"), i.alias("at")))
     chosen = F.array_sort(F.filter(ranked, lambda s: s["rank"].isNotNull()))
-    block = F.transform(
-        chosen, lambda s: F.struct(F.get(dom["nodes"], s["at"]).alias("block"), s["at"].alias("at"))
-    )
-    return F.transform(
-        block,
-        lambda b: F.struct(
-            b["block"].alias("block"),
-            F.slice(dom["nodes"], b["at"] + 2, b["block"]["size"]).alias("inner"),
-            F.slice(
-                dom["pieces"], b["block"]["p0"] + 1, b["block"]["p1"] - b["block"]["p0"]
-            ).alias("pieces"),
-        ),
-    )
+    return F.transform(chosen, lambda s: F.struct(page.node(s["at"]).alias("node"), s["at"].alias("at")))
 
 
 def _any_of(rules: list[Rule]) -> Rule:
@@ -127,11 +168,6 @@ def _any_of(rules: list[Rule]) -> Rule:
     return rank
 
 
-def _with(b: Column, **found: Column) -> Column:
-    kept = [b["block"].alias("block"), b["pieces"].alias("pieces")]
-    return F.struct(*kept, *[c.alias(name) for name, c in found.items()])
-
-
 def _reviews(raw: Column, review_id: Rule) -> Column:
     """Markup reviews; a call to action loses its title and body."""
     asked = F.transform(
@@ -155,52 +191,53 @@ def _reviews(raw: Column, review_id: Rule) -> Column:
 # --- the review site's own markup -------------------------------------------
 
 
-def site_blocks(dom: Column) -> Column:
+def site_blocks(page: _Page) -> Column:
     """Review blocks of the review site's pages."""
-    return _blocks(dom, _any_of([lambda n, a=a: _has(n, a) for a in SITE_BLOCK_ATTRS]))
+    return _blocks(page, _any_of([lambda n, a=a: _has(n, a) for a in SITE_BLOCK_ATTRS]))
+
+
+SITE_RULES: dict[str, Rule] = {
+    "body": _is("p"),
+    "profile": lambda n: _has(n, "data-consumer-profile-reviews-link"),
+    "heading": lambda n: n["tag"].isin(HEADINGS),
+    "labelled": _attr_like("aria-label", "out of"),
+    "pictured": lambda n: (n["tag"] == "img") & _attr_like("alt", "out of")(n),
+    "time": _is("time"),
+    "strong": _is("strong"),
+    "flag": lambda n: _has(n, "data-consumer-country-flag"),
+}
 
 
 def site_reviews(dom: Column) -> Column:
     """Reviews of the review site's pages."""
-    found = F.transform(
-        site_blocks(dom),
-        lambda b: _with(
-            b,
-            body=_first(b["inner"], _is("p")),
-            profile=_first(
-                b["inner"], lambda n: _has(n, "data-consumer-profile-reviews-link")
-            ),
-            heading=_first(b["inner"], lambda n: n["tag"].isin(HEADINGS)),
-            stars=F.coalesce(
-                _first(b["inner"], _attr_like("aria-label", "out of")),
-                _first(
-                    b["inner"],
-                    lambda n: (n["tag"] == "img") & _attr_like("alt", "out of")(n),
-                ),
-            ),
-            time=_first(b["inner"], _is("time")),
-            strong=_first(b["inner"], _is("strong")),
-            flag=_first(b["inner"], lambda n: _has(n, "data-consumer-country-flag")),
-        ),
-    )
+    return _on_page(dom, SITE_RULES, _site_reviews)
+
+
+def _site_reviews(page: _Page) -> Column:
+    def found(b: Column) -> Column:
+        names = ("body", "profile", "heading", "time", "strong", "flag")
+        stars = F.coalesce(page.first("labelled", b), page.first("pictured", b))
+        nodes = [page.first(name, b).alias(name) for name in names]
+        return F.struct(b["node"].alias("block"), stars.alias("stars"), *nodes)
+
     raw = F.transform(
-        found,
+        F.transform(site_blocks(page), found),
         lambda f: F.struct(
             F.coalesce(*[_attr(f["block"], a) for a in SITE_ID_ATTRS]).alias("id"),
-            _text(f["strong"], f).alias("title"),
-            _text(f["body"], f).alias("body"),
+            page.text(f["strong"]).alias("title"),
+            page.text(f["body"]).alias("body"),
             F.coalesce(
                 text.rating_float(f["block"]["attrs"]["data-service-review-rating"]),
                 text.rating_out_of(
                     F.coalesce(
                         _attr(f["stars"], "aria-label"),
                         _attr(f["stars"], "alt"),
-                        _text(f["stars"], f),
+                        page.text(f["stars"]),
                     )
                 ),
             ).alias("rating"),
-            F.coalesce(_text(f["profile"], f), _text(f["heading"], f)).alias("author"),
-            F.coalesce(_attr(f["time"], "datetime"), _text(f["time"], f)).alias("date"),
+            F.coalesce(page.text(f["profile"]), page.text(f["heading"])).alias("author"),
+            F.coalesce(_attr(f["time"], "datetime"), page.text(f["time"])).alias("date"),
             _attr(f["flag"], "title").alias("location"),
         ),
     )
@@ -209,74 +246,86 @@ def site_reviews(dom: Column) -> Column:
 
 # --- common review markup of other sites ------------------------------------
 
-
-def generic_blocks(dom: Column) -> Column:
+GENERIC_RULES: dict[str, Rule] = {
+    "name": _prop("name"),
+    "heading": lambda n: n["tag"].isin(HEADINGS),
+    "description": _prop("description"),
+    "paragraph": _is("p"),
+    "value": _prop("ratingValue"),
+    "rated": lambda n: _has(n, "data-rating"),
+    "titled": _attr_like("title", r"(?U)\d"),
+    "author": _prop("author"),
+    "person": _attr_like("class", PERSON_CLASS),
+    "date": _prop("datePublished"),
+    "time": _is("time"),
+    "address": _prop("address"),
+    "place": _attr_like("class", PLACE_CLASS),
+    "telling": lambda n: _prop("description")(n)
+    | (n["tag"] == "p")
+    | _prop("ratingValue")(n)
+    | _has(n, "data-rating")
+    | _prop("author")(n)
+    | _attr_like("class", PERSON_CLASS)(n),
+}
+#: Pieces of text over which a call to action can spread, as it has as many words.
+CALL_PIECES = max(len(phrase.split()) for phrase in text.SKIP_PHRASES)
+
+
+def _calls(pieces: Column) -> dict[str, Column]:
+    """For each number of pieces, the places from which that many have a call to action."""
+    at = F.sequence(F.lit(0), F.size(pieces) - 1)
+    places = F.when(F.size(pieces) > 0, at).otherwise(F.array().cast("array<int>"))
+
+    def calling(k: int) -> Column:
+        return F.filter(places, lambda i: text.has_call_to_action(F.array_join(F.slice(pieces, i + 1, k), " ")))
+
+    return {f"call{k}": calling(k) for k in range(1, CALL_PIECES + 1)}
+
+
+def generic_blocks(page: _Page) -> Column:
     """Elements marked as reviews that say something and are no call to action."""
-    blocks = _blocks(
-        dom,
-        _any_of(
-            [
-                _prop("review"),
-                _attr_like("itemtype", REVIEW_ITEM_TYPE),
-                lambda n: _has(n, "data-review-id"),
-                _attr_like("id", REVIEW_ID),
-            ]
-        ),
+    rank = _any_of(
+        [
+            _prop("review"),
+            _attr_like("itemtype", REVIEW_ITEM_TYPE),
+            lambda n: _has(n, "data-review-id"),
+            _attr_like("id", REVIEW_ID),
+        ]
     )
 
     def worth_reading(b: Column) -> Column:
-        shown = F.array_join(b["pieces"], " ")
-        return (
-            (shown != "")
-            & ~text.has_call_to_action(shown)
-            & F.exists(
-                b["inner"],
-                lambda n: _prop("description")(n)
-                | (n["tag"] == "p")
-                | _prop("ratingValue")(n)
-                | _has(n, "data-rating")
-                | _prop("author")(n)
-                | _attr_like("class", PERSON_CLASS)(n),
-            )
-        )
+        p0, p1 = b["node"]["p0"], b["node"]["p1"]
+        calls = [_next(page.env[f"call{k}"], page.env["steps"], p0, p1 - k).isNull() for k in range(1, CALL_PIECES + 1)]
+        return (p1 > p0) & page.place("telling", b).isNotNull() & reduce(and_, calls)
 
-    return F.filter(blocks, worth_reading)
+    return F.filter(_blocks(page, rank), worth_reading)
 
 
 def generic_reviews(dom: Column) -> Column:
     """Reviews of pages with common review markup."""
-    found = F.transform(
-        generic_blocks(dom),
-        lambda b: _with(
-            b,
-            name=_first(b["inner"], _prop("name")),
-            heading=_first(b["inner"], lambda n: n["tag"].isin(HEADINGS)),
-            description=_first(b["inner"], _prop("description")),
-            paragraph=_first(b["inner"], _is("p")),
-            value=_first(b["inner"], _prop("ratingValue")),
-            stars=F.coalesce(
-                _first(b["inner"], lambda n: _has(n, "data-rating")),
-                _first(b["inner"], _attr_like("title", r"(?U)\d")),
-            ),
-            author=_first(b["inner"], _prop("author")),
-            author_name=_author_name_node(b["inner"]),
-            person=_first(b["inner"], _attr_like("class", PERSON_CLASS)),
-            date=F.coalesce(
-                _first(b["inner"], _prop("datePublished")), _first(b["inner"], _is("time"))
-            ),
-            address=_first(b["inner"], _prop("address")),
-            place=_first(b["inner"], _attr_like("class", PLACE_CLASS)),
-        ),
-    )
+    return _on_page(dom, GENERIC_RULES, _generic_reviews, **_calls(dom["pieces"]))
+
+
+def _generic_reviews(page: _Page) -> Column:
+    def found(b: Column) -> Column:
+        names = ("name", "heading", "description", "paragraph", "value", "author", "person", "address", "place")
+        return F.struct(
+            b["node"].alias("block"),
+            *[page.first(name, b).alias(name) for name in names],
+            F.coalesce(page.first("rated", b), page.first("titled", b)).alias("stars"),
+            _author_name_node(page, b).alias("author_name"),
+            F.coalesce(page.first("date", b), page.first("time", b)).alias("date"),
+        )
+
     raw = F.transform(
-        found,
+        F.transform(generic_blocks(page), found),
         lambda f: F.struct(
             _generic_id(f["block"]).alias("id"),
-            F.coalesce(_text(f["name"], f), _text(f["heading"], f)).alias("title"),
-            F.coalesce(_text(f["description"], f), _text(f["paragraph"], f)).alias("body"),
+            F.coalesce(page.text(f["name"]), page.text(f["heading"])).alias("title"),
+            F.coalesce(page.text(f["description"]), page.text(f["paragraph"])).alias("body"),
             F.coalesce(
                 text.rating_first_number(
-                    F.coalesce(_attr(f["value"], "content"), _text(f["value"], f))
+                    F.coalesce(_attr(f["value"], "content"), page.text(f["value"]))
                 ),
                 text.rating_first_number(
                     F.coalesce(_attr(f["stars"], "data-rating"), _attr(f["stars"], "title"))
@@ -284,12 +333,12 @@ def generic_reviews(dom: Column) -> Column:
             ).alias("rating"),
             F.when(
                 f["author"].isNotNull(),
-                F.coalesce(_text(f["author_name"], f), _text(f["author"], f)),
+                F.coalesce(page.text(f["author_name"]), page.text(f["author"])),
             )
-            .otherwise(_text(f["person"], f))
+            .otherwise(page.text(f["person"]))
             .alias("author"),
-            F.coalesce(_attr(f["date"], "datetime"), _text(f["date"], f)).alias("date"),
-            F.coalesce(_text(f["address"], f), _text(f["place"], f)).alias("location"),
+            F.coalesce(_attr(f["date"], "datetime"), page.text(f["date"])).alias("date"),
+            F.coalesce(page.text(f["address"]), page.text(f["place"])).alias("location"),
         ),
     )
     return _reviews(raw, _clean)
@@ -301,17 +350,12 @@ def _generic_id(block: Column) -> Column:
     )
 
 
-def _author_name_node(inner: Column) -> Column:
+def _author_name_node(page: _Page, block: Column) -> Column:
     """The name inside the first author element."""
-    author_at = F.get(
-        F.filter(
-            F.transform(inner, lambda n, i: F.when(_prop("author")(n), i)),
-            lambda i: i.isNotNull(),
-        ),
-        F.lit(0),
+    author = F.transform(
+        F.array(page.place("author", block)), lambda i: F.struct(page.node(i).alias("node"), i.alias("at"))
     )
-    enclosed = F.slice(inner, author_at + 2, F.get(inner, author_at)["size"])
-    return _first(enclosed, _prop("name"))
+    return F.get(F.transform(author, lambda a: page.first("name", a)), F.lit(0))
 
 
 # --- structured data ---------------------------------------------------------

@@ -4,6 +4,8 @@ import json
 import time
 
 import pyarrow as pa
+import time
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -369,3 +371,23 @@ def test_fallback(spark):
 def test_no_html_goes_past_the_parser(spark):
     assert "html" not in X.parse_pages(pages(spark, "")).columns
     assert "html" not in X.extract_reviews(pages(spark, "")).columns
+
+
+@pytest.mark.parametrize("mark", ["data-review-id=r", "itemprop=review"])
+def test_nested_blocks_take_linear_time(spark, mark):
+    def seconds(n):
+        html = f"<div {mark}><b>t</b>" * n + "<p>cuerpo</p>" + "<i title='4'></i></div>" * n
+        rows = (X.site_markup_reviews if "data" in mark else X.generic_markup_reviews)(pages(spark, html))
+        started = time.time()
+        assert rows.where("body = 'cuerpo'").count() == n
+        return time.time() - started
+
+    seconds(10)
+    assert seconds(3000) < 8 * seconds(1000) + 5
+
+
+def test_calls_over_several_pieces(spark):
+    html = """<div itemprop=review data-review-id=1><b>Escribe</b> <i>tu</i><p>reseña</p></div>
+      <div itemprop=review data-review-id=2><b>Escribe</b><p>tu</p></div>
+      <div itemprop=review data-review-id=3><p>Write your</p></div> review"""
+    assert generic(spark, html, "review_id") == [("2",), ("3",)]
