@@ -3,9 +3,10 @@
 A text's statistics are turned into a vector of four (``FEATURES``). For each language
 and source the minimum-covariance-determinant estimate of centre and covariance is found:
 from medians and quartiles, concentration steps keep the ``HALF`` share of documents with
-the smallest distances and estimate anew, which never raises the determinant; then the
-estimate is scaled to the median distance, and documents within the 97.5 % distance give
-the final one. A document whose squared Mahalanobis distance exceeds ``cutoff`` goes.
+the smallest distances and estimate anew, which never raises the determinant, until none
+falls any more; then the estimate is scaled to the median distance, and documents within
+the 97.5 % distance give the final one. A document whose squared Mahalanobis distance
+exceeds ``cutoff`` goes.
 
 * The texts are read once and not moved; what follows works on a written table with a few
   numbers per document.
@@ -13,9 +14,10 @@ the final one. A document whose squared Mahalanobis distance exceeds ``cutoff``
   products and quantile sketches), so a group with a third of all documents is no task.
   The estimates are a row per group; documents meet them in a join that adaptive
   execution broadcasts or splits by its measured size.
-* A language and source with fewer than ``min_rows`` documents is judged by its language's
-  estimate, a language with fewer by that of all documents, and those are not judged if
-  they are fewer still.
+* Estimates of few documents lean on those of more: one from n documents is mixed with
+  that of its language by ``n`` to ``PRIOR``, a language's likewise with that of all documents;
+  the spread between the two centres counts. So every language and source has an estimate
+  of its own, and no size changes the rule.
 * A least deviation per feature (``FLOORS``) is added to each covariance, so features that
   most documents have at one value do not make every other value an outlier.
 
@@ -45,8 +47,8 @@ WINDOW = 5
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 HALF = 0.75
-STEPS = 3
-MIN_ROWS = 200
+#: Documents that the estimate of the next larger group counts for.
+PRIOR = 50
 #: Fixed values of the chi-squared distribution with 4 degrees: median, 97.5 %, 99.999 %.
 CHI2_MEDIAN, CHI2_975, CHI2_FAR = 3.3567, 11.1433, 28.4733
 #: Least standard deviations of the features.
@@ -131,8 +133,14 @@ def statistics(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     return given.mapInArrow(run, schema)
 
 
+def white(cov: np.ndarray) -> list[float]:
+    """The lower triangle that makes vectors of this covariance white."""
+    inverse = np.linalg.inv(np.linalg.cholesky(cov))
+    return [inverse[i, j] for i, j in PAIRS]
+
+
 def estimates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Centre and whitening matrix of each group, from its sums and products."""
+    """Centre, whitening matrix and covariance of each group, from its sums and products."""
     floor = np.diag(np.square(FLOORS))
     for batch in batches:
         rows = []
@@ -143,14 +151,14 @@ def estimates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 cov[i, j] = cov[j, i] = getattr(r, f"s{i}{j}") / r.n - mean[i] * mean[j]
             values, vectors = np.linalg.eigh(cov)
             cov = (vectors * np.maximum(values, 0)) @ vectors.T * r.scale + floor
-            white = np.linalg.inv(np.linalg.cholesky(cov))
-            rows.append((r.group, *mean, *[white[i, j] for i, j in PAIRS]))
-        yield pd.DataFrame(rows, columns=["group", *[f"c{i}" for i in range(D)], *[f"w{i}{j}" for i, j in PAIRS]])
+            rows.append((r.group, *mean, *white(cov), *[cov[i, j] for i, j in PAIRS]))
+        yield pd.DataFrame(rows, columns=["group", *CENTRE, *WHITE, *COVARIANCE])
 
 
-ESTIMATE = "group string, " + ", ".join(
-    [f"c{i} double" for i in range(D)] + [f"w{i}{j} double" for i, j in PAIRS]
-)
+CENTRE = [f"c{i}" for i in range(D)]
+WHITE = [f"w{i}{j}" for i, j in PAIRS]
+COVARIANCE = [f"v{i}{j}" for i, j in PAIRS]
+ESTIMATE = "group string, " + ", ".join(f"{c} double" for c in [*CENTRE, *WHITE, *COVARIANCE])
 
 
 def distance() -> Column:
@@ -193,49 +201,77 @@ def group_keys() -> list[Column]:
     return [F.lit("[]"), F.to_json(F.array("lang")), F.to_json(F.array("lang", "source"))]
 
 
-def judging_groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """``own, group``: by which group's estimate each language and source is judged."""
-    cells = materialize(rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")))
-    keys = F.array(*group_keys())
-    sizes = (
-        cells.select(F.explode(keys).alias("group"), "n")
-        .groupBy("group")
-        .agg(F.sum("n").alias("size"))
-        .where(F.col("size") >= min_rows)
-    )
-    # The longest list is the most special group.
-    return (
-        cells.select(group_keys()[2].alias("own"), F.posexplode(keys).alias("level", "group"))
-        .join(sizes, "group")
-        .groupBy("own")
-        .agg(F.max_by("group", "level").alias("group"))
+def log_determinants(estimate: DataFrame) -> float:
+    """The sum of the logarithms of all groups' determinants."""
+    own = -2 * sum((F.log(f"w{i}{i}") for i in range(D)), F.lit(0.0))
+    return estimate.agg(F.sum(own)).first()[0] or 0.0
+
+
+def concentrated(rows: DataFrame) -> DataFrame:
+    """The estimates from the ``HALF`` share of each group that no step makes any smaller."""
+    estimate, before, now = first_estimates(rows), float("inf"), float("inf")
+    # The first estimate is of no subset, so its determinant says nothing.
+    while before == float("inf") or now < before - 1e-6 * max(1.0, abs(before)):
+        far = rows.join(estimate, "group").withColumn("d", distance())
+        limit = materialize(far.groupBy("group").agg(F.percentile_approx("d", HALF, 1000).alias("limit")))
+        found = fitted(far.join(limit, "group").where("d <= limit"), F.lit(1.0))
+        before, now = now, log_determinants(found)
+        # Quantiles are approximate, so a last step may come out a little larger.
+        estimate = found if now <= before else estimate
+    return estimate
+
+
+def drawn(own: DataFrame, parent: DataFrame, prior: float) -> DataFrame:
+    """``own`` estimates of ``n`` documents, mixed with those of their ``parent``."""
+    numbers = [*CENTRE, *COVARIANCE]
+    named = parent.select(F.col("group").alias("parent"), *[F.col(c).alias(f"p_{c}") for c in numbers])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = batch[["group", "n", *numbers]].copy()
+            for at, row in enumerate(batch[COVARIANCE].to_numpy()):
+                cov = np.zeros((D, D))
+                for (i, j), v in zip(PAIRS, row):
+                    cov[i, j] = cov[j, i] = v
+                out.loc[out.index[at], WHITE] = white(cov)
+            yield out[["group", "n", *CENTRE, *WHITE, *COVARIANCE]]
+
+    share = F.col("n") / (F.col("n") + prior)
+    # Both together: what lies between their centres is spread as well.
+    apart = {f"v{i}{j}": (F.col(f"c{i}") - F.col(f"p_c{i}")) * (F.col(f"c{j}") - F.col(f"p_c{j}")) for i, j in PAIRS}
+    between = {c: share * (1 - share) * x for c, x in apart.items()}
+    blended = own.join(named, "parent").select(
+        "group",
+        "n",
+        *[(F.col(c) * share + F.col(f"p_{c}") * (1 - share) + between.get(c, F.lit(0.0))).alias(c) for c in numbers],
     )
+    return materialize(blended.mapInPandas(run, ESTIMATE.replace("group string", "group string, n bigint")))
 
 
-def with_verdict(stats: DataFrame, cutoff: float = CHI2_FAR, min_rows: int = MIN_ROWS) -> DataFrame:
+def with_verdict(stats: DataFrame, cutoff: float = CHI2_FAR, prior: float = PRIOR) -> DataFrame:
     """``stats`` (a written table with ``lang, source``) with ``base_failed`` and ``kept``."""
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     vector = [x.alias(f"x{i}") for i, x in enumerate(features())]
     passed = stats.where(~failed)
-    judged_by = materialize(judging_groups(passed, min_rows))
-    rows = passed.select(F.explode(F.array(*group_keys())).alias("group"), *vector).join(
-        judged_by.select("group").distinct(), "group"
-    )
-    estimate = first_estimates(rows)
-    for _ in range(STEPS):
-        far = rows.join(estimate, "group").withColumn("d", distance())
-        limit = materialize(far.groupBy("group").agg(F.percentile_approx("d", HALF, 1000).alias("limit")))
-        estimate = fitted(far.join(limit, "group").where("d <= limit"), F.lit(1.0))
+    rows = passed.select(F.explode(F.array(*group_keys())).alias("group"), *vector)
+    estimate = concentrated(rows)
     far = rows.join(estimate, "group").withColumn("d", distance())
     scale = materialize(
         far.groupBy("group").agg((F.percentile_approx("d", 0.5, 1000) / CHI2_MEDIAN).alias("scale"))
     )
     near = far.join(scale, "group").where(F.col("d") <= CHI2_975 * F.greatest("scale", F.lit(1.0)))
     estimate = fitted(near, F.greatest(F.max("scale"), F.lit(1.0)))
+    # Each language is drawn to all, each source of a language to what its language has become.
+    every, language, own = group_keys()
+    sizes = materialize(passed.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")))
+    languages = sizes.groupBy("lang").agg(F.sum("n").alias("n")).select(language.alias("group"), every.alias("parent"), "n")
+    cells = sizes.select(own.alias("group"), language.alias("parent"), "n")
+    of_languages = drawn(languages.join(estimate, "group"), estimate, prior)
+    of_cells = drawn(cells.join(estimate, "group"), of_languages, prior)
     judged = (
-        stats.withColumn("own", group_keys()[2])
+        stats.withColumn("own", own)
         .select("*", *vector)
-        .join(judged_by.join(estimate, "group"), "own", "left")
+        .join(of_cells.select(F.col("group").alias("own"), *CENTRE, *WHITE), "own", "left")
     )
     return judged.select(
         *stats.columns,
@@ -244,10 +280,10 @@ def with_verdict(stats: DataFrame, cutoff: float = CHI2_FAR, min_rows: int = MIN
     )
 
 
-def quality_rules(docs: DataFrame, cutoff: float = CHI2_FAR, min_rows: int = MIN_ROWS) -> DataFrame:
+def quality_rules(docs: DataFrame, cutoff: float = CHI2_FAR, prior: float = PRIOR) -> DataFrame:
     """``doc_id, lang, source``, the statistics, ``base_failed`` and ``kept`` of each document."""
     stats = materialize(statistics(docs, ["doc_id", "lang", "source"]))
-    return with_verdict(stats, cutoff, min_rows)
+    return with_verdict(stats, cutoff, prior)
 
 
 def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:

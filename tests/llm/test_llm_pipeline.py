@@ -8,6 +8,7 @@ import sys
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -72,6 +73,22 @@ def test_tokens_decode_to_the_texts(stages):
     assert all(r.n_tokens == len(r.ids) for r in got)
 
 
+#: Names that operators use inside, or for what they find.
+INNER = ["_letter", "_digest", "_row", "target", "copies", "lang_pred", "score", "n_lines", "n_dropped", "size",
+         "position", "_bucket", "_order", "Held_Out", "label", "_one", "c0"]
+
+
+def test_columns_of_any_name_are_carried_along(spark):
+    docs = documents(spark)
+    for i, name in enumerate(INNER):
+        docs = docs.withColumn(name, F.col("extra") * 100 + i)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialize(stage(spark, docs, ""))
+        rows = docs.collect()
+        assert docs.columns[-len(INNER) :] == INNER and rows
+        assert all(r[name] == r.extra * 100 + i for r in rows for i, name in enumerate(INNER))
+
+
 def test_empty_table(spark):
     docs = documents(spark).where("false")
     for _, stage in corpus_pipeline.STAGES:

@@ -1,6 +1,7 @@
 """Quality rules and the quality classifier."""
 
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -49,6 +50,39 @@ def test_estimates_ignore_planted_outliers(spark):
     assert all(r.kept for r in got if r.doc_id % 5)
 
 
+def test_concentration_finds_the_least_determinant(spark):
+    """Of twelve vectors, the nine that enclose the least, among all choices of nine."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(0, 0.5, (9, 4)), rng.normal(4, 1.5, (3, 4))])
+    floor = np.diag(np.square(outliers.FLOORS))
+    det = lambda some: np.linalg.det(np.cov(x[list(some)].T, bias=True) + floor)
+    best = min(combinations(range(12), 9), key=det)
+    rows = spark.createDataFrame([("g", *map(float, r)) for r in x], "group string, x0 double, x1 double, x2 double, x3 double")
+    got = outliers.concentrated(rows).first()
+    assert [got[c] for c in outliers.CENTRE] == pytest.approx(x[list(best)].mean(axis=0).tolist())
+    expected = np.cov(x[list(best)].T, bias=True) + floor
+    assert [got[c] for c in outliers.COVARIANCE] == pytest.approx([expected[i, j] for i, j in outliers.PAIRS])
+
+
+def test_verdicts_do_not_jump_with_the_size_of_a_group(spark):
+    """A small source of its own style, judged by itself at any size, and within a larger table."""
+    rng = np.random.default_rng(3)
+
+    def rows(source, n, length, start):
+        words = rng.integers(100, 400, n).tolist()
+        return [(start + i, "en", source, w, int(w * rng.normal(length, 0.15)), 0, 0, 0) for i, w in enumerate(words)]
+
+    large, small = rows("large", 1500, 5, 0), rows("small", 201, 8, 10_000)
+    odd = [(20_000, "en", "small", 300, 300 * 14, 300, 0, 0)]
+    schema = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in outliers.STATISTICS)
+    kept = []
+    for n in (20, 199, 200, 201):
+        df = spark.createDataFrame(large + small[:n] + odd, schema)
+        kept.append({r.doc_id for r in outliers.with_verdict(df).where("kept and source = 'small'").collect()})
+        assert 20_000 not in kept[-1] and len(kept[-1]) >= 0.97 * n
+    assert kept[1] & {r[0] for r in small[:199]} == kept[2] & {r[0] for r in small[:199]}
+
+
 def test_rules_on_labelled_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = outliers.quality_rules(docs).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").toPandas()
