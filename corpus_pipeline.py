@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
 Parquet and read again as the next stage's ``docs``. All but the last return the columns of
-``documents`` (``doc_id, text, lang, source, n_chars``); other columns are carried along.
+``documents`` (``doc_id, text, lang, source, n_chars``); other columns are carried along, as one value
+through each stage, so that their names clash with nothing inside of it.
 
 Defined results: documents with a null text, or one without a letter, go in the first
 stage; a document that loses all its lines stays, with an empty text, until the mix, which
@@ -12,6 +13,8 @@ empty table passes through all stages as an empty table; other nulls change noth
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,6 +28,26 @@ RANKS = "byte_bpe_50k.tiktoken"
 ORACLE_SQL = None
 
 
+#: The columns that stages look at, and the one that has all others.
+OWN, CARRIED = ("doc_id", "text", "lang", "source", "n_chars"), "columns carried along"
+
+
+def carrying(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, with columns that are not its own packed before and unpacked after."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c.lower() not in OWN]
+        if not others:
+            return stage(spark, docs, sf_dir)
+        own = [F.col(f"`{c}`") for c in docs.columns if c not in others]
+        carried = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias(CARRIED)
+        out = stage(spark, docs.select(*own, carried), sf_dir)
+        place = {c: F.col(f"`{CARRIED}`")[f"c{i}"].alias(c) for i, c in enumerate(others)}
+        return out.select(*[place[c] if c in place else F.col(f"`{c}`") for c in docs.columns])
+
+    return run
+
+
 def like(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows`` with the columns of ``docs``, ``n_chars`` counted anew."""
     counted = with_only(rows, n_chars=F.coalesce(F.char_length("text"), F.lit(0)).cast("bigint"))
@@ -63,10 +86,10 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("language", identify_language),
-    ("line_dedup", drop_shared_lines),
-    ("near_dedup", drop_near_duplicates),
-    ("source_mix", mix_sources),
+    ("language", carrying(identify_language)),
+    ("line_dedup", carrying(drop_shared_lines)),
+    ("near_dedup", carrying(drop_near_duplicates)),
+    ("source_mix", carrying(mix_sources)),
     ("byte_bpe", encode_tokens),
 ]
 
