@@ -23,17 +23,18 @@ _NOISY = f"concat('{NBSP} ', replace(replace(text, 'e ', 'e{NBSP}\t '), '. ', '.
 _RAW_ID = """case when ord % 4 = 0
   then 'https://h.example/#/schema/Review/www.' || source || '.example/' || review_id
   when ord % 4 = 1 then source_url when ord % 4 = 2 then '' else review_id end"""
-_NAME = f"""case when ord % 17 = 0 then ' {NBSP}' when ord % 5 = 0 then '._' || title || ' & Co. -'
-  else ' ' || title || '\t' end"""
+_NAME = f"""case when ord % 17 = 0 then ' {NBSP}' when ord % 5 = 0 then '._' || body || ' & Co. -'
+  else ' ' || body || '\t' end"""
 _START = """case when ord % 4 = 0 then source when ord % 4 = 1 then concat(' ', source, '.example ')
   when ord % 4 = 2 then source_url else '' end"""
 _STARS = """case when ord % 5 = 0 then concat('Rated ', cast(ord % 6 as string), ' out of 5')
   when ord % 5 = 1 then concat(cast(ord % 5 as string), '.5/5')
-  when ord % 5 = 2 then concat('Valorado con ', cast(ord % 6 as string), '.25  OUT OF 10 ') else title end"""
+  when ord % 5 = 2 then concat('Valorado con ', cast(ord % 6 as string), '.25  OUT OF 10 ') when ord % 5 = 3 then body
+  else concat(body, ' 4.5 / 5') end"""
 _NUMBER = f"""case when ord % 8 = 0 then concat('{NBSP}', cast(ord % 6 as string), ' ')
   when ord % 8 = 1 then '4,5' when ord % 8 = 2 then '4.5d' when ord % 8 = 3 then '1e3'
   when ord % 8 = 4 then concat(cast(ord % 5 as string), '.5') when ord % 8 = 5 then ''
-  when ord % 8 = 6 then title else concat('-.', cast(ord % 9 as string)) end"""
+  when ord % 8 = 6 then body else concat('-.', cast(ord % 9 as string)) end"""
 
 
 def _documents(expression, name):
