@@ -8,7 +8,10 @@ read them for as long as the session lives; then they are deleted.
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -46,6 +49,38 @@ def _delete_at_exit(spark: SparkSession, folder: str) -> None:
         files.deleteOnExit(path)
 
 
+#: The folders written within each open scope, innermost last.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Callable[..., None]]:
+    """Deletes what ``materialize`` wrote within it, but for what the frames given to it read.
+
+    Also has Spark look for shuffle files that nothing refers to any more. ``None`` is no frame.
+    """
+    made: list[str] = []
+    kept: set[str] = set()
+
+    def keep(*frames: DataFrame | None) -> None:
+        for df in frames:
+            files = df.inputFiles() if df is not None else []
+            kept.update(part for file in files for part in file.split("/") if part.startswith("run-"))
+
+    _scopes.append(made)
+    try:
+        yield keep
+    finally:
+        _scopes.pop()
+        for folder in made:
+            if folder.rsplit("/", 1)[1] not in kept:
+                delete_folder(spark, folder)
+            elif _scopes:
+                _scopes[-1].append(folder)
+        gc.collect()
+        spark._jvm.System.gc()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back as a plain table scan."""
     return materialize_counted(df)[0]
@@ -54,6 +89,8 @@ def materialize(df: DataFrame) -> DataFrame:
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """``materialize``, and the number of rows, counted as they are written."""
     path = scratch_dir(df.sparkSession)
+    if _scopes:
+        _scopes[-1].append(path)
     counted = Observation()
     df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows"]
