@@ -52,7 +52,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..scratch import materialize, materialize_counted
+from ..scratch import materialize, materialize_counted, scope
 from .common import WORD, table
 from .components import components
 from .tokens import hashed_words, mixed, rolled, slices, starts_of, texts_of
@@ -393,6 +393,12 @@ def linked_classes(docs: DataFrame, classes: DataFrame, width: int, similarity:
     labels, tried = None, None
 
     def link(some: DataFrame, trees: int, top: int | None, branch: bool) -> list[DataFrame]:
+        with scope(docs.sparkSession) as keep:
+            levels = link_by(some, trees, top, branch)
+            keep(labels, tried, *levels)
+        return levels
+
+    def link_by(some: DataFrame, trees: int, top: int | None, branch: bool) -> list[DataFrame]:
         nonlocal labels, tried
         pairs, levels = candidates(some, labels, trees, top, branch, similarity)
         if tried is not None:
@@ -426,28 +432,30 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = S
 
     ``text_key`` is the digest of its text, ``id`` tells its set, ``label`` its component.
     """
-    rows = materialize(sketches(docs, width))
-    classes = materialize(
-        rows.where("id is not null")
-        .groupBy("id")
-        .agg(
-            F.min("doc_id").alias("doc_id"),
-            F.first("n_shingles").alias("n"),
-            F.min("text_key").alias("text_key"),
-            F.first("roots").alias("roots"),
-            F.first("tokens").alias("tokens"),
+    with scope(docs.sparkSession) as keep:
+        rows = materialize(sketches(docs, width))
+        classes = materialize(
+            rows.where("id is not null")
+            .groupBy("id")
+            .agg(
+                F.min("doc_id").alias("doc_id"),
+                F.first("n_shingles").alias("n"),
+                F.min("text_key").alias("text_key"),
+                F.first("roots").alias("roots"),
+                F.first("tokens").alias("tokens"),
+            )
+            # Written down with the class, so it stays what it is.
+            .withColumn("cid", F.monotonically_increasing_id())
         )
-        # Written down with the class, so it stays what it is.
-        .withColumn("cid", F.monotonically_increasing_id())
-    )
-    labels = linked_classes(docs, classes, width, similarity)
-    named = classes.select("id", "doc_id", "cid")
-    if labels is None:
-        named = named.withColumn("label", F.col("cid"))
-    else:
-        named = named.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    groups = materialize(named.join(least, "label").select("id", "label", "component_id"))
+        labels = linked_classes(docs, classes, width, similarity)
+        named = classes.select("id", "doc_id", "cid")
+        if labels is None:
+            named = named.withColumn("label", F.col("cid"))
+        else:
+            named = named.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+        least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+        groups = materialize(named.join(least, "label").select("id", "label", "component_id"))
+        keep(rows, groups)
     return (
         rows.select("doc_id", "n_shingles", "text_key", "id")
         .join(groups, "id", "left")
@@ -464,9 +472,12 @@ def one_of_each(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMIL
 
     Documents without words stay. The texts are moved once, to meet the chosen rows.
     """
-    found = near_duplicates(docs, width, similarity).where("id is not null")
-    least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))).alias("_one")
-    chosen = materialize(found.groupBy("label").agg(least).select("_one.*").select(row_key(F.col("text_key")).alias("_row")))
+    with scope(docs.sparkSession) as keep:
+        found = near_duplicates(docs, width, similarity).where("id is not null")
+        least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))).alias("_one")
+        ones = found.groupBy("label").agg(least).select("_one.*")
+        chosen = materialize(ones.select(row_key(F.col("text_key")).alias("_row")))
+        keep(chosen)
     keyed = docs.withColumn("_row", row_key(F.unhex(F.md5(F.col("text").cast("binary")))))
     has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     kept = keyed.where(has_words).join(chosen, "_row", "left_semi").dropDuplicates(["_row"])
