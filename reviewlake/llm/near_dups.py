@@ -13,6 +13,9 @@ share with a probability equal to their Jaccard similarity):
   proportion to its size. Else the node branches: each class goes to ``CHILDREN`` nodes, by
   ``DEPTH`` other tokens each. So a group of many near copies is never compared all with
   all, and a node of unlike documents falls apart within a few levels.
+* A class goes on from its roots only if less than ``ENOUGH`` of them end there, in a node
+  that is compared or has one component. So a passage that many documents share is no
+  reason to branch them all: they meet their links by other roots.
 * Pairs within a component, and nodes of one component alone, are passed over.
 
 To know components early, a first stage takes a few trees, their first level, and two
@@ -28,7 +31,10 @@ The deeper a class goes, the likelier a link is missed, and the trees of a round
 tokens. ``missed`` has the probability for a pair of similarity 0.8, ``DOUBT`` included:
 0.0014 at 3 levels, 0.013 at 5, 0.12 at 12. So classes that went so deep that it exceeds
 ``MISS`` get further rounds of ``TREES`` trees, each with tokens of its own made anew from
-their texts, until the product is at most ``MISS``.
+their texts, until the product is at most ``MISS``. A class that does not go on misses a
+link if at least ``ENOUGH`` roots end and the link's other side has none of them. In a tree
+that has a probability of 0.2 at most, and not to end there one of 0.8 at most, whatever
+the other documents are; ``missed_at_roots`` sums it up to 0.0002, ``DOUBT`` left out.
 
 Nothing is held per group: nodes are counted in each task before the shuffle, centres are
 cut in each task, joins on hot nodes are left to adaptive execution. Texts are moved only
@@ -60,6 +66,8 @@ from .tokens import hashed_words, mixed, rolled, slices, starts_of, texts_of
 SHINGLE, SIMILARITY = 5, 0.8
 TREES, TOKENS, LEAF, CENTRES, DEPTH, CHILDREN = 16, 128, 32, 64, 3, 2
 DOUBT = 0.66
+#: Share of a class's roots that is enough to find its links by.
+ENOUGH = 0.625
 #: Probability at most of missing a pair at the threshold, whatever its depth.
 MISS = 0.001
 #: Levels after which a node that does not fall apart is compared in blocks, whole.
@@ -93,6 +101,12 @@ def missed(levels: int, similarity: float) -> float:
     return out
 
 
+def missed_at_roots(similarity: float) -> float:
+    """Probability at most of missing a pair of which one side does not go on from its roots."""
+    apart, least = 1 - similarity, math.ceil(ENOUGH * TREES)
+    return sum(math.comb(TREES, m) * apart**m * similarity ** (TREES - m) for m in range(least, TREES + 1))
+
+
 def level_of_turn(turn: int, similarity: float) -> int | None:
     """The least level at which ``turn`` rounds miss more than ``MISS``; None if none does."""
     for level in range(1, LEVELS + 1):
@@ -307,8 +321,11 @@ def candidates(
         found.append(materialize(pairs_with_centres(blocks, similarity, top)))
         if not branch:
             break
-        onward = large.join(shape.where(~ends), "node").join(facts.select("cid", "tokens"), "cid")
-        rows, n_rows = materialize_counted(children(onward))
+        onward = large.join(shape.where(~ends), "node")
+        if level == 0:
+            ended = trees - F.count(F.lit(1))
+            onward = onward.join(onward.groupBy("cid").agg(ended.alias("ended")).where(F.col("ended") < ENOUGH * trees), "cid")
+        rows, n_rows = materialize_counted(children(onward.join(facts.select("cid", "tokens"), "cid")))
         if not n_rows:
             break
         levels.append(rows.select("cid"))
