@@ -6,8 +6,8 @@ classes by minwise tokens (the least value of a random order over the set, which
 share with a probability equal to their Jaccard similarity):
 
 * At its root a tree sends each class to the node of one minwise token.
-* A node of at most ``LEAF`` classes is compared exhaustively, on sketches of ``TOKENS``
-  minwise tokens.
+* A node of at most ``LEAF`` classes, ``CROWD`` below the roots, is compared exhaustively, on
+  sketches of ``TOKENS`` minwise tokens.
 * In a larger node most classes may be known to be connected. If at most ``CENTRES`` are
   not of its main component, these are compared with all of the node, which costs in
   proportion to its size. Else the node branches: each class goes to ``CHILDREN`` nodes, by
@@ -64,7 +64,9 @@ from .components import components
 from .tokens import hashed_words, mixed, rolled, slices, starts_of, texts_of
 
 SHINGLE, SIMILARITY = 5, 0.8
-TREES, TOKENS, LEAF, CENTRES, DEPTH, CHILDREN = 16, 128, 32, 64, 3, 2
+TREES, TOKENS, CENTRES, DEPTH, CHILDREN = 16, 128, 64, 3, 2
+#: Classes of a node that is compared whole, at a root and further down, where they are much alike.
+LEAF, CROWD = 256, 2048
 DOUBT = 0.66
 #: Share of a class's roots that is enough to find its links by.
 ENOUGH = 0.625
@@ -208,7 +210,11 @@ def best_partners(x: tuple, y: tuple, similarity: float, top: int | None) -> pa.
     (a, la, na, ta), (b, lb, nb, tb) = x, y
     agreed = np.empty((len(a), len(b)))
     for i in range(len(a)):
-        agreed[i] = (tb == ta[i]).mean(axis=1)
+        # Within a node, each pair is counted once.
+        j = i if x is y else 0
+        agreed[i, j:] = np.count_nonzero(tb[j:] == ta[i], axis=1) / TOKENS
+        if x is y:
+            agreed[i:, i] = agreed[i, i:]
     likely = (agreed >= DOUBT) & (la[:, None] != lb[None, :])
     likely &= np.minimum.outer(na, nb) >= similarity * np.maximum.outer(na, nb) - 1e-9
     if top is not None and top < len(b):
@@ -292,15 +298,16 @@ def candidates(
         rows = rows.join(labels, "cid", "left").select("node", "cid", F.coalesce("label", "cid").alias("label"))
     found, levels, level = [], [], 0
     while True:
+        whole = CROWD if level else LEAF
         sizes = materialize(
             rows.groupBy("node")
             .agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("lo"), F.max("label").alias("hi"))
             .where("lo <> hi")
             .select("node", "members")
         )
-        small = rows.join(sizes.where(F.col("members") <= LEAF), "node")
-        found.append(materialize(pairs_in_leaves(gathered(small, facts, LEAF + 1, "members"), similarity, top)))
-        large, n_large = materialize_counted(rows.join(sizes.where(F.col("members") > LEAF), "node"))
+        small = rows.join(sizes.where(F.col("members") <= whole), "node")
+        found.append(materialize(pairs_in_leaves(gathered(small, facts, whole + 1, "members"), similarity, top)))
+        large, n_large = materialize_counted(rows.join(sizes.where(F.col("members") > whole), "node"))
         if not n_large:
             break
         if branch:

@@ -69,6 +69,7 @@ def corpus(seed):
 @pytest.mark.parametrize("width,percent", [(4, 80)])
 def test_components_of_near_duplicates(spark, monkeypatch, width, percent):
     monkeypatch.setattr(near_dups, "LEAF", 16)
+    monkeypatch.setattr(near_dups, "CROWD", 16)
     texts = corpus(width)
     df = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, label int")
     lead, sizes = brute_components(texts, width, percent)
@@ -83,6 +84,7 @@ def test_components_of_near_duplicates(spark, monkeypatch, width, percent):
 def test_links_within_an_unlinked_crowd(spark, monkeypatch):
     """Pairs at exactly 0.8 among documents alike at 0.75, where two trees alone miss many."""
     monkeypatch.setattr(near_dups, "LEAF", 16)
+    monkeypatch.setattr(near_dups, "CROWD", 16)
     monkeypatch.setattr(near_dups, "CENTRES", 8)
     monkeypatch.setattr(near_dups, "LEVELS", 2)
     monkeypatch.setattr(near_dups, "STAGES", ((2, None, True),))
@@ -255,3 +257,14 @@ def test_nearest_of_few_or_no_rows(spark):
     assert [tuple(r) for r in neighbours.nearest(few, F.lit(True)).orderBy("query_id").collect()] == [(0, 1, 1, -1.0), (1, 1, 0, -1.0)]
     for rows in ([], [(0, [1.0])], [(0, None)]):
         assert neighbours.nearest(spark.createDataFrame(rows, schema), F.lit(True)).count() == 0
+
+
+def test_classes_that_do_not_branch_hold_the_target():
+    """Whatever share of the roots is crowded, and whether it is crowded by the other side's tokens."""
+    assert near_dups.missed_at_roots(0.8) + near_dups.missed(1, 0.8) < near_dups.MISS
+    rng = np.random.default_rng(5)
+    for crowded in (0.0, 0.3, 0.6, 0.8):
+        draw = rng.random((200_000, near_dups.TREES))
+        ended, apart = draw >= crowded, draw >= 0.8
+        lost = (ended.sum(axis=1) >= near_dups.ENOUGH * near_dups.TREES) & ~(ended & ~apart).any(axis=1)
+        assert lost.mean() <= near_dups.missed_at_roots(0.8) + 2e-4
