@@ -75,6 +75,8 @@ MISS = 0.001
 #: Levels after which a node that does not fall apart is compared in blocks, whole.
 LEVELS = 12
 BLOCK = 512
+#: Classes whose partners are sought at once.
+STRIP = 128
 #: Trees, partners of a class that are taken from a node, and whether large nodes branch.
 STAGES = ((4, 2, False), (8, 8, True), (TREES, None, True))
 #: Ids that are broadcast at most (16 MB); more are joined by a shuffle.
@@ -205,23 +207,26 @@ def members_of(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return (*[flat.field(c).to_numpy() for c in ("cid", "label", "n")], token_matrix(flat.field("tokens")))
 
 
-def best_partners(x: tuple, y: tuple, similarity: float, top: int | None) -> pa.RecordBatch:
-    """Of each of ``x`` the likely partners in ``y`` of other components, the ``top`` best."""
+def best_partners(x: tuple, y: tuple, similarity: float, top: int | None) -> Iterator[pa.RecordBatch]:
+    """Of each of ``x`` the likely partners in ``y`` of other components, the ``top`` best.
+
+    Goes through ``x`` in strips, so that neither a matrix nor a batch has a whole large node.
+    """
     (a, la, na, ta), (b, lb, nb, tb) = x, y
-    agreed = np.empty((len(a), len(b)))
-    for i in range(len(a)):
-        # Within a node, each pair is counted once.
-        j = i if x is y else 0
-        agreed[i, j:] = np.count_nonzero(tb[j:] == ta[i], axis=1) / TOKENS
-        if x is y:
-            agreed[i:, i] = agreed[i, i:]
-    likely = (agreed >= DOUBT) & (la[:, None] != lb[None, :])
-    likely &= np.minimum.outer(na, nb) >= similarity * np.maximum.outer(na, nb) - 1e-9
-    if top is not None and top < len(b):
-        worst = np.argpartition(-np.where(likely, agreed, 0), top, axis=1)[:, top:]
-        np.put_along_axis(likely, worst, False, axis=1)
-    i, j = np.nonzero(likely)
-    return pair_batch(a[i], b[j], agreed[i, j])
+    # All pairs of a node: each is counted once.
+    once = x is y and top is None
+    for begin in range(0, len(a), STRIP):
+        rows, others = slice(begin, begin + STRIP), slice(begin if once else 0, None)
+        agreed = np.stack([np.count_nonzero(tb[others] == one, axis=1) for one in ta[rows]])
+        likely = (agreed >= DOUBT * TOKENS) & (la[rows, None] != lb[None, others])
+        likely &= np.minimum.outer(na[rows], nb[others]) >= similarity * np.maximum.outer(na[rows], nb[others]) - 1e-9
+        if once:
+            likely = np.triu(likely, 1)
+        elif top is not None and top < len(b):
+            worst = np.argpartition(-np.where(likely, agreed, 0), top, axis=1)[:, top:]
+            np.put_along_axis(likely, worst, False, axis=1)
+        i, j = np.nonzero(likely)
+        yield pair_batch(a[rows][i], b[others][j], agreed[i, j] / TOKENS)
 
 
 def pairs_in_leaves(nodes: DataFrame, similarity: float, top: int | None) -> DataFrame:
@@ -231,7 +236,7 @@ def pairs_in_leaves(nodes: DataFrame, similarity: float, top: int | None) -> Dat
         for batch in batches:
             for rows in batch.column("members"):
                 x = members_of(rows)
-                yield best_partners(x, x, similarity, top)
+                yield from best_partners(x, x, similarity, top)
 
     return nodes.select("members").mapInArrow(run, PAIRS).distinct()
 
@@ -244,7 +249,7 @@ def pairs_with_centres(blocks: DataFrame, similarity: float, top: int | None) ->
             for centres, rows in zip(batch.column("centres"), batch.column("members"), strict=True):
                 c, x = members_of(centres), members_of(rows)
                 # Few centres: the members choose among them; many members: the centres choose.
-                yield best_partners(c, x, similarity, top) if top != 2 else best_partners(x, c, similarity, top)
+                yield from best_partners(c, x, similarity, top) if top != 2 else best_partners(x, c, similarity, top)
 
     return blocks.select("centres", "members").mapInArrow(run, PAIRS)
 
