@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
+from .arrow import udf_in_parts
+
 # A comment, or a whole script or style element; whichever starts first hides
 # the marks of the others inside it. One that is not closed goes on to the end of
 # the page, so the page is scanned once.
@@ -119,7 +121,7 @@ def json_nodes(payload: Column) -> Column:
     Null for a blank or invalid payload. Members of another type than expected
     are null.
     """
-    return F.arrow_udf(_nodes, NODE_TYPE)(payload)
+    return udf_in_parts(_nodes, NODE_TYPE)(payload)
 
 
 def _page_nodes(pages: pa.Array) -> pa.Array:
@@ -134,7 +136,7 @@ def _page_nodes(pages: pa.Array) -> pa.Array:
 
 def page_nodes(payloads: Column) -> Column:
     """``json_nodes`` of all payloads of a page, one after the other."""
-    return F.arrow_udf(_page_nodes, NODE_TYPE)(payloads)
+    return udf_in_parts(_page_nodes, NODE_TYPE)(payloads)
 
 
 # The helpers travel with the job; executors need no copy of this package.

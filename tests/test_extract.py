@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from reviewlake.functions import html as html_functions, jsonld
+from reviewlake.functions import arrow, html as html_functions, jsonld
 from reviewlake.functions.html import outline
 from reviewlake.operators import extract as X
 from reviewlake.schema import REVIEW_COLS
@@ -391,3 +391,23 @@ def test_calls_over_several_pieces(spark):
       <div itemprop=review data-review-id=2><b>Escribe</b><p>tu</p></div>
       <div itemprop=review data-review-id=3><p>Write your</p></div> review"""
     assert generic(spark, html, "review_id") == [("2",), ("3",)]
+
+
+# --- batches in parts -----------------------------------------------------------
+
+
+def test_parts_are_bounded_and_lose_no_row():
+    rows = ["x" * 300_000] * 9 + [None, ""] + ["y" * 3_000_000] + ["z"]
+    for batch in (pa.array(rows, pa.string()), pa.array([[r, r] for r in rows], pa.list_(pa.string()))):
+        parts = list(arrow.parts(batch.slice(1)))
+        assert [v for p in parts for v in p.to_pylist()] == batch.to_pylist()[1:]
+        assert all(p.nbytes < 1.1 * arrow.PART or len(p) == 1 for p in parts) and len(parts) > 4
+    assert list(arrow.parts(pa.array([], pa.string()))) == []
+
+
+def test_payloads_are_read_once(spark):
+    payloads = X.jsonld_payloads(pages(spark, script({"@type": "Review"}), script("{"), "<p>"))
+    for df in (payloads, X.json_objects(payloads).groupBy("type").count()):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert len([line for line in plan.split("\n") if "+- ArrowEvalPython" in line]) == 1
+    assert found(payloads, "page_id", "script") == [(0, 0)]
