@@ -202,7 +202,7 @@ def deep_reviews(spark, sf_dir):
         F.lit("<time datetime='2024'></time></article>"),
         deep("</div>", 1000),
     )
-    pages = table(spark, sf_dir, "pages").withColumn("html", html)
+    pages = wide_table(spark, sf_dir, "pages", "page_id").withColumn("html", html)
     return X.site_markup_reviews(pages).select("page_id", "review_id", "body", "date_published")
 
 

@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from catalog import pages as catalog_pages
 from reviewlake.functions import arrow, html as html_functions, jsonld
 from reviewlake.functions.html import outline
 from reviewlake.operators import extract as X
@@ -411,3 +412,18 @@ def test_payloads_are_read_once(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert len([line for line in plan.split("\n") if "+- ArrowEvalPython" in line]) == 1
     assert found(payloads, "page_id", "script") == [(0, 0)]
+
+
+def test_deep_pages_are_outlined_without_the_slow_parser(monkeypatch):
+    slow = []
+    general = html_functions.HTMLParser.parse_starttag
+    monkeypatch.setattr(html_functions.HTMLParser, "parse_starttag", lambda p, i: slow.append(i) or general(p, i))
+    html = "<div>" * 1000 + "<p>uno<STYLE>p</b>{}</STYLE><b class=x>dos</b></p>" + "</div>" * 1000
+    (dom,) = html_functions._outlines(pa.array([html])).to_pylist()
+    assert dom["pieces"] == ["uno", "dos"] and [n["tag"] for n in dom["nodes"]] == ["p", "b"]
+    assert len(slow) == 2
+
+
+def test_deep_reviews_use_all_cores(spark):
+    query = catalog_pages.deep_reviews(spark, "/root/testdata/sf0.001")
+    assert "REPARTITION_BY_NUM" in query._jdf.queryExecution().executedPlan().toString()
