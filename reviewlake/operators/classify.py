@@ -313,18 +313,23 @@ def classify_by_lexicon(df: DataFrame, lexicon: DataFrame, text_col: str = "body
     A review has the labels of the entry most of whose words it has, the first one of
     equals; without any of the words it gets no labels and an error. The distinct words of
     distinct texts meet the table in a join, whatever its size; word pairs are counted
-    before they are shuffled by text. ``df`` is read twice.
+    before they are shuffled by text, and labels, which a rank has one set of, are looked up
+    for the best rank alone. ``df`` is read twice.
     """
     reviews = drop_blank_text(df, text_col)
-    keyed = reviews.withColumn("_key", F.unhex(F.sha2(text.strip(F.col(text_col)), 256)))
-    entries = lexicon.select("word", "rank", F.struct(*LABEL_COLS).alias("labels")).distinct()
+    # Half of the digest: it goes with every word of a text.
+    digest = F.unhex(F.substring(F.sha2(text.strip(F.col(text_col)), 256), 1, 32))
+    keyed = reviews.withColumn("_key", digest)
+    entries = lexicon.select("word", "rank").distinct()
+    names = lexicon.groupBy("rank").agg(F.min(F.struct(*LABEL_COLS)).alias("labels"))
     words = (
         keyed.groupBy("_key")
         .agg(F.first(words_of(F.col(text_col))).alias("words"))
         .select("_key", F.explode("words").alias("word"))
     )
-    scores = words.join(entries, "word").groupBy("_key", "rank", "labels").agg(F.count("*").alias("n"))
-    best = scores.groupBy("_key").agg(F.max_by("labels", F.struct("n", -F.col("rank"))).alias("labels"))
+    scores = words.join(entries, "word").groupBy("_key", "rank").agg(F.count("*").alias("n"))
+    first_rank = scores.groupBy("_key").agg(F.max_by("rank", F.struct("n", -F.col("rank"))).alias("rank"))
+    best = first_rank.join(names, "rank").drop("rank")
     labeled = keyed.join(best, "_key", "left").withColumn(
         "_labels",
         F.struct(

@@ -1,5 +1,6 @@
 """Labels: reading answers, retrying, validating, classifying."""
 
+import re
 import sys
 from hashlib import sha256
 
@@ -266,3 +267,13 @@ def test_lexicon_is_in_the_taxonomy(spark):
         [e[:3] for e in C.LEXICON], "sentiment_label string, general_category string, specific_category string"
     )
     assert C.nonconforming(df).count() == 0
+
+
+def test_labels_of_a_lexicon_are_not_shuffled_with_words(spark):
+    df = spark.createDataFrame([("1", "uno dos dos"), ("2", "dos uno tres tres"), ("3", "x")], "review_id string, body string")
+    rows = [("uno", 0, "A", "a", "b"), ("uno", 0, "A", "a", "b"), ("dos", 1, "B", "c", "d"), ("tres", 1, "B", "c", "d")]
+    labeled = C.classify_by_lexicon(df, spark.createDataFrame(rows, C.LEXICON_SCHEMA))
+    got = labeled.orderBy("review_id").select("sentiment_label", "specific_category").collect()
+    assert [tuple(r) for r in got] == [("A", "b"), ("B", "d"), (None, None)]
+    plan = labeled._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate(keys=[_key" in plan and not re.search(r"Aggregate\(keys=\[_key#\d+, rank#\d+L, labels", plan)
