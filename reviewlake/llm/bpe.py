@@ -4,15 +4,15 @@ A text is cut into the matches of a pattern. Of each new word (match) of a batch
 is a row per byte, its token and its place. A recursive query joins the pairs of
 neighbouring tokens with the merge table, takes each word's pair of the least rank, the
 leftmost of equals, contracts it, and goes on with the words that changed until none
-does. Decoding joins the token rows with the vocabulary and aggregates their bytes in
-order of position.
+does. Decoding picks the pieces of each list of ids out of the vocabulary and joins them.
 
 * Spark deals out the texts; nothing is shuffled. A worker keeps one database in memory,
   with the tables of the vocabulary, which are broadcast as the rank file (under 1 MB)
   and do not grow with the data.
-* A space between two other characters always begins a match, so a text is split there
-  and the tokens of each chunk are kept in a bounded table, as are those of each word: what
-  has not been seen since a table was last full is forgotten when it is full again.
+* A space between two other characters always begins a match, so a text is split there,
+  and the distinct chunks of many texts are cut into words in one go. The tokens of each
+  word are kept in a bounded table: what has not been seen since the table was last full is
+  forgotten when it is full again.
 * A round of the recursion adds what is left of each word to its result, so a query takes
   words of at most ``CELLS`` byte pairs, which bounds its memory whatever the words are.
 * A text is taken in pieces of about ``PIECE`` characters, cut at such a space, so the
@@ -46,12 +46,12 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
 from .common import table
 
-PIECE = 4_000_000
+PIECE = 2_000_000
 #: Of chunks, and of words, that are kept; once more, those seen since then, when full.
 CACHE = 200_000
 #: Bytes of a word that the query takes; its numbers have six bits for the place in a word.
 LONG = 64
-CELLS = 6_000_000
+CELLS = 2_000_000
 
 #: A row's number g is 64 times its word's plus its place; a pair, the left token's 2^20 times plus the right one's.
 ENCODE = """
@@ -78,8 +78,7 @@ order by w, g
 """
 
 DECODE = """
-select d, array_to_string(list_select((select list from pieces), list(id + 1 order by p)), '') as text
-from tokens group by d order by d
+select array_to_string(list_select((select list from pieces), places), '') as text from tokens order by d
 """
 
 
@@ -95,7 +94,7 @@ class Recent:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def of(self, keys: set[str], function: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
+    def of(self, keys: list[str], function: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
         """The results of all ``keys``; the function is asked for those that are not known."""
         out = {k: ids for k in keys if (ids := self.new.get(k) or self.old.get(k)) is not None}
         lacking = [k for k in keys if k not in out]
@@ -136,7 +135,7 @@ class Codec:
             """create table pieces as select list(coalesce(piece, '') order by i) as list
             from (select unnest(range((select max(id) + 1 from vocabulary))) as i) left join vocabulary on id = i"""
         )
-        self.chunks, self.known = Recent(), Recent()
+        self.chunks = Recent()
 
     def _load(self, name: str, columns: dict) -> None:
         self.db.register("given", pa.table(columns))
@@ -145,21 +144,48 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, whose sizes together are bounded."""
-        out = []
-        split = [chunks_of(text) for text in texts]
-        found = [list(map(self.chunks.new.get, chunks)) for chunks in split]
-        lacking = {c for chunks, ids in zip(split, found) if None in ids for c, i in zip(chunks, ids) if i is None}
-        learnt = self.chunks.of(lacking, self._learn)
-        for chunks, ids in zip(split, found, strict=True):
-            if None in ids:
-                ids = [learnt[c] if i is None else i for c, i in zip(chunks, ids)]
-            out.append(np.frombuffer(b"".join(ids), dtype=np.int32))
+        if not texts:
+            return []
+        order, split = lists_of_chunks(texts)
+        ends = split.offsets.to_numpy() - split.offsets[0].as_py()
+        begins, chunks = ends[:-1], split.flatten()
+        inner = np.ones(len(chunks), dtype=bool)
+        inner[begins] = False
+        others = chunks.filter(pa.array(inner)).dictionary_encode()
+        place, flat, counts = self._ids_of(others.dictionary.to_pylist(), chunks.take(pa.array(begins)).to_pylist())
+        code = np.empty(len(chunks), dtype=np.int64)
+        code[inner] = place[others.indices.to_numpy()]
+        code[begins] = np.arange(len(counts) - len(begins), len(counts))
+        ids, until = gathered(flat, counts, code)
+        until = until[ends[1:] - 1].tolist()
+        out: list[np.ndarray] = [ids[:0]] * len(texts)
+        for i, start, end in zip(order, [0, *until[:-1]], until, strict=True):
+            out[i] = ids[start:end]
         return out
 
-    def _learn(self, chunks: list[str]) -> list[bytes]:
-        cut = [self.words.findall(c) for c in chunks]
-        ids = self.known.of({w for ws in cut for w in ws}, lambda new: self.encode_words([w.encode() for w in new]))
-        return [ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws]) for ws in cut]
+    def _ids_of(self, inner: list[str], first: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The places of ``inner`` chunks, the ids of all chunks, adjoining, those of ``first`` last, and how many each has.
+
+        Chunks that another one may follow are cut into words in one go, as they are in a text.
+        """
+        apart = np.fromiter((c[-1].isspace() for c in inner), bool, len(inner))
+        place = np.empty(len(inner), dtype=np.int64)
+        place[np.argsort(apart, kind="stable")] = np.arange(len(inner))
+        joined = [" " + c for c, one in zip(inner, apart, strict=True) if not one]
+        words = self.words.findall("".join(joined))
+        word_ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        chunk_ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
+        until = [np.searchsorted(word_ends, chunk_ends, side="right")]
+        for chunk in [*[" " + c for c, one in zip(inner, apart, strict=True) if one], *first]:
+            words += self.words.findall(chunk)
+            until.append([len(words)])
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = self.chunks.of(distinct, lambda new: self.encode_words([w.encode() for w in new]))
+        ids = [known[w] for w in distinct]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, ends = gathered(np.frombuffer(b"".join(ids), dtype=np.int32), sizes, coded.indices.to_numpy())
+        return place, flat, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], *until]).astype(np.int64)])
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as the bytes of 32-bit integers."""
@@ -210,17 +236,13 @@ class Codec:
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids, whose sizes together are bounded."""
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(lengths.sum())
-        d = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
-        p = np.arange(total, dtype=np.int32)
-        out = [b""] * len(ids)
-        if total:
-            self.db.register("tokens", pa.table({"d": d, "p": p, "id": np.concatenate(ids)}))
-            found = self.db.sql(DECODE).to_arrow_table()
-            for i, text in zip(found["d"].to_pylist(), found["text"].to_pylist(), strict=True):
-                out[i] = text.encode("latin-1")
-        return out
+        if not any(map(len, ids)):
+            return [b""] * len(ids)
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        places = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids) + np.int32(1), pa.int32()))
+        self.db.register("tokens", pa.table({"d": np.arange(len(ids)), "places": places}))
+        texts = self.db.sql(DECODE).to_arrow_table()["text"]
+        return [text.encode("latin-1") for text in texts.to_pylist()]
 
 
 BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
@@ -236,6 +258,29 @@ def chunks_of(text: str) -> list[str]:
     return [first, *[" " + c for c in others]] if text else []
 
 
+def lists_of_chunks(texts: list[str]) -> tuple[list[int], pa.ListArray]:
+    """Numbers of the texts, and in this order their chunks, one at least, without the space each but the first begins with."""
+    odd, plain, lists = [], [], []
+    for i, text in enumerate(texts):
+        if UNSAFE.search(text) or " \n" in text or text[:1] == " " or text[-1:] == " ":
+            first, *others = chunks_of(text)
+            odd.append(i)
+            lists.append([first, *[c[1:] for c in others]])
+        else:
+            plain.append(i)
+    split = pc.split_pattern(pa.array([texts[i] for i in plain], pa.string()), " ")
+    return plain + odd, pa.concat_arrays([split, pa.array(lists, split.type)])
+
+
+def gathered(flat: np.ndarray, counts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs of ``flat`` that adjoin those of the numbers ``which``, in this order, and the end of each."""
+    taken = counts[which]
+    until = np.cumsum(taken)
+    # Slices are bounded, so that places in them fit into 32 bits, which halves what is held.
+    shift = ((np.cumsum(counts) - counts)[which] - (until - taken)).astype(np.int32)
+    return flat[np.repeat(shift, taken) + np.arange(until[-1] if len(until) else 0, dtype=np.int32)], until
+
+
 def pieces_of(text: str, size: int = PIECE) -> Iterator[str]:
     """The text, cut at a boundary about every ``size`` characters."""
     start = 0
@@ -354,10 +399,14 @@ def digests(
                 of_ids += [sha256(" ".join(coder.decimal[x].tolist()).encode()) for x in ids]
                 of_bytes += map(sha256, decode_all(coder, ids))
                 flat += ids if ids_too else []
+                del ids
             found = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
             if ids_too:
                 found.append(id_lists(flat))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *found], [*kept, *new])
+            # The worker may wait for its next batch or task, so it gives back what it does not hold.
+            del texts, found, flat, batch
+            pa.default_memory_pool().release_unused()
 
     out = StructType([df.schema[c] for c in kept])
     out = out.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")

@@ -71,6 +71,23 @@ def test_cache_is_emptied_when_full(coder, peer, monkeypatch):
         assert len(coder.chunks.new) <= 50 or len(coder.chunks.old) <= 50
 
 
+def test_chunks_are_cut_in_one_go(coder, peer, monkeypatch):
+    """Not one call for each chunk; ends and beginnings of texts, and odd spaces, stay what they are."""
+    calls = []
+
+    class Words:
+        def findall(self, text, words=coder.words):
+            calls.append(text)
+            return words.findall(text)
+
+    texts = [f"a{i} {' '.join(f'w{i}x{j}' for j in range(10))} b{i}c\n\nd \te {i}{end}" for i in range(300) for end in ("", "\n\n", " ", "\x1c")] + HARD
+    monkeypatch.setattr(coder, "words", Words())
+    ids = coder.encode(texts)
+    assert [x.tolist() for x in ids] == [peer.encode_ordinary(t) for t in texts]
+    assert [x.decode() for x in coder.decode(ids)] == texts
+    assert len(calls) < 2.5 * len(texts)
+
+
 def test_frames(spark, peer):
     rows = [(1, "a b", 1), (2, None, 2), (None, "", 3), (3, "repeated é", 4), (3, "repeated é", 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, IDS int")
