@@ -17,7 +17,9 @@ look at until it meets them.
   shuffle, which is all that a query can need; a vector that a third of all rows hold is
   one item.
 * Leaves and the queries that reach them are cut into blocks of bounded size, by counted
-  sizes, and joined on the leaf. A pair of blocks gives at most ``k`` rows per query.
+  sizes, and joined on the leaf. Of the pairs of blocks that a task compares, a query's
+  ``k + 1`` nearest items are handed on, and of all of these the ``k + 1`` nearest: one may be
+  its own, and each other one holds an id at least, so these hold the ``k`` nearest ids.
 
 On vectors without structure the number grows nearly with the table, and the work with its
 square; leaves grow with the root of the table, so that queries reach fewer of them. The
@@ -49,6 +51,8 @@ RECALL, CALIBRATION = 0.95, 512
 #: Up to so many vectors leaves hold ``LEAF_ROWS``.
 LEAF_ROWS_TO = 50_000
 ITEM_BLOCK, QUERY_BLOCK = 2048, 256
+#: Rows that a task holds back to hand on the nearest of each query alone.
+HELD = 200_000
 
 
 @dataclass
@@ -271,36 +275,62 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
+def best_of(rows: pa.Table, most: int) -> pa.Table:
+    """The ``most`` nearest items of each query, each once."""
+    q, item, score = (rows[c].to_numpy() for c in ("query_id", "item", "score"))
+    order = np.lexsort((item, -score, q))
+    q, item = q[order], item[order]
+    # An item has the same score wherever a query meets it, so its rows adjoin.
+    new = np.ones(len(q), dtype=bool)
+    new[1:] = (q[1:] != q[:-1]) | (item[1:] != item[:-1])
+    order, q = order[new], q[new]
+    place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+    return rows.take(pa.array(order[place < most]))
+
+
 def ranked(pairs: DataFrame, dimensions: int, k: int) -> DataFrame:
-    """``query_id, item, ids, score`` of the nearest items in each pair of blocks."""
+    """``query_id, item, ids, score`` of the ``k + 1`` nearest items in the pairs of blocks of a task."""
+
+    def near_in(queries: pa.ListScalar, items: pa.ListScalar) -> pa.RecordBatch:
+        q, x = queries.values, items.values
+        qv, xv = (matrix(lists_of(v, "vector"), dimensions) for v in (q, x))
+        q_ids, x_ids = q.field("query_id").to_numpy(), x.field("item").to_numpy()
+        norms = np.linalg.norm(xv, axis=1)
+        cosines = (qv / np.linalg.norm(qv, axis=1, keepdims=True)) @ (xv / norms[:, None]).T
+        ids = lists_of(x, "ids")
+        alone = np.diff(ids.offsets.to_numpy()) == 1
+        cosines[(q_ids[:, None] == x_ids[None, :]) & alone[None, :]] = -np.inf
+        # A few more than k, as the last digits of a matrix product vary.
+        m = min(k + 4, len(x_ids))
+        near = np.argpartition(-cosines, m - 1, axis=1)[:, :m]
+        rows, cols = np.repeat(np.arange(len(q_ids)), m), near.ravel()
+        real = np.isfinite(cosines[rows, cols])
+        rows, cols = rows[real], cols[real]
+        score = exact(qv[rows], xv[cols])
+        order = np.lexsort((x_ids[cols], -score, rows))
+        rows, cols, score = rows[order], cols[order], score[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+        best = place <= k
+        rows, cols, score = rows[best], cols[best], score[best]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(q_ids[rows]), pa.array(x_ids[cols]), ids.take(pa.array(cols)), pa.array(score)],
+            ["query_id", "item", "ids", "score"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
             for queries, items in zip(batch.column("queries"), batch.column("items"), strict=True):
-                q, x = queries.values, items.values
-                qv, xv = (matrix(lists_of(v, "vector"), dimensions) for v in (q, x))
-                q_ids, x_ids = q.field("query_id").to_numpy(), x.field("item").to_numpy()
-                norms = np.linalg.norm(xv, axis=1)
-                cosines = (qv / np.linalg.norm(qv, axis=1, keepdims=True)) @ (xv / norms[:, None]).T
-                ids = lists_of(x, "ids")
-                alone = np.diff(ids.offsets.to_numpy()) == 1
-                cosines[(q_ids[:, None] == x_ids[None, :]) & alone[None, :]] = -np.inf
-                # A few more than k, as the last digits of a matrix product vary.
-                m = min(k + 4, len(x_ids))
-                near = np.argpartition(-cosines, m - 1, axis=1)[:, :m]
-                rows, cols = np.repeat(np.arange(len(q_ids)), m), near.ravel()
-                real = np.isfinite(cosines[rows, cols])
-                rows, cols = rows[real], cols[real]
-                score = exact(qv[rows], xv[cols])
-                order = np.lexsort((x_ids[cols], -score, rows))
-                rows, cols, score = rows[order], cols[order], score[order]
-                place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-                best = place < k
-                rows, cols, score = rows[best], cols[best], score[best]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[rows]), pa.array(x_ids[cols]), ids.take(pa.array(cols)), pa.array(score)],
-                    ["query_id", "item", "ids", "score"],
-                )
+                held.append(near_in(queries, items))
+                n += len(held[-1])
+                if n > HELD:
+                    best = best_of(pa.Table.from_batches(held), k + 1)
+                    if 2 * len(best) > HELD:
+                        yield from best.to_batches()
+                        best = best.slice(0, 0)
+                    held, n = best.to_batches(), len(best)
+        if n:
+            yield from best_of(pa.Table.from_batches(held), k + 1).to_batches()
 
     return pairs.select("queries", "items").mapInArrow(run, "query_id long, item long, ids array<long>, score double")
 
@@ -358,13 +388,15 @@ def nearest(
     item_blocks = in_blocks(places, items, "item", ITEM_BLOCK, "items")
     query_blocks = in_blocks(reached, queries, "query_id", QUERY_BLOCK, "queries")
     found = ranked(query_blocks.join(item_blocks, "leaf"), dimensions, k)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    by_item, by_id = (Window.partitionBy("query_id").orderBy(F.desc("score"), c) for c in ("item", "vec_id"))
     return (
         found.groupBy("query_id", "item")
         .agg(F.first("ids").alias("ids"), F.max("score").alias("score"))
+        .withColumn("_rn", F.row_number().over(by_item))
+        .where(F.col("_rn") <= k + 1)
         .select("query_id", "score", F.explode("ids").alias("vec_id"))
         .where("vec_id <> query_id")
-        .withColumn("rank", F.row_number().over(order))
+        .withColumn("rank", F.row_number().over(by_id))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

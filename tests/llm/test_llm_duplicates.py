@@ -268,3 +268,28 @@ def test_classes_that_do_not_branch_hold_the_target():
         ended, apart = draw >= crowded, draw >= 0.8
         lost = (ended.sum(axis=1) >= near_dups.ENOUGH * near_dups.TREES) & ~(ended & ~apart).any(axis=1)
         assert lost.mean() <= near_dups.missed_at_roots(0.8) + 2e-4
+
+
+def test_copies_of_the_query_leave_room_for_equally_near_ones(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, [1.0, 0.0]), (100, [1.0, 0.0]), *[(i, [float(i), 0.0]) for i in range(2, 7)]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, F.col("vec_id") == 1, trees=2, search_rows=100).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [2, 3, 4, 5, 6]
+
+
+def test_a_task_hands_on_the_nearest_of_a_query_alone(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    items = [[(100 * b + i, [100 * b + i], rng.normal(size=4).tolist()) for i in range(20)] for b in range(30)]
+    queries = [(q, rng.normal(size=4).tolist()) for q in (100_000, 100_001)]
+    kind = "queries array<struct<query_id long, vector array<double>>>, items array<struct<item long, ids array<long>, vector array<double>>>"
+    pairs = spark.createDataFrame([(queries, block) for block in items], kind).coalesce(1)
+    for held in (neighbours.HELD, 50):
+        monkeypatch.setattr(neighbours, "HELD", held)
+        got = neighbours.ranked(pairs, 4, 5).collect()
+        assert len(got) == 12
+        for q, vector in queries:
+            a = np.array(vector)
+            cosines = {i: a @ np.array(v) / np.linalg.norm(a) / np.linalg.norm(v) for block in items for i, _, v in block}
+            assert {r.item for r in got if r.query_id == q} == set(sorted(cosines, key=cosines.get)[-6:])
