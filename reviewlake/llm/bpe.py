@@ -47,7 +47,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 from .common import table
 
 PIECE = 2_000_000
-#: Of chunks, and of words, that are kept; once more, those seen since then, when full.
+#: Words that are kept; once more, those seen before the table was last full.
 CACHE = 200_000
 #: Bytes of a word that the query takes; its numbers have six bits for the place in a word.
 LONG = 64
