@@ -153,7 +153,7 @@ def _timed_reviews(spark, sf_dir, path, last_first):
     rows = filters.drop_missing_id(reviews(spark, sf_dir)).select("review_id", "company", "ord")
     timed = rows.withColumn("seen", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("ord") % 1000))
     for part in sorted(range(3), reverse=last_first):
-        timed.where(F.col("ord") % 3 == part).coalesce(1).write.parquet(f"{path}/{2 - part if last_first else part}")
+        timed.where(F.col("ord") % 3 == part).repartition(1).write.parquet(f"{path}/{2 - part if last_first else part}")
     end = timed.limit(1).withColumn("review_id", F.lit("end")).withColumn("seen", F.col("seen") + F.expr("interval 1 year"))
     end.coalesce(1).write.parquet(f"{path}/3")
     return (

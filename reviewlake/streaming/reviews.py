@@ -8,6 +8,7 @@ import itertools
 import sys
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -21,6 +22,8 @@ from ..sources.write import load_once
 
 #: Records that are handed on at once.
 ROWS = 5000
+#: Keys of the state of ``stream_first``, each of which has the ids of a hash.
+BUCKETS = 1 << 14
 # Files are read as text, like the batch source does.
 FIELDS = REVIEW_SCHEMA.fieldNames()
 FILE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in [*FIELDS, "file"]])
@@ -82,53 +85,82 @@ def stream_dedup(
 
 
 class _First(StatefulProcessor):
-    """Of a key's rows, the first by an order, once no other of its time can come.
+    """Of an id's rows, the first by an order, once no other of its time can come.
 
-    The state has, for each event time for which a decision is due, the first row of it.
-    It is read and written once for each batch that has rows of the key.
+    A key is a bucket of ids. The state has, for each id and each event time for which a
+    decision is due, the first row of it. It is read and written once for each batch that has
+    rows of the bucket: calls between a worker and the state store take milliseconds, the rows
+    within them microseconds.
     """
 
-    def __init__(self, schema: T.StructType, order: Sequence[str], known: int):
-        self.schema, self.order, self.known = schema, order, known
+    def __init__(self, schema: T.StructType, key: str, order: Sequence[str], known: int):
+        self.schema, self.key, self.order, self.known = schema, key, order, known
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        names = self.schema.fieldNames()
+        self.named, self.at_key = Row(*names), names.index(self.key)
+        self.places = [names.index(c) for c in self.order]
         state = T.StructType([T.StructField("at", T.ArrayType(T.LongType()))])
         self.held = handle.getValueState("held", state.add("rows", T.ArrayType(self.schema)))
 
-    def place(self, row: Row) -> list[tuple]:
+    def place(self, row: tuple) -> list[tuple]:
         """Nulls first."""
-        return [(row[c] is not None, row[c]) for c in self.order]
-
-    def known_rows(self) -> dict[int, Row]:
-        held = self.held.get()
-        if held is None:
-            return {}
-        names = self.schema.fieldNames()
-        return {at: Row(**dict(zip(names, row))) for at, row in zip(held[0], held[1], strict=True)}
-
-    def keep(self, rows: dict[int, Row]) -> None:
-        if rows:
-            self.held.update((list(rows), [tuple(r) for r in rows.values()]))
-            self.handle.registerTimer(min(rows) + self.known)
-        else:
+        return [(row[i] is not None, row[i]) for i in self.places]
+
+    def id_of(self, row: tuple) -> str | None:
+        """The id as what a dictionary can have; a column has values of one type."""
+        value = row[self.at_key]
+        return value if value is None or isinstance(value, str) else repr(value)
+
+    def known_rows(self) -> dict[str | None, dict[int, tuple]]:
+        held, out = self.held.get(), {}
+        if held is not None:
+            for at, row in zip(held[0], held[1], strict=True):
+                out.setdefault(self.id_of(row), {})[at] = tuple(row)
+        return out
+
+    def due(self, ids: dict[str | None, dict[int, tuple]]) -> int | None:
+        """When the first decision is due."""
+        return min(map(min, ids.values())) + self.known if ids else None
+
+    def keep(self, ids: dict[str | None, dict[int, tuple]], timer: int | None) -> None:
+        """Writes the state; ``timer`` is when a timer is set already."""
+        if not ids:
             self.held.clear()
+            return
+        rows = [one for held in ids.values() for one in held.items()]
+        self.held.update(([at for at, _ in rows], [row for _, row in rows]))
+        if (due := self.due(ids)) != timer:
+            self.handle.registerTimer(due)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = self.known_rows()
+        ids, take = self.known_rows(), None
+        timer = self.due(ids)
         for row in rows:
-            new = Row(**{n: row[n] for n in self.schema.fieldNames()})
-            held[row["_at"]] = min(held.get(row["_at"], new), new, key=self.place)
-        self.keep(held)
+            if take is None:
+                take = itemgetter(*map(row.__fields__.index, ["_at", *self.schema.fieldNames()]))
+            at, *new = take(row)
+            held, new = ids.setdefault(self.id_of(new), {}), tuple(new)
+            held[at] = min(held.get(at, new), new, key=self.place)
+        self.keep(ids, timer)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now, held = timerValues.getCurrentWatermarkInMs(), self.known_rows()
-        while held and min(held) + self.known <= now:
-            end = min(held) + self.known
-            yield min((r for at, r in held.items() if at <= end), key=self.place)
-            held = {at: r for at, r in held.items() if at > end}
-        self.keep(held)
+        now, ids = timerValues.getCurrentWatermarkInMs(), self.known_rows()
+        # A timer of rows that went with an earlier one has nothing to do.
+        if (due := self.due(ids)) is None or due > now:
+            return
+        for one, held in list(ids.items()):
+            while held and min(held) + self.known <= now:
+                end = min(held) + self.known
+                yield self.named(*min((r for at, r in held.items() if at <= end), key=self.place))
+                held = {at: r for at, r in held.items() if at > end}
+            if held:
+                ids[one] = held
+            else:
+                del ids[one]
+        self.keep(ids, None)
 
 
 def stream_first(
@@ -147,16 +179,20 @@ def stream_first(
     the result is told by the rows alone, as long as none comes later than ``late``, and
     the state holds only what the watermark has not passed. Rows without event time are
     left out.
+
+    The ids are held in ``BUCKETS`` buckets by their hash, which a checkpoint is bound to. A
+    batch reads and writes the buckets it has rows for.
     """
     df.sparkSession.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     timed = df.where(F.col(event_time).isNotNull()).withWatermark(event_time, late)
-    first = _First(df.schema, list(order), known // timedelta(milliseconds=1))
+    first = _First(df.schema, key, list(order), known // timedelta(milliseconds=1))
     return (
         timed.withColumn("_at", F.unix_millis(F.col(event_time).cast("timestamp")))
-        .groupBy(key)
+        .withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)))
+        .groupBy("_bucket")
         .transformWithState(first, df.schema, "append", "EventTime")
     )
 

@@ -355,6 +355,36 @@ def test_first_row_wins_in_any_order_of_arrival(spark, tmp_path):
     assert [(r[0], r[2], r[3]) for r in results[0]] == [("a", 0, None), ("a", None, "later"), ("b", 3, "y")]
 
 
+def test_ids_share_the_state_of_a_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "BUCKETS", 4, raising=False)
+    start = datetime(2024, 1, 1)
+    schema = "id long, seen timestamp, pos int"
+    rows = [(i % 40, start + timedelta(hours=i), (i * 7) % 31) for i in range(120)]
+    rows += [(None, start, 2), (None, start, 1), (3, start + timedelta(days=9), 5), (3, start + timedelta(days=9), None)]
+    parts = [rows[::2], rows[1::2], [(99, start + timedelta(days=30), 0)]]
+    for i, chunk in enumerate(parts):
+        spark.createDataFrame(chunk, schema).coalesce(1).write.parquet(str(tmp_path / str(i)))
+        for file in (tmp_path / str(i)).glob("*.parquet"):
+            os.utime(file, (1e9 + i, 1e9 + i))
+    source = spark.readStream.schema(schema).options(maxFilesPerTrigger=1, recursiveFileLookup=True).parquet(str(tmp_path))
+    first = streams.stream_first(source, ["pos"], "seen", timedelta(hours=50), "10 days", "id")
+    name = "shared_" + scratch_dir(spark).rsplit("-", 1)[1]
+    query = streams.stream_load(first, name, scratch_dir(spark), scratch_dir(spark))
+    query.awaitTermination()
+    expected, held = [], {}
+    for one, seen, pos in sorted(rows, key=lambda r: r[1]):
+        spans = held.setdefault(one, [])
+        if not spans or seen > spans[-1][0] + timedelta(hours=50):
+            spans.append((seen, []))
+        spans[-1][1].append((pos is not None, pos, seen))
+    for one, spans in held.items():
+        expected += [(one, min(span)[2], min(span)[1]) for _, span in spans]
+    got = [tuple(r) for r in read.read_table(spark, name).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    # The store has a key for each bucket, not for each id.
+    assert 0 < max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]) <= 4
+
+
 def test_bounded_stream_dedup(spark):
     df = spark.readStream.format("rate").load().selectExpr("cast(value as string) review_id", "timestamp")
     plan = streams.stream_dedup(df, "timestamp", "1 hour")._jdf.queryExecution().logical().toString()
