@@ -27,6 +27,12 @@ Pairs whose sketches agree in less than ``DOUBT`` of the tokens are dropped: at
 similarity of 0.8 that is 4 standard deviations away. All others are confirmed on the
 full sets, made from the whole texts.
 
+A compared node may be a crowd, whose pairs are many and hardly any a link, as where texts
+share a long passage. If there are more than ``CLOSE`` pairs a class, the pairs are not
+handed on; the classes' ``FINE`` least hashes are gathered by node instead, which costs in
+proportion to the classes, and tell the similarity exactly for sets of at most ``FINE``
+shingles. For others a pair is dropped 4 standard deviations below the threshold.
+
 The deeper a class goes, the likelier a link is missed, and the trees of a round share their
 tokens. ``missed`` has the probability for a pair of similarity 0.8, ``DOUBT`` included:
 0.0014 at 3 levels, 0.013 at 5, 0.12 at 12. So classes that went so deep that it exceeds
@@ -51,7 +57,8 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +75,8 @@ TREES, TOKENS, CENTRES, DEPTH, CHILDREN = 16, 128, 64, 3, 2
 #: Classes of a node that is compared whole, at a root and further down, where they are much alike.
 LEAF, CROWD = 256, 2048
 DOUBT = 0.66
+#: Pairs for each class of a node from which on the node is a crowd, and hashes of a set that it is compared by.
+CLOSE, FINE = 4, 512
 #: Share of a class's roots that is enough to find its links by.
 ENOUGH = 0.625
 #: Probability at most of missing a pair at the threshold, whatever its depth.
@@ -207,10 +216,12 @@ def members_of(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return (*[flat.field(c).to_numpy() for c in ("cid", "label", "n")], token_matrix(flat.field("tokens")))
 
 
-def best_partners(x: tuple, y: tuple, similarity: float, top: int | None) -> Iterator[pa.RecordBatch]:
+def likely_pairs(
+    x: tuple, y: tuple, similarity: float, top: int | None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Of each of ``x`` the likely partners in ``y`` of other components, the ``top`` best.
 
-    Goes through ``x`` in strips, so that neither a matrix nor a batch has a whole large node.
+    Places in ``x`` and ``y``, and the share of tokens they agree in. Goes through ``x`` in strips, so that neither a matrix nor a batch has a whole large node.
     """
     (a, la, na, ta), (b, lb, nb, tb) = x, y
     # All pairs of a node: each is counted once.
@@ -226,17 +237,78 @@ def best_partners(x: tuple, y: tuple, similarity: float, top: int | None) -> Ite
             worst = np.argpartition(-np.where(likely, agreed, 0), top, axis=1)[:, top:]
             np.put_along_axis(likely, worst, False, axis=1)
         i, j = np.nonzero(likely)
-        yield pair_batch(a[rows][i], b[others][j], agreed[i, j] / TOKENS)
+        yield i + begin, j + (begin if once else 0), agreed[i, j] / TOKENS
+
+
+def best_partners(x: tuple, y: tuple, similarity: float, top: int | None) -> Iterator[pa.RecordBatch]:
+    """The ``likely_pairs`` as rows."""
+    for i, j, agreed in likely_pairs(x, y, similarity, top):
+        yield pair_batch(x[0][i], y[0][j], agreed)
 
 
 def pairs_in_leaves(nodes: DataFrame, similarity: float, top: int | None) -> DataFrame:
-    """Candidates within the nodes of ``members``."""
+    """Candidates within the nodes of ``members``; without ``top`` a crowd's ``node`` instead of its pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, rows in zip(batch.column("node").to_pylist(), batch.column("members"), strict=True):
+                x = members_of(rows)
+                held, n_pairs, most = [], 0, CLOSE * len(x[0])
+                for pairs in best_partners(x, x, similarity, top):
+                    held.append(pairs)
+                    n_pairs += len(pairs)
+                    if top is None and n_pairs > most:
+                        held = [pa.RecordBatch.from_pylist([{"a": None, "b": None, "agreed": None}], pairs.schema)]
+                        break
+                for pairs in held:
+                    of = pa.array([node if top is None and n_pairs > most else None] * len(pairs), pa.int64())
+                    yield pairs.append_column("node", of)
+
+    return nodes.select("node", "members").mapInArrow(run, f"{PAIRS}, node long").distinct()
+
+
+class LeastHashes:
+    """The least hashes of some sets, each ascending; ``whole`` sets have all of theirs."""
+
+    def __init__(self, fine: list[bytes], whole: np.ndarray):
+        distinct, self.values = np.unique(np.frombuffer(b"".join(fine), dtype=np.uint32), return_inverse=True)
+        self.ends = np.cumsum([len(f) // 4 for f in fine])
+        self.begins = starts_of(self.ends)
+        self.last = np.where(whole, len(distinct), self.values[self.ends - 1])
+        self.marks = np.zeros(len(distinct), dtype=bool)
+
+    def near(self, i: int, js: np.ndarray) -> np.ndarray:
+        """Similarity of the set ``i`` with those of ``js``.
+
+        What two have up to the lesser of their last ones is a sample of their union that has
+        ``FINE`` hashes at least, or is the union.
+        """
+        own = self.values[self.begins[i] : self.ends[i]]
+        self.marks[own] = True
+        common = np.add.reduceat(self.marks[self.values], self.begins, dtype=np.int64)[js]
+        self.marks[own] = False
+        theirs = np.add.reduceat(self.values <= self.last[i], self.begins, dtype=np.int64)[js]
+        return common / (theirs + np.searchsorted(own, self.last[js], side="right") - common)
+
+
+def pairs_in_crowds(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Candidates within crowds, whose members have their ``fine`` hashes."""
+    doubt = similarity - 4 * math.sqrt(similarity * (1 - similarity) / FINE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in batch.column("members"):
                 x = members_of(rows)
-                yield from best_partners(x, x, similarity, top)
+                whole = x[2] <= FINE
+                hashes = LeastHashes(rows.values.field("fine").to_pylist(), whole)
+                for i, j, agreed in likely_pairs(x, x, similarity, None):
+                    near = np.zeros(len(i))
+                    for one in np.unique(i):
+                        at = np.flatnonzero(i == one)
+                        near[at] = hashes.near(one, j[at])
+                    # Room for hashes of 32 bits that are equal by chance.
+                    keep = near >= np.where(whole[i] & whole[j], similarity - 0.01, doubt)
+                    yield pair_batch(x[0][i[keep]], x[0][j[keep]], agreed[keep])
 
     return nodes.select("members").mapInArrow(run, PAIRS).distinct()
 
@@ -261,7 +333,7 @@ def gathered(rows: DataFrame, facts: DataFrame, size: int, name: str) -> DataFra
     """
     part = F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / size))
     dealt = rows.withColumn("part", part).join(facts, "cid")
-    member = F.struct("cid", "label", "n", "tokens")
+    member = F.struct("cid", "label", *[c for c in facts.columns if c != "cid"])
     return dealt.groupBy("node", "part").agg(F.collect_list(member).alias(name)).drop("part")
 
 
@@ -286,11 +358,17 @@ def children(rows: DataFrame) -> DataFrame:
 
 
 def candidates(
-    classes: DataFrame, labels: DataFrame | None, trees: int, top: int | None, branch: bool, similarity: float
+    classes: DataFrame,
+    labels: DataFrame | None,
+    trees: int,
+    top: int | None,
+    branch: bool,
+    similarity: float,
+    fine: Callable[[DataFrame], DataFrame],
 ) -> tuple[DataFrame, list[DataFrame]]:
     """Pairs ``a, b`` of classes of different components, with the share of tokens they agree in.
 
-    Also the rows of each level, the roots' left out.
+    Also the rows of each level, the roots' left out. ``fine`` has the least hashes of classes.
     """
     facts = classes.select("cid", "n", "tokens")
     roots = F.slice("roots", F.lit(1), F.lit(trees))
@@ -311,7 +389,14 @@ def candidates(
             .select("node", "members")
         )
         small = rows.join(sizes.where(F.col("members") <= whole), "node")
-        found.append(materialize(pairs_in_leaves(gathered(small, facts, whole + 1, "members"), similarity, top)))
+        pairs = materialize(pairs_in_leaves(gathered(small, facts, whole + 1, "members"), similarity, top))
+        found.append(pairs.where("node is null").drop("node"))
+        if top is None:
+            crowds, n_crowds = materialize_counted(pairs.where("node is not null").select("node"))
+            if n_crowds:
+                small = materialize(small.join(crowds, "node"))
+                hashes = facts.join(fine(small.select("cid").distinct()), "cid")
+                found.append(materialize(pairs_in_crowds(gathered(small, hashes, whole + 1, "members"), similarity)))
         large, n_large = materialize_counted(rows.join(sizes.where(F.col("members") > whole), "node"))
         if not n_large:
             break
@@ -394,14 +479,36 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return materialize(known.join(moves, "label", "left").select("cid", F.coalesce("to", "label").alias("label")))
 
 
+def rows_of_classes(docs: DataFrame, classes: DataFrame, cids: DataFrame) -> DataFrame:
+    """``cid, text`` of the rows that have the texts of the classes ``cids``."""
+    ids, n_ids = materialize_counted(cids.join(classes.select("cid", "text_key"), "cid"))
+    wanted = F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids
+    text = F.col("text").cast("binary")
+    rows = docs.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key"))
+    return rows.join(wanted, "text_key").select("cid", "text")
+
+
 def texts_of_classes(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """``cid, text`` of the classes in ``pairs``."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    ids, n_ids = materialize_counted(ends.join(classes.select("cid", "text_key"), "cid"))
-    wanted = F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids
-    text = F.col("text").cast("binary")
-    rows = docs.select(text.alias("text"), F.unhex(F.md5(text)).alias("text_key")).join(wanted, "text_key")
-    return materialize(rows.groupBy("cid").agg(F.first("text").alias("text")))
+    return materialize(rows_of_classes(docs, classes, ends).groupBy("cid").agg(F.first("text").alias("text")))
+
+
+def fine_hashes(docs: DataFrame, classes: DataFrame, width: int, cids: DataFrame) -> DataFrame:
+    """``cid, fine``: the ``FINE`` least hashes of each class's set in one more order, ascending."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = texts_of(batch.column("text"))
+            for a, b in slices(texts):
+                values, ends = shingles(texts[a:b], width)
+                short = (mixed(values) >> np.uint64(32)).astype(np.uint32)
+                sets = np.split(short, ends[:-1])
+                fine = [np.sort(np.partition(x, FINE - 1)[:FINE] if len(x) > FINE else x).tobytes() for x in sets]
+                yield pa.RecordBatch.from_arrays([batch.column("cid")[a:b], pa.array(fine, pa.binary())], ["cid", "fine"])
+
+    rows = rows_of_classes(docs, classes, cids).mapInArrow(run, "cid long, fine binary")
+    return materialize(rows.groupBy("cid").agg(F.first("fine").alias("fine")))
 
 
 def sketched_anew(docs: DataFrame, classes: DataFrame, cids: DataFrame, width: int, turn: int) -> DataFrame:
@@ -429,7 +536,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, width: int, similarity:
 
     def link_by(some: DataFrame, trees: int, top: int | None, branch: bool) -> list[DataFrame]:
         nonlocal labels, tried
-        pairs, levels = candidates(some, labels, trees, top, branch, similarity)
+        pairs, levels = candidates(some, labels, trees, top, branch, similarity, partial(fine_hashes, docs, classes, width))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs, n_pairs = materialize_counted(pairs)

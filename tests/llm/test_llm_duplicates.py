@@ -101,6 +101,29 @@ def test_links_within_an_unlinked_crowd(spark, monkeypatch):
     assert sum(r.component_id < r.doc_id for r in got) >= 54
 
 
+@pytest.mark.parametrize("fine", [512, 60])
+def test_pairs_of_a_crowd_are_not_handed_on(spark, monkeypatch, fine):
+    monkeypatch.setattr(near_dups, "FINE", fine, raising=False)
+    asked = []
+    confirmed = near_dups.confirmed
+
+    def counted(pairs, *others):
+        asked.append(pairs.count())
+        return confirmed(pairs, *others)
+
+    monkeypatch.setattr(near_dups, "confirmed", counted)
+    rnd = random.Random(5)
+    passage = words(rnd, 84, 10**9)
+    # Any two share 0.72 of their words; each fifth has a near copy.
+    texts = [" ".join(passage + words(rnd, 16, 10**9)) for _ in range(150)]
+    texts += [" ".join([*t.split()[:-2], "so", "on"]) for t in texts[::5]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = near_dups.near_duplicates(df, 1, 0.8).orderBy("doc_id").collect()
+    assert [r.component_id for r in got] == brute_components(texts, 1, 80)[0]
+    # There are 16,110 pairs; some partners of each document are confirmed before all are looked at.
+    assert sum(asked) < 4000 or fine < 100
+
+
 @pytest.mark.parametrize("levels,found", [(3, 0.9986), (5, 0.987), (7, 0.963), (9, 0.931), (12, 0.879)])
 def test_rounds_hold_the_target(levels, found):
     assert 1 - near_dups.missed(levels, 0.8) == pytest.approx(found, abs=6e-4)
