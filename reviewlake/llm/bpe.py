@@ -46,7 +46,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
 from .common import table
 
-PIECE = 2_000_000
+PIECE = 700_000
 #: Words that are kept; once more, those seen before the table was last full.
 CACHE = 200_000
 #: Bytes of a word that the query takes; its numbers have six bits for the place in a word.
@@ -400,6 +400,8 @@ def digests(
                 of_bytes += map(sha256, decode_all(coder, ids))
                 flat += ids if ids_too else []
                 del ids
+                # Else what a slice took is held for the next ones, and by a worker that waits.
+                pa.default_memory_pool().release_unused()
             found = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
             if ids_too:
                 found.append(id_lists(flat))

@@ -113,3 +113,11 @@ def test_unknown_ids_raise(coder):
 def test_null_ids_decode_to_nothing(spark):
     df = spark.createDataFrame([(1, None), (2, [64])], "doc_id long, ids array<int>")
     assert [bytes(r.decoded) for r in bpe.decode(df, PATH, PATTERN).collect()] == [b"", b"a"]
+
+
+def test_texts_are_taken_in_small_slices(coder, monkeypatch):
+    taken, encode = [], coder.encode
+    monkeypatch.setattr(coder, "encode", lambda texts: taken.append(sum(map(len, texts))) or encode(texts))
+    texts = ["ab cd " * 10_000] * 40
+    assert len(list(bpe.encode_all(coder, texts))) == 40
+    assert max(taken) <= 700_000 and sum(taken) == 2_400_000
