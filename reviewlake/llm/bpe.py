@@ -1,18 +1,19 @@
 r"""Byte-level BPE: encoding and decoding by DuckDB queries inside each partition.
 
 A text is cut into the matches of a pattern. Of each new word (match) of a batch there
-is a row per byte, its token and its place. A recursive query joins the pairs of
-neighbouring tokens with the merge table, takes each word's pair of the least rank, the
-leftmost of equals, contracts it, and goes on with the words that changed until none
-does. Decoding picks the pieces of each list of ids out of the vocabulary and joins them.
+is a row per byte, its token, the next one and its place. A recursive query joins the
+pairs of neighbouring tokens with the merge table, takes each word's pair of the least
+rank, the leftmost of equals, contracts it, and goes on with the words that changed until
+none does. Decoding picks the pieces of each list of ids out of the vocabulary and joins them.
 
 * Spark deals out the texts; nothing is shuffled. A worker keeps one database in memory,
   with the tables of the vocabulary, which are broadcast as the rank file (under 1 MB)
   and do not grow with the data.
 * A space between two other characters always begins a match, so a text is split there,
-  and the distinct chunks of many texts are cut into words in one go. The tokens of each
-  word are kept in a bounded table: what has not been seen since the table was last full is
-  forgotten when it is full again.
+  and the distinct chunks of many texts are looked up by a join with those met before. Only
+  new ones are cut into words, in one go, and of these only new ones go to the query. Chunks
+  and words are kept in a bounded table (a word by itself is cut into itself): what has not
+  been seen since the table was last full is forgotten when it is full again.
 * A round of the recursion adds what is left of each word to its result, so a query takes
   words of at most ``CELLS`` byte pairs, which bounds its memory whatever the words are.
 * A text is taken in pieces of about ``PIECE`` characters, cut at such a space, so the
@@ -34,7 +35,7 @@ import base64
 import hashlib
 import heapq
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import duckdb
 import numpy as np
@@ -47,38 +48,45 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 from .common import table
 
 PIECE = 700_000
-#: Words that are kept; once more, those seen before the table was last full.
+#: Texts that are kept; once more, those seen before the table was last full.
 CACHE = 200_000
+#: Bytes of a text that is kept.
+KEY = 128
 #: Bytes of a word that the query takes; its numbers have six bits for the place in a word.
 LONG = 64
 CELLS = 2_000_000
 
-#: A row's number g is 64 times its word's plus its place; a pair, the left token's 2^20 times plus the right one's.
+#: A row's number g is 64 times its word's plus its place; a pair, the token's 2^20 times plus the next one's.
+#: Of the two rows that are contracted the right one stays, since it has the token that follows.
 ENCODE = """
 with recursive whole as (select w::uinteger as w, id from words join vocabulary on piece = word),
-t(g, tok, round) as (
-  select g, tok, 0::utinyint from bytes_of_words anti join whole on (g >> 6) = w
+t(g, pair, round) as (
+  select g, pair, 0::utinyint from bytes_of_words anti join whole on (g >> 6) = w
   union all
-  (with pairs as (
-     select g, (tok::ubigint << 20) + lead(tok) over (order by g) as pair, lead(g) over (order by g) as next_g
-     from t),
-   best as (
-     select g >> 6 as w, min((rank::ubigint << 12) + ((g & 63) << 6) + (next_g & 63)) as b
-     from pairs join merges using (pair) where (g >> 6) = (next_g >> 6) group by 1)
-   select g, case when (g & 63) = ((b >> 6) & 63) then (b >> 12)::uinteger else tok end, round + 1::utinyint
+  (with best as (
+     select g >> 6 as w, min((rank << 6) + (g & 63)) as b from t join merges using (pair) group by 1)
+   select g - ((g & 63) > (b & 63))::uinteger,
+     case (g & 63)::integer - (b & 63)::integer
+       when 1 then ((b >> 6)::ubigint << 20) + (pair & 1048575)
+       when -1 then pair - (pair & 1048575) + (b >> 6)
+       else pair end,
+     round + 1::utinyint
    from t join best on (g >> 6) = w
    where (g & 63) <> (b & 63))
 )
-select (g >> 6)::bigint as w, tok::integer as tok, g
-from t semi join (select g >> 6 as w, max(round) as round from t group by 1) last
+select (g >> 6)::bigint as w, (pair >> 20)::integer as tok, g
+from t semi join (select g >> 6 as w, max(round) as round from t where (g & 63) = 0 group by 1) last
   on (g >> 6) = last.w and t.round = last.round
 union all
 select w, id, 0 from whole
 order by w, g
 """
 
+#: What follows the last token of a word; no pair has it.
+END = (1 << 20) - 1
+
 DECODE = """
-select array_to_string(list_select((select list from pieces), places), '') as text from tokens order by d
+select array_to_string(list_select(list, places), '') as text from tokens, pieces order by d
 """
 
 
@@ -87,22 +95,73 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-class Recent:
-    """Results of a function of texts: at most ``CACHE`` new ones, and as many older ones."""
+class Runs:
+    """Lists of ids, adjoining in ``flat``."""
 
     def __init__(self):
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def of(self, keys: list[str], function: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
-        """The results of all ``keys``; the function is asked for those that are not known."""
-        out = {k: ids for k in keys if (ids := self.new.get(k) or self.old.get(k)) is not None}
-        lacking = [k for k in keys if k not in out]
-        out |= zip(lacking, function(lacking), strict=True)
-        if len(self.new) + len(out) > CACHE:
-            self.old, self.new = self.new, {}
-        self.new |= out
-        return out
+        self.flat, self.counts = np.empty(0, np.int32), np.empty(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.counts)
+
+    def add(self, flat: np.ndarray, counts: np.ndarray) -> None:
+        self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
+
+
+class Recent:
+    """Ids of texts that were met before: tables of texts and numbers of their runs.
+
+    Once more than ``CACHE`` are new, they take the place of the old ones. Texts of over ``KEY`` bytes
+    are not found again; their runs alone are held until then.
+    """
+
+    def __init__(self, db: duckdb.DuckDBPyConnection):
+        self.db = db
+        self.new, self.old = Runs(), Runs()
+        for name in ("new_texts", "old_texts"):
+            db.execute(f"create table {name} (text varchar, run integer)")
+
+    def runs_of(self, texts: pa.StringArray) -> np.ndarray:
+        """The number of each text's run among the new ones, -1 where it is not known. Old ones get new."""
+        runs = self._look_up("new_texts", texts)
+        if len(self.old) and len(lacking := np.flatnonzero(runs < 0)):
+            some = texts.take(pa.array(lacking))
+            in_old = self._look_up("old_texts", some)
+            if len(met := np.flatnonzero(in_old >= 0)):
+                # Texts may be repeated, but have one run each.
+                which, first, place = np.unique(in_old[met], return_index=True, return_inverse=True)
+                ids, _ = gathered(self.old.flat, self.old.counts, which)
+                runs[lacking[met]] = self.add(some.take(pa.array(met[first])), ids, self.old.counts[which])[place]
+        return runs
+
+    def _look_up(self, name: str, texts: pa.StringArray) -> np.ndarray:
+        self.db.register("sought", pa.table({"i": np.arange(len(texts), dtype=np.int32), "text": texts}))
+        found = self.db.execute(f"select i, run from {name} join sought using (text)").fetchnumpy()
+        runs = np.full(len(texts), -1, dtype=np.int64)
+        runs[found["i"]] = found["run"]
+        return runs
+
+    def add(self, texts: pa.StringArray | list[str], flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Keeps the ids of more texts, and returns the numbers of their runs."""
+        texts = pa.array(texts, pa.string())
+        runs = np.arange(len(self.new), len(self.new) + len(texts))
+        self.new.add(flat, counts)
+        short = pc.less_equal(pc.binary_length(texts), KEY)
+        self.db.register("given", pa.table({"text": texts, "run": runs.astype(np.int32)}).filter(short))
+        self.db.execute("insert into new_texts select * from given")
+        self.db.unregister("given")
+        return runs
+
+    def forget(self) -> None:
+        """Much of what is new gets old. If its ids are more than texts of words have, nothing is kept."""
+        large = self.new.flat.size > 16 * CACHE
+        if len(self.new) > CACHE or large:
+            self.db.execute("drop table old_texts")
+            self.db.execute("alter table new_texts rename to old_texts")
+            if large:
+                self.db.execute("truncate old_texts")
+            self.old, self.new = Runs() if large else self.new, Runs()
+            self.db.execute("create table new_texts (text varchar, run integer)")
 
 
 class Codec:
@@ -135,7 +194,7 @@ class Codec:
             """create table pieces as select list(coalesce(piece, '') order by i) as list
             from (select unnest(range((select max(id) + 1 from vocabulary))) as i) left join vocabulary on id = i"""
         )
-        self.chunks = Recent()
+        self.chunks = Recent(self.db)
 
     def _load(self, name: str, columns: dict) -> None:
         self.db.register("given", pa.table(columns))
@@ -152,40 +211,63 @@ class Codec:
         inner = np.ones(len(chunks), dtype=bool)
         inner[begins] = False
         others = chunks.filter(pa.array(inner)).dictionary_encode()
-        place, flat, counts = self._ids_of(others.dictionary.to_pylist(), chunks.take(pa.array(begins)).to_pylist())
-        code = np.empty(len(chunks), dtype=np.int64)
-        code[inner] = place[others.indices.to_numpy()]
-        code[begins] = np.arange(len(counts) - len(begins), len(counts))
-        ids, until = gathered(flat, counts, code)
+        spaced = pc.binary_join_element_wise(" ", others.dictionary, "")
+        runs = self._runs_of(pa.concat_arrays([spaced, chunks.take(pa.array(begins))]))
+        which = np.empty(len(chunks), dtype=np.int64)
+        which[inner] = runs[others.indices.to_numpy()]
+        which[begins] = runs[len(spaced) :]
+        ids, until = gathered(self.chunks.new.flat, self.chunks.new.counts, which)
+        self.chunks.forget()
         until = until[ends[1:] - 1].tolist()
         out: list[np.ndarray] = [ids[:0]] * len(texts)
         for i, start, end in zip(order, [0, *until[:-1]], until, strict=True):
             out[i] = ids[start:end]
         return out
 
-    def _ids_of(self, inner: list[str], first: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The places of ``inner`` chunks, the ids of all chunks, adjoining, those of ``first`` last, and how many each has.
-
-        Chunks that another one may follow are cut into words in one go, as they are in a text.
+    def _runs_of(self, chunks: pa.StringArray) -> np.ndarray:
+        """The number of the run of ids of each chunk."""
+        runs = self.chunks.runs_of(chunks)
+        if len(lacking := np.flatnonzero(runs < 0)):
+            texts = strings(chunks.take(pa.array(lacking)))
+            found = self._learn(list(dict.fromkeys(texts)))
+            runs[lacking] = np.fromiter(map(found.__getitem__, texts), np.int64, len(texts))
+        return runs
+
+    def _learn(self, chunks: list[str]) -> dict[str, int]:
+        """The numbers of runs of distinct chunks that are not known, and of their words."""
+        chunks, words, sizes = self._cut(chunks)
+        distinct, unknown = dict.fromkeys(words), set(chunks)
+        others = [w for w in distinct if w not in unknown]
+        runs = self.chunks.runs_of(pa.array(others, pa.string())).tolist()
+        found = {w: run for w, run in zip(others, runs, strict=True) if run >= 0}
+        new = [w for w in distinct if w not in found]
+        ids = self.encode_words([w.encode() for w in new])
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        found |= zip(new, self.chunks.add(new, np.frombuffer(b"".join(ids), np.int32), counts).tolist(), strict=True)
+        # A chunk of one word is that word.
+        several = sizes != 1
+        which = np.fromiter(map(found.__getitem__, words), np.int64, len(words))[np.repeat(several, sizes)]
+        flat, until = gathered(self.chunks.new.flat, self.chunks.new.counts, which)
+        ends = np.concatenate([[0], until])[np.concatenate([[0], np.cumsum(sizes[several])])]
+        some = [chunks[i] for i in np.flatnonzero(several).tolist()]
+        found |= zip(some, self.chunks.add(some, flat, np.diff(ends)).tolist(), strict=True)
+        return found
+
+    def _cut(self, chunks: list[str]) -> tuple[list[str], list[str], np.ndarray]:
+        """The chunks in another order, their words, and how many each has.
+
+        Chunks that adjoin in a text are cut into words in one go, as they are in the text.
         """
-        apart = np.fromiter((c[-1].isspace() for c in inner), bool, len(inner))
-        place = np.empty(len(inner), dtype=np.int64)
-        place[np.argsort(apart, kind="stable")] = np.arange(len(inner))
-        joined = [" " + c for c, one in zip(inner, apart, strict=True) if not one]
+        joined, apart = [], []
+        for c in chunks:
+            (joined if c[:1] == " " and not c[1:2].isspace() and not c[-1].isspace() else apart).append(c)
         words = self.words.findall("".join(joined))
         word_ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        chunk_ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
-        until = [np.searchsorted(word_ends, chunk_ends, side="right")]
-        for chunk in [*[" " + c for c, one in zip(inner, apart, strict=True) if one], *first]:
+        until = np.searchsorted(word_ends, np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined))), side="right").tolist()
+        for chunk in apart:
             words += self.words.findall(chunk)
-            until.append([len(words)])
-        coded = pa.array(words, pa.string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        known = self.chunks.of(distinct, lambda new: self.encode_words([w.encode() for w in new]))
-        ids = [known[w] for w in distinct]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat, ends = gathered(np.frombuffer(b"".join(ids), dtype=np.int32), sizes, coded.indices.to_numpy())
-        return place, flat, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], *until]).astype(np.int64)])
+            until.append(len(words))
+        return joined + apart, words, np.diff(np.array([0, *until], dtype=np.int64))
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as the bytes of 32-bit integers."""
@@ -198,10 +280,14 @@ class Codec:
 
     def _query(self, words: list[bytes]) -> list[bytes]:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        places = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        ends = np.cumsum(lengths)
+        places = np.arange(lengths.sum()) - np.repeat(ends - lengths, lengths)
         g = np.repeat(np.arange(len(words), dtype=np.int64) * LONG, lengths) + places
-        tokens = self.byte[np.frombuffer(b"".join(words), np.uint8)]
-        self.db.register("bytes_of_words", pa.table({"g": g.astype(np.uint32), "tok": tokens.astype(np.uint32)}))
+        tokens = self.byte[np.frombuffer(b"".join(words), np.uint8)].astype(np.uint64)
+        following = np.append(tokens[1:], tokens[:1])
+        following[ends - 1] = END
+        pairs = (tokens << np.uint64(20)) + following
+        self.db.register("bytes_of_words", pa.table({"g": g.astype(np.uint32), "pair": pairs}))
         texts = [w.decode("latin-1") for w in words]
         self.db.register("words", pa.table({"w": np.arange(len(words)), "word": pa.array(texts, pa.string())}))
         found = self.db.execute(ENCODE).fetchnumpy()
@@ -272,6 +358,11 @@ def lists_of_chunks(texts: list[str]) -> tuple[list[int], pa.ListArray]:
     return plain + odd, pa.concat_arrays([split, pa.array(lists, split.type)])
 
 
+def strings(texts: pa.StringArray) -> list[str]:
+    # Many times as fast as to_pylist().
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 def gathered(flat: np.ndarray, counts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of runs of ``flat`` that adjoin those of the numbers ``which``, in this order, and the end of each."""
     taken = counts[which]

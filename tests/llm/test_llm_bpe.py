@@ -121,3 +121,44 @@ def test_texts_are_taken_in_small_slices(coder, monkeypatch):
     texts = ["ab cd " * 10_000] * 40
     assert len(list(bpe.encode_all(coder, texts))) == 40
     assert max(taken) <= 700_000 and sum(taken) == 2_400_000
+
+
+def test_known_chunks_are_not_cut_again(peer, monkeypatch):
+    coder = bpe.Codec(bpe.read_ranks(PATH), PATTERN)
+    texts = [" ".join(f"w{j}x{i % 7}," for j in range(i, i + 30)) for i in range(60)]
+    first = [x.tolist() for x in coder.encode(texts)]
+    assert first == [peer.encode_ordinary(t) for t in texts]
+    cut, asked = [], []
+
+    class Words:
+        def findall(self, text, words=coder.words):
+            cut.append(text)
+            return words.findall(text)
+
+    monkeypatch.setattr(coder, "words", Words())
+    monkeypatch.setattr(coder, "encode_words", lambda words, of=coder.encode_words: asked.extend(words) or of(words))
+    assert [x.tolist() for x in coder.encode(texts[::-1])] == first[::-1]
+    assert not any(cut) and not asked
+    # Of new chunks, the known words are not asked for.
+    assert coder.encode(["w1x1, w5x1! w5x1,"])[0].tolist() == peer.encode_ordinary("w1x1, w5x1! w5x1,")
+    assert cut == [" w5x1!"] and asked == [b"!"]
+
+
+def test_what_is_kept_is_bounded(peer, monkeypatch):
+    """Old chunks get new again, long ones are not kept, and ids of all agree with those of a new codec."""
+    monkeypatch.setattr(bpe, "CACHE", 60)
+    coder = bpe.Codec(bpe.read_ranks(PATH), PATTERN)
+    rnd = random.Random(5)
+    words = [f"wörd{i}," for i in range(150)] + ["z" * 127, "y" * 128, "é" * 65, "\u3042" * 300, "=" * 5_000] + HARD
+    for _ in range(80):
+        texts = [" ".join(rnd.choices(words[:150], k=8)), " ".join(rnd.choices(words, k=6)), rnd.choice(words)] * 2
+        assert [x.tolist() for x in coder.encode(texts)] == [peer.encode_ordinary(t) for t in texts]
+        for name, runs in (("new_texts", coder.chunks.new), ("old_texts", coder.chunks.old)):
+            kept, distinct, longest = coder.db.execute(
+                f"select count(*), count(distinct text), coalesce(max(strlen(text)), 0) from {name}"
+            ).fetchall()[0]
+            assert kept == distinct <= len(runs) and longest <= bpe.KEY
+        assert len(coder.chunks.new) <= 60 and coder.chunks.new.flat.size <= 16 * 60
+    long = "".join(rnd.choices("abcdefgh", k=20_000))
+    assert coder.encode([long])[0].tolist() == peer.encode_ordinary(long)
+    assert not len(coder.chunks.new) and not len(coder.chunks.old)
